@@ -1,0 +1,130 @@
+"""Encoding and scaling.
+
+Label encoding is ``StringIndexer`` with alphabetical order (codes are the
+sorted position of each value, from 0) fitted once for all columns; the
+vocabulary travels to executors inside the model, so its size is bounded by
+the distinct values of categorical columns.  Standard scaling uses the
+population standard deviation, fitted with one aggregate and applied as
+column arithmetic (stays in codegen).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+NULL_TOKEN = "nan"
+
+
+def as_category(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Cast to text and make null its own category 'nan'."""
+    return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(NULL_TOKEN)).alias(c)
+                       if c in cols else F.col(c) for c in df.columns])
+
+
+@dataclass
+class LabelEncoding:
+    """A fitted label encoding of several columns."""
+
+    model: StringIndexerModel
+    columns: list[str]
+    suffix: str
+
+    def transform(self, df: DataFrame, replace: bool = True) -> DataFrame:
+        """Codes as integer columns; ``replace`` keeps the original names."""
+        d = as_category(df, self.columns)
+        out = self.model.transform(d)
+        for c in self.columns:
+            out = out.withColumn(c + self.suffix, F.col(c + self.suffix).cast("int"))
+            if replace:
+                out = out.drop(c).withColumnRenamed(c + self.suffix, c)
+        return out.select(*df.columns) if replace else out
+
+    def dictionary(self, spark) -> DataFrame:
+        """(name, value, code); bounded by the vocabulary sizes."""
+        rows = [(c, v, i) for c, labels in zip(self.columns, self.model.labelsArray)
+                for i, v in enumerate(labels)]
+        schema = StructType([StructField("name", StringType()), StructField("value", StringType()),
+                             StructField("code", LongType())])
+        return spark.createDataFrame(rows, schema)
+
+    def inverse(self, df: DataFrame, col: str, out_col: str | None = None) -> DataFrame:
+        """Codes back to values (``IndexToString`` semantics, by lookup)."""
+        labels = self.model.labelsArray[self.columns.index(col)]
+        arr = F.array(*[F.lit(v) for v in labels])
+        return df.withColumn(out_col or col, F.element_at(arr, F.col(col).cast("int") + 1))
+
+
+def fit_label_encoding(df: DataFrame, cols: list[str], suffix: str = "__code",
+                       handle_invalid: str = "error") -> LabelEncoding:
+    """One ``StringIndexer`` over all columns, alphabetical codes from 0.
+
+    ``handle_invalid='keep'`` gives unseen values an extra code (fit on the
+    training part only, SURVEY Q1 option).
+    """
+    d = as_category(df.select(*cols), cols)
+    idx = StringIndexer(inputCols=cols, outputCols=[c + suffix for c in cols],
+                        stringOrderType="alphabetAsc", handleInvalid=handle_invalid)
+    return LabelEncoding(idx.fit(d), list(cols), suffix)
+
+
+def encode_target(df: DataFrame, target: str) -> tuple[DataFrame, list]:
+    """Booleans map false/true to 0/1, numbers pass, text gets E1 codes.
+
+    Returns the frame with the integer target and the class names by code.
+    """
+    dt = df.schema[target].dataType
+    if isinstance(dt, StringType):
+        enc = fit_label_encoding(df, [target])
+        return enc.transform(df), list(enc.model.labelsArray[0])
+    if dt.simpleString() == "boolean":
+        return df.withColumn(target, F.col(target).cast("int")), [False, True]
+    return df.withColumn(target, F.col(target).cast("int")), None
+
+
+def assemble(df: DataFrame, cols: list[str], out_col: str = "features",
+             handle_invalid: str = "error") -> DataFrame:
+    """E5: ``VectorAssembler``; the feature names stay in the column metadata."""
+    return VectorAssembler(inputCols=cols, outputCol=out_col,
+                           handleInvalid=handle_invalid).transform(df)
+
+
+def feature_names(df: DataFrame, col: str = "features") -> list[str]:
+    """Names of the assembled features, in order, from the vector metadata."""
+    meta = df.schema[col].metadata.get("ml_attr", {})
+    attrs = []
+    for group in meta.get("attrs", {}).values():
+        attrs += group
+    return [a["name"] for a in sorted(attrs, key=lambda a: a["idx"])]
+
+
+@dataclass
+class PopulationScaler:
+    """E6 model: (x - mean) / population std; a constant column maps to 0."""
+
+    columns: list[str]
+    means: list[float]
+    stds: list[float]
+
+    def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
+        out = df
+        for c, m, s in zip(self.columns, self.means, self.stds):
+            x = F.col(c).cast("double") - F.lit(m)
+            scaled = x / F.lit(s) if s and s > 0 else x * F.lit(0.0)
+            out = out.withColumn(c + suffix, scaled)
+        return out
+
+
+def fit_population_scaler(df: DataFrame, cols: list[str]) -> PopulationScaler:
+    """Fit on one DataFrame (the training part) with a single aggregate."""
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
+    r = df.agg(*aggs).first()
+    return PopulationScaler(list(cols), [r[f"m{i}"] for i in range(len(cols))],
+                            [r[f"s{i}"] for i in range(len(cols))])

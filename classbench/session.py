@@ -1,0 +1,56 @@
+"""Session helpers: a local session for tests and the shared scratch folder."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+
+from pyspark.sql import SparkSession
+
+
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
+                  app: str = "classbench") -> SparkSession:
+    """Local session used by tests, the bench and the entry point."""
+    builder = (
+        SparkSession.builder.master(f"local[{cores}]")
+        .appName(app)
+        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", os.environ.get("CLASSBENCH_DRIVER_MEM", "16g"))
+    )
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """Shared folder for checkpoints and written intermediates.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
+    and is used as is.  Only when it is unset (local tests) a folder is made
+    under the system temporary directory and registered as the checkpoint
+    directory, so ``DataFrame.checkpoint()`` works.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if current:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
+        return current.rstrip("/")
+    path = tempfile.mkdtemp(prefix="classbench-ckpt-")
+    sc.setCheckpointDir(path)
+    spark.conf.set("spark.checkpoint.dir", path)
+    return path
+
+
+def new_scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the scratch folder (never reused between calls)."""
+    import uuid
+
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

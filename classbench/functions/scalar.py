@@ -16,7 +16,7 @@ __all__ = [
     "bool_to_int", "target_to_int", "scale_pixels", "flatten_image", "reshape_square",
     "expand_array", "one_hot", "argmax", "threshold", "confidence_binary",
     "confidence_multiclass", "correct_flag", "round4", "fmt_fixed", "fmt_percent",
-    "fmt_grouped", "upper_name",
+    "fmt_grouped", "upper_name", "softmax",
 ]
 
 
@@ -130,3 +130,10 @@ def fmt_grouped(c: Column | str) -> Column:
 def upper_name(c: Column | str) -> Column:
     """Upper-case names (kernel names in reports)."""
     return F.upper(_col(c))
+
+
+def softmax(c: Column | str) -> Column:
+    """Class probabilities exp(x_i) / sum exp(x) of an array of scores."""
+    ex = F.transform(_col(c), lambda x: F.exp(x.cast("double")))
+    total = F.aggregate(ex, F.lit(0.0), lambda a, x: a + x)
+    return F.transform(ex, lambda x: x / total)

@@ -54,20 +54,26 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
         _ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
 
 
-def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction",
-              classes: list | None = None) -> DataFrame:
-    """(class, precision, recall, f1, support) from the confusion matrix."""
+def _class_counts(df: DataFrame, label: str, prediction: str, classes: list | None) -> DataFrame:
+    """(class, tp, predicted, support) from the confusion matrix (bounded by classes)."""
     cm = confusion_matrix(df, label, prediction, classes)
     tp = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0))
     by_actual = cm.groupBy(F.col("actual").alias("class")).agg(
         tp.alias("tp"), F.sum("count").alias("support"))
     by_pred = cm.groupBy(F.col("predicted").alias("class")).agg(F.sum("count").alias("predicted"))
-    j = by_actual.join(by_pred, "class")
+    return by_actual.join(by_pred, "class")
+
+
+def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction",
+              classes: list | None = None, with_tp: bool = False) -> DataFrame:
+    """(class, precision, recall, f1, support) from the confusion matrix."""
+    j = _class_counts(df, label, prediction, classes)
     prec = _ratio(F.col("tp"), F.col("predicted"))
     rec = _ratio(F.col("tp"), F.col("support"))
     f1 = _ratio(2 * F.col("tp"), F.col("predicted") + F.col("support"))
+    extra = [F.col("tp")] if with_tp else []
     return j.select("class", prec.alias("precision"), rec.alias("recall"), f1.alias("f1"),
-                    F.col("support").cast("long").alias("support"))
+                    F.col("support").cast("long").alias("support"), *extra)
 
 
 def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -87,7 +93,7 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     Columns: row_order, row, precision, recall, f1, support.  The accuracy row
     has null precision/recall and f1 = accuracy, as in the usual text report.
     """
-    pc = per_class(df, label, prediction)
+    pc = per_class(df, label, prediction, with_tp=True)
     cls = F.col("class")
     if names:
         m = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
@@ -99,7 +105,7 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
         row.alias("row"), "precision", "recall", "f1", "support")
     tot = F.sum("support")
     summary = pc.agg(
-        tot.alias("n"), F.sum(F.when(F.col("support") > 0, F.col("recall") * F.col("support"))).alias("hit"),
+        tot.alias("n"), F.sum("tp").alias("hit"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
         _ratio(F.sum(F.col("precision") * F.col("support")), tot).alias("wp"),
         _ratio(F.sum(F.col("recall") * F.col("support")), tot).alias("wr"),

@@ -392,3 +392,352 @@ def q_tail_holdout(spark, sf):
 def q_head_rows(spark, sf):
     """First 5 rows by id (the limit is the feature)."""
     return r6(split.head(FX.orders_churn(spark, sf), 5, "id"))
+
+
+# ---------------------------------------------------------------- metrics
+
+def _cm_sql(src: str) -> str:
+    return f"""WITH c AS (SELECT label AS actual, prediction AS predicted, count(*) AS n FROM {src} GROUP BY ALL),
+k AS (SELECT DISTINCT c FROM (SELECT label AS c FROM {src} UNION SELECT prediction FROM {src}) WHERE c IS NOT NULL)
+SELECT a.c AS actual, b.c AS predicted, coalesce(n, 0) AS count
+FROM k a CROSS JOIN k b LEFT JOIN c ON c.actual = a.c AND c.predicted = b.c"""
+
+
+@query("confusion_binary", W(_cm_sql("f4"), "f4"))
+def q_confusion_binary(spark, sf):
+    """V1 on the binary scored table."""
+    return metrics.confusion_matrix(FX.scored(spark, sf))
+
+
+@query("confusion_multiclass", W(_cm_sql("f4m"), "f4m"))
+def q_confusion_multiclass(spark, sf):
+    """V1 on the 10-class table, zeros kept."""
+    return metrics.confusion_matrix(FX.scored_multiclass(spark, sf))
+
+
+@query("binary_metrics", W("""WITH s AS (SELECT count(*) AS n, count_if(label = prediction) AS ok,
+       count_if(label = 1 AND prediction = 1) AS tp, count_if(label <> 1 AND prediction = 1) AS fp,
+       count_if(label = 1 AND prediction <> 1) AS fn FROM f4)
+SELECT round(CAST(ok AS DOUBLE) / n, 6) AS accuracy,
+       round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0), 6) AS precision,
+       round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0), 6) AS recall,
+       round(coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1 FROM s""", "f4"))
+def q_binary_metrics(spark, sf):
+    """V2 + V3: accuracy, precision, recall, F1 of class 1."""
+    return r6(metrics.binary_metrics(FX.scored(spark, sf)))
+
+
+def _per_class_sql(src: str) -> str:
+    return f"""k AS (SELECT DISTINCT c FROM (SELECT label AS c FROM {src} UNION SELECT prediction FROM {src}) WHERE c IS NOT NULL),
+s AS (SELECT k.c,
+        (SELECT count(*) FROM {src} WHERE label = k.c AND prediction = k.c) AS tp,
+        (SELECT count(*) FROM {src} WHERE label = k.c) AS support,
+        (SELECT count(*) FROM {src} WHERE prediction = k.c) AS predicted FROM k),
+pc AS (SELECT c, tp, support, coalesce(CAST(tp AS DOUBLE) / nullif(predicted, 0), 0) AS precision,
+              coalesce(CAST(tp AS DOUBLE) / nullif(support, 0), 0) AS recall,
+              coalesce(CAST(2 * tp AS DOUBLE) / nullif(predicted + support, 0), 0) AS f1 FROM s)"""
+
+
+@query("weighted_metrics", W("WITH " + _per_class_sql("f4m") + """
+SELECT round(sum(precision * support) / sum(support), 6) AS precision,
+       round(sum(recall * support) / sum(support), 6) AS recall,
+       round(sum(f1 * support) / sum(support), 6) AS f1 FROM pc""", "f4m"))
+def q_weighted_metrics(spark, sf):
+    """V4: support-weighted precision, recall, F1 (10 classes)."""
+    return r6(metrics.weighted_metrics(FX.scored_multiclass(spark, sf)))
+
+
+def _report_sql(src: str) -> str:
+    return "WITH " + _per_class_sql(src) + """
+SELECT CAST(dense_rank() OVER (ORDER BY c) AS INTEGER) AS row_order, CAST(c AS VARCHAR) AS "row",
+       round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM pc
+UNION ALL SELECT 1000001, 'accuracy', NULL, NULL, round(CAST(sum(tp) AS DOUBLE) / sum(support), 6),
+       CAST(sum(support) AS BIGINT) FROM pc
+UNION ALL SELECT 1000002, 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+       CAST(sum(support) AS BIGINT) FROM pc
+UNION ALL SELECT 1000003, 'weighted avg', round(sum(precision * support) / sum(support), 6),
+       round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+       CAST(sum(support) AS BIGINT) FROM pc"""
+
+
+@query("classification_report", W(_report_sql("f4m"), "f4m"))
+def q_classification_report(spark, sf):
+    """V5 on the 10-class table."""
+    return r6(metrics.classification_report(FX.scored_multiclass(spark, sf)))
+
+
+@query("classification_report_binary", W(_report_sql("f4"), "f4"))
+def q_classification_report_binary(spark, sf):
+    """V5 on the binary table."""
+    return r6(metrics.classification_report(FX.scored(spark, sf)))
+
+
+def _running_sql(src: str, groups: list[str]) -> str:
+    g = ", ".join(groups)
+    gsel = f"{g}, " if groups else ""
+    part = f"PARTITION BY {g} " if groups else ""
+    return f"""s AS (SELECT {gsel}CAST(score AS DOUBLE) AS score,
+              CAST(count_if(label = 1) AS DOUBLE) AS pos, CAST(count_if(label <> 1) AS DOUBLE) AS neg
+       FROM {src} WHERE score IS NOT NULL GROUP BY ALL),
+rc AS (SELECT {gsel}score, pos, neg,
+              sum(pos) OVER ({part}ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+              sum(neg) OVER ({part}ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+              sum(pos) OVER ({part.strip()}) AS P, sum(neg) OVER ({part.strip()}) AS N FROM s)"""
+
+
+@query("roc_auc", W("WITH " + _running_sql("f4", []) + """
+SELECT round(sum(neg * (tp - pos / 2.0)) / nullif(max(P) * max(N), 0), 6) AS roc_auc FROM rc""", "f4"))
+def q_roc_auc(spark, sf):
+    """V6: ROC-AUC with ties."""
+    return r6(curves.roc_auc(FX.scored(spark, sf)))
+
+
+@query("roc_curve", W("WITH " + _running_sql("f4", []) + """
+SELECT score AS threshold, round(fp / nullif(N, 0), 6) AS fpr, round(tp / nullif(P, 0), 6) AS tpr FROM rc
+UNION ALL SELECT CAST('infinity' AS DOUBLE), 0.0, 0.0""", "f4"))
+def q_roc_curve(spark, sf):
+    """V7: one point per distinct score plus (inf, 0, 0)."""
+    return r6(curves.roc_curve(FX.scored(spark, sf)))
+
+
+@query("pr_curve", W("WITH " + _running_sql("f4", []) + """
+SELECT score AS threshold, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
+       round(CASE WHEN P = 0 THEN 1.0 ELSE tp / P END, 6) AS recall FROM rc
+UNION ALL SELECT NULL, 1.0, 0.0""", "f4"))
+def q_pr_curve(spark, sf):
+    """V8: one point per distinct score plus (null, precision 1, recall 0)."""
+    return r6(curves.pr_curve(FX.scored(spark, sf)))
+
+
+@query("roc_by_model", W("WITH " + _running_sql("f5", ["model"]) + """
+SELECT model, score AS threshold, round(fp / nullif(N, 0), 6) AS fpr, round(tp / nullif(P, 0), 6) AS tpr FROM rc
+UNION ALL SELECT DISTINCT model, CAST('infinity' AS DOUBLE), 0.0, 0.0 FROM f5""", "f5"))
+def q_roc_by_model(spark, sf):
+    """V9: ROC curves of several models side by side."""
+    return r6(curves.roc_curve(FX.scored_models(spark, sf), groups=["model"]))
+
+
+@query("auc_by_model", W("WITH " + _running_sql("f5", ["model"]) + """
+SELECT model, round(sum(neg * (tp - pos / 2.0)) / nullif(max(P) * max(N), 0), 6) AS roc_auc
+FROM rc GROUP BY model""", "f5"))
+def q_auc_by_model(spark, sf):
+    """V9: AUC per model."""
+    return r6(curves.roc_auc(FX.scored_models(spark, sf), groups=["model"]))
+
+
+@query("loss_accuracy", """WITH p AS (SELECT label, list_transform(embedding[1:10], lambda x: exp(CAST(x AS DOUBLE))) AS ex
+                FROM embeddings),
+q AS (SELECT label, list_transform(ex, lambda v: v / list_sum(ex)) AS pr FROM p)
+SELECT round(avg(-ln(least(greatest(pr[label + 1], 1e-7), 1 - 1e-7))), 6) AS loss,
+       round(avg(CAST(list_position(pr, list_max(pr)) - 1 = label AS DOUBLE)), 6) AS accuracy FROM q""")
+def q_loss_accuracy(spark, sf):
+    """Cross-entropy and accuracy of softmax(first 10 elements) against the label."""
+    e = FX.vectors(spark, sf).select("label", S.softmax(F.slice("embedding", 1, 10)).alias("p"))
+    return r6(metrics.loss_accuracy(e, "label", "p"))
+
+
+# ---------------------------------------------------------------- inspection
+
+@query("probability_histogram", W(_hist_sql("f4", "score", 30, "label"), "f4"))
+def q_probability_histogram(spark, sf):
+    """Score distribution per true class on shared edges."""
+    return r6(inspect.probability_distribution(FX.scored(spark, sf), "label", "score", 30))
+
+
+_FC = ("fc AS (SELECT id, label, prediction, abs(score - 0.5) + 0.5 AS confidence, "
+       "CAST(label = prediction AS INTEGER) AS correct FROM f4)")
+
+
+@query("confidence_histogram", W("WITH " + _FC + ",\n" + _hist_sql("fc", "confidence", 20, "correct")[5:], "f4"))
+def q_confidence_histogram(spark, sf):
+    """Confidence distribution split by correct / incorrect."""
+    d = inspect.with_confidence(FX.scored(spark, sf))
+    return r6(inspect.confidence_distribution(d, 20))
+
+
+@query("confidence_extremes", W("WITH " + _FC + """
+(SELECT 'least' AS kind, id, label, prediction, round(confidence, 6) AS confidence FROM fc
+ ORDER BY confidence, id LIMIT 5)
+UNION ALL
+(SELECT 'most' AS kind, id, label, prediction, round(confidence, 6) AS confidence FROM fc
+ ORDER BY confidence DESC, id LIMIT 5)""", "f4"))
+def q_confidence_extremes(spark, sf):
+    """K3: five least and five most confident predictions (top-k is the feature)."""
+    d = inspect.with_confidence(FX.scored(spark, sf))
+    return r6(inspect.extremes(d, "confidence", "id", 5))
+
+
+@query("samples_per_class", """SELECT vec_id, label, sample FROM (
+  SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS sample FROM embeddings
+  WHERE label IN (SELECT DISTINCT label FROM embeddings ORDER BY label LIMIT 10))
+WHERE sample <= 2""")
+def q_samples_per_class(spark, sf):
+    """K4: first two rows of each of the first ten classes."""
+    d = inspect.first_per_class(FX.vectors(spark, sf), "label", "vec_id", 2, 10)
+    return d.select("vec_id", "label", F.col("sample").cast("long").alias("sample"))
+
+
+# ---------------------------------------------------------------- ordered weights (K1, K2, K5, K6)
+
+_SHARES = ("w AS (SELECT nation, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM f1) AS share "
+           "FROM f1 GROUP BY nation)")
+
+
+def _nation_shares(spark, sf) -> DataFrame:
+    """Share of F1 rows per nation: a data-derived (item, weight) table summing to 1."""
+    from pyspark.sql import Window
+    c = FX.orders_churn(spark, sf).groupBy("nation").agg(F.count(F.lit(1)).alias("n"))
+    return c.select("nation", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"))
+
+
+@query("weight_ranking", W("WITH " + _SHARES + """
+SELECT nation, round(share, 6) AS share, row_number() OVER (ORDER BY share DESC, nation) AS position,
+       round(sum(share) OVER (ORDER BY share DESC, nation ROWS UNBOUNDED PRECEDING), 6) AS cumulative FROM w""", "f1"))
+def q_weight_ranking(spark, sf):
+    """K1 + K5: descending order, position and cumulative share."""
+    r = importance.ranked(_nation_shares(spark, sf), "nation", "share")
+    return r6(r.withColumn("position", F.col("position").cast("long")))
+
+
+@query("weight_top10", W("WITH " + _SHARES + """
+SELECT nation, round(share, 6) AS share FROM w ORDER BY share DESC, nation LIMIT 10""", "f1"))
+def q_weight_top10(spark, sf):
+    """K2: top 10 by weight (the limit is the feature)."""
+    return r6(importance.top_k(_nation_shares(spark, sf), 10, "nation", "share"))
+
+
+@query("weights_needed", W("WITH " + _SHARES + """,
+r AS (SELECT row_number() OVER (ORDER BY share DESC, nation) AS position,
+             sum(share) OVER (ORDER BY share DESC, nation ROWS UNBOUNDED PRECEDING) / sum(share) OVER () AS cum FROM w)
+SELECT CAST(0.8 AS DOUBLE) AS threshold, CAST(min(position) FILTER (WHERE cum >= 0.8) AS BIGINT) AS n_items FROM r
+UNION ALL
+SELECT CAST(0.9 AS DOUBLE), CAST(min(position) FILTER (WHERE cum >= 0.9) AS BIGINT) FROM r""", "f1"))
+def q_weights_needed(spark, sf):
+    """K6: items needed to reach 80 % and 90 % of the total weight."""
+    d = importance.needed_for(_nation_shares(spark, sf), (0.8, 0.9), "nation", "share")
+    return d.withColumn("n_items", F.col("n_items").cast("long"))
+
+
+# ---------------------------------------------------------------- folds and comparison
+
+_FOLDS_SQL = ("folds AS (SELECT id, CAST((row_number() OVER (PARTITION BY Churn ORDER BY "
+              "md5('42|' || CAST(id AS VARCHAR)), id) - 1) % 10 AS INTEGER) AS fold FROM f1),\n"
+              "ff AS (SELECT f5.*, folds.fold FROM f5 JOIN folds USING (id))")
+
+
+def _fold_metrics_sql() -> str:
+    return _FOLDS_SQL + ",\n" + _running_sql("ff", ["model", "fold"]) + """,
+cnt AS (SELECT model, fold, count(*) AS n, count_if(label = prediction) AS ok,
+               count_if(label = 1 AND prediction = 1) AS tp, count_if(label <> 1 AND prediction = 1) AS fp,
+               count_if(label = 1 AND prediction <> 1) AS fn FROM ff GROUP BY ALL),
+fm AS (
+  SELECT model, fold, 'accuracy' AS metric, CAST(ok AS DOUBLE) / n AS value FROM cnt
+  UNION ALL SELECT model, fold, 'precision', coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) FROM cnt
+  UNION ALL SELECT model, fold, 'recall', coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) FROM cnt
+  UNION ALL SELECT model, fold, 'f1', coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0) FROM cnt
+  UNION ALL SELECT model, fold, 'roc_auc', sum(neg * (tp - pos / 2.0)) / nullif(max(P) * max(N), 0)
+            FROM rc GROUP BY model, fold)"""
+
+
+def _fold_metrics(spark, sf) -> DataFrame:
+    f1 = FX.orders_churn(spark, sf).select("id", "Churn")
+    folds = split.stratified_kfold(f1, "id", "Churn", 10, 42).select("id", "fold")
+    scored = FX.scored_models(spark, sf).join(folds, "id")
+    return metrics.grouped_binary_metrics(scored, ["model", "fold"], score="score")
+
+
+@query("fold_metrics", W("WITH " + _fold_metrics_sql() + """
+SELECT model, fold, metric, round(value, 6) AS value FROM fm""", "f5"))
+def q_fold_metrics(spark, sf):
+    """T4 (scoring part): 5 metrics per model and stratified fold, one aggregate + AUC."""
+    return r6(_fold_metrics(spark, sf))
+
+
+@query("fold_summary", W("WITH " + _fold_metrics_sql() + """
+SELECT model, metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std,
+       round(min(value), 6) AS min, round(max(value), 6) AS max, count(value) AS folds,
+       round(avg(value) - 2 * stddev_pop(value), 6) AS lo, round(avg(value) + 2 * stddev_pop(value), 6) AS hi
+FROM fm GROUP BY model, metric""", "f5"))
+def q_fold_summary(spark, sf):
+    """T5: mean, population std, min, max, +/- 2 std per (model, metric)."""
+    return r6(compare.fold_summary(_fold_metrics(spark, sf), value="value"))
+
+
+@query("fold_box", W("WITH " + _fold_metrics_sql() + """,
+q AS (SELECT model, metric, count(value) AS n, quantile_cont(value, 0.25) AS q1,
+             quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3 FROM fm GROUP BY ALL),
+j AS (SELECT fm.model, fm.metric, value, n, q1, median, q3,
+             value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1) AS inside
+      FROM fm JOIN q USING (model, metric))
+SELECT model, metric, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(min(value) FILTER (WHERE inside), 6) AS whisker_lo,
+       round(max(value) FILTER (WHERE inside), 6) AS whisker_hi,
+       count_if(NOT inside) AS n_outliers
+FROM j GROUP BY model, metric, n, q1, median, q3""", "f5"))
+def q_fold_box(spark, sf):
+    """Box-plot summary of fold scores per (model, metric)."""
+    return r6(profile.box_summary(_fold_metrics(spark, sf), "value", ["model", "metric"]))
+
+
+def _model_metrics_sql() -> str:
+    return _running_sql("f5", ["model"]) + """,
+cnt AS (SELECT model, count(*) AS n, count_if(label = prediction) AS ok,
+               count_if(label = 1 AND prediction = 1) AS tp, count_if(label <> 1 AND prediction = 1) AS fp,
+               count_if(label = 1 AND prediction <> 1) AS fn FROM f5 GROUP BY ALL),
+auc AS (SELECT model, sum(neg * (tp - pos / 2.0)) / nullif(max(P) * max(N), 0) AS roc_auc FROM rc GROUP BY model),
+cmp AS (SELECT cnt.model, CAST(ok AS DOUBLE) / n AS accuracy,
+               coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) AS precision,
+               coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) AS recall,
+               coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0) AS f1, roc_auc
+        FROM cnt JOIN auc USING (model))"""
+
+
+def _comparison(spark, sf) -> DataFrame:
+    long = metrics.grouped_binary_metrics(FX.scored_models(spark, sf), ["model"], score="score")
+    return compare.comparison_table(long)
+
+
+@query("model_comparison", W("WITH " + _model_metrics_sql() + """
+SELECT model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, round(roc_auc, 6) AS roc_auc FROM cmp""", "f5"))
+def q_model_comparison(spark, sf):
+    """One row per model, one column per metric."""
+    return r6(_comparison(spark, sf))
+
+
+@query("best_model", W("WITH " + _model_metrics_sql() + """
+SELECT model, round(f1, 6) AS f1 FROM cmp ORDER BY f1 DESC, model LIMIT 1""", "f5"))
+def q_best_model(spark, sf):
+    """K7: best model by F1 (first on ties)."""
+    return r6(compare.best_row(_comparison(spark, sf), "f1", "model").select("model", "f1"))
+
+
+@query("comparison_transposed", W("WITH " + _model_metrics_sql() + """,
+l AS (UNPIVOT cmp ON accuracy, precision, recall, f1, roc_auc INTO NAME field VALUE v)
+SELECT field, round(max(v) FILTER (WHERE model = 'price'), 6) AS price,
+       round(max(v) FILTER (WHERE model = 'balance'), 6) AS balance FROM l GROUP BY field""", "f5"))
+def q_comparison_transposed(spark, sf):
+    """The comparison table transposed (metrics as rows, models as columns)."""
+    t = compare.transpose(_comparison(spark, sf), "model", list(compare.METRICS), ["price", "balance"])
+    return r6(t)
+
+
+@query("union_train_test", W(f"""WITH r AS (SELECT id, Churn, {_rank_sql()} AS rn,
+                  count(*) OVER (PARTITION BY Churn) AS nc FROM f1)
+SELECT id, Churn, 'train' AS part FROM r WHERE rn > floor(CAST(nc AS DOUBLE) * 0.2 + 0.5)
+UNION ALL SELECT id, Churn, 'test' AS part FROM r WHERE rn <= floor(CAST(nc AS DOUBLE) * 0.2 + 0.5)""", "f1"))
+def q_union_train_test(spark, sf):
+    """Train and test parts unioned back by name."""
+    train, test = split.train_test(FX.orders_churn(spark, sf).select("id", "Churn"), "id", "Churn")
+    return compare.union_all(train.withColumn("part", F.lit("train")), test.withColumn("part", F.lit("test")))
+
+
+@query("support_vectors", W("""SELECT label, count(*) AS n_support FROM f4
+WHERE (CASE WHEN label = 1 THEN 1.0 ELSE -1.0 END) * ((score - 0.5) * 4) <= 1.0 + 0.001
+GROUP BY label""", "f4"))
+def q_support_vectors(spark, sf):
+    """M8: margin rows per class for decision values f = 4 (score - 0.5)."""
+    from classbench.models.svm import support_vector_stats
+    d = FX.scored(spark, sf).withColumn("decision", (F.col("score") - 0.5) * 4)
+    return support_vector_stats(d, "label", "decision", 1e-3)

@@ -741,3 +741,127 @@ def q_support_vectors(spark, sf):
     from classbench.models.svm import support_vector_stats
     d = FX.scored(spark, sf).withColumn("decision", (F.col("score") - 0.5) * 4)
     return support_vector_stats(d, "label", "decision", 1e-3)
+
+
+# ---------------------------------------------------------------- models (no SQL form: rows-only checks)
+
+def _sized(df: DataFrame) -> DataFrame:
+    """Persist a frame that several fits will read, with partitions sized to its rows."""
+    from classbench.session import right_size
+    return right_size(df, df.count()).persist()
+
+
+@query("forest_test_metrics")
+def q_forest_test_metrics(spark, sf):
+    """M1 + M17 + V2-V6: 20-tree forest on the exact 80/20 split, test metrics."""
+    from classbench.plans.forest_run import flagship_metrics
+    return flagship_metrics(spark, sf, num_trees=20, max_depth=10)
+
+
+@query("forest_importance")
+def q_forest_importance(spark, sf):
+    """I1 + I2: importance table of a fitted forest, ranked with cumulative share."""
+    from classbench.models.forest import forest
+    from classbench.plans.forest_run import prepare_churn
+    data, names = prepare_churn(spark, sf)
+    from classbench.models.forest import fit_sized
+    model = fit_sized(forest(20, 10), data)
+    return importance.ranked(importance.importance_table(spark, names, model.featureImportances))
+
+
+@query("forest_cv_scores")
+def q_forest_cv_scores(spark, sf):
+    """T4: 5-fold stratified CV of a small forest; five metrics per fold from one aggregate."""
+    from classbench.models.forest import forest, score
+    from classbench.plans.forest_run import prepare_churn
+    from classbench.plans.tuning import cv_scores
+    data, _ = prepare_churn(spark, sf)
+    folded = _sized(split.stratified_kfold(data, "id", "label", 5, 42))
+    return cv_scores(lambda: forest(10, 8), folded, 5, model_name="forest", score_fn=score)
+
+
+@query("forest_grid_search")
+def q_forest_grid_search(spark, sf):
+    """T1 + T3: CrossValidator over precomputed folds, F1 of class 1, all points kept."""
+    from classbench.models.forest import forest
+    from classbench.plans.forest_run import prepare_churn
+    from classbench.plans.tuning import grid_search, param_grid
+    data, _ = prepare_churn(spark, sf)
+    folded = _sized(split.stratified_kfold(data, "id", "label", 3, 42))
+    est = forest(10, 5)
+    pm = param_grid(est, {"numTrees": [5, 10], "maxDepth": [4, 8]})
+    _, table = grid_search(est, pm, folded, 3, parallelism=2)
+    return table
+
+
+@query("forest_learning_curve")
+def q_forest_learning_curve(spark, sf):
+    """Nested exact prefixes per fold; train and validation accuracy."""
+    from classbench.models.forest import forest, score
+    from classbench.plans.forest_run import prepare_churn
+    from classbench.plans.tuning import learning_curve
+    data, _ = prepare_churn(spark, sf)
+    folded = _sized(split.stratified_kfold(data, "id", "label", 3, 42))
+    return learning_curve(lambda: forest(10, 6), folded, 3, fractions=[0.25, 0.5, 1.0], score_fn=score)
+
+
+@query("forest_validation_curve")
+def q_forest_validation_curve(spark, sf):
+    """F1 on train and validation folds over the tree count."""
+    from classbench.models.forest import forest, score
+    from classbench.plans.forest_run import prepare_churn
+    from classbench.plans.tuning import validation_curve
+    data, _ = prepare_churn(spark, sf)
+    folded = _sized(split.stratified_kfold(data, "id", "label", 3, 42))
+    return validation_curve(lambda num_trees: forest(num_trees, 6), "num_trees", [5, 10], folded, 3,
+                            score_fn=score)
+
+
+@query("svm_comparison")
+def q_svm_comparison(spark, sf):
+    """M3-M7 + T8: linear and RBF (Nystroem) SVMs, Platt-calibrated, compared on F1."""
+    from classbench.plans.svm_run import run_svm_analysis
+    return run_svm_analysis(spark, sf, kernels=("linear", "rbf"), n_landmarks=64, max_iter=50,
+                            platt_folds=3).tables["comparison"]
+
+
+@query("svm_ring")
+def q_svm_ring(spark, sf):
+    """M3 vs M4 on the ring (F3): the kernel map must separate what a line cannot."""
+    from classbench.models.svm import fit_kernel_svm
+    from classbench.plans.svm_run import evaluate, prepare_ring
+    train, test = prepare_ring(spark, sf)
+    lin = fit_kernel_svm(train, "linear", C=1.0, max_iter=50, platt_folds=3)
+    rbf = fit_kernel_svm(train, "rbf", C=10.0, n_landmarks=128, max_iter=50, platt_folds=3)
+    return compare.comparison_table(compare.union_all(evaluate(lin, test, "linear"),
+                                                      evaluate(rbf, test, "rbf")))
+
+
+@query("pca_projection")
+def q_pca_projection(spark, sf):
+    """Centred 2-component PCA of the scaled churn features."""
+    from classbench.operators.projection import pca_2d
+    from classbench.plans.svm_run import prepare_scaled
+    train, _, _ = prepare_scaled(spark, sf)
+    projected, _, _ = pca_2d(train)
+    return projected.select("id", "label", "pc_1", "pc_2")
+
+
+@query("network_history")
+def q_network_history(spark, sf):
+    """M9 + M11-M15: 'simple' preset on scaled churn features; per-epoch history."""
+    from classbench.plans.network_run import train_network
+    from classbench.plans.svm_run import prepare_scaled
+    train, test, _ = prepare_scaled(spark, sf)
+    model = train_network(train, test, 2, "simple", epochs=5, num_partitions=4)
+    return model.history_frame(spark)
+
+
+@query("network_image_metrics")
+def q_network_image_metrics(spark, sf):
+    """M10 + V10 + V4: configurable network on the 8x8 image table (10 classes)."""
+    from classbench.plans.network_run import evaluate_network, prepare_images, train_network
+    train, test = prepare_images(spark, sf)
+    model = train_network(train, test, 10, preset=None, hidden=[64, 32], epochs=5, batch_size=32,
+                          num_partitions=2)
+    return evaluate_network(model, test)

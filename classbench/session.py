@@ -54,3 +54,35 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_by_value(module) -> None:
+    """Pickle a module's functions by value into Python tasks.
+
+    Executor-side code (Arrow batch functions of the kernel map and the
+    network) then needs only NumPy/pandas on the workers, not this package on
+    their path.
+    """
+    from pyspark import cloudpickle
+
+    try:
+        cloudpickle.register_pickle_by_value(module)
+    except ValueError:
+        pass  # already registered
+
+
+ROWS_PER_PARTITION = 2_000_000
+
+
+def right_size(df, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION):
+    """Partition count proportional to the rows (about ``rows_per_partition`` each).
+
+    Iterative learners make one distributed pass per optimizer step, so a
+    frame split finer than its size needs pays the per-task cost on every
+    step; a coarser one spills.  Only ever narrows (``coalesce``, no shuffle).
+    """
+    import math
+
+    want = max(1, math.ceil(n_rows / rows_per_partition))
+    have = df.rdd.getNumPartitions()
+    return df.coalesce(want) if have > want else df

@@ -1,0 +1,39 @@
+import pytest
+
+from classbench import spec
+from classbench.session import new_scratch_path
+from classbench.sources import io
+
+
+def test_csv_infers_booleans_and_nulls(spark):
+    path = new_scratch_path(spark, "csv-test")
+    spark.createDataFrame([(1, "x", True), (2, None, False)], "a int, s string, Churn boolean") \
+        .write.option("header", True).csv(path)
+    df = io.read_csv(spark, path)
+    assert dict(df.dtypes)["Churn"] == "boolean"
+    assert sorted(r["s"] for r in df.collect() if r["s"]) == ["x"]
+
+
+def test_read_first_records_source(spark):
+    good = new_scratch_path(spark, "good")
+    spark.range(3).write.parquet(good)
+    df, used = io.read_first(spark, [("missing", lambda: spark.read.parquet("/nonexistent/x")),
+                                     ("good", lambda: spark.read.parquet(good))])
+    assert used == "good" and df.count() == 3
+    with pytest.raises(FileNotFoundError):
+        io.read_first(spark, [("missing", lambda: spark.read.parquet("/nonexistent/y"))])
+
+
+def test_report_sink_round_trip(spark):
+    one = spark.createDataFrame([("forest", 100, 0.91)], "model string, trees int, acc double")
+    got = io.report_sink(one, new_scratch_path(spark, "report"))
+    assert {r["field"]: r["Value"] for r in got.collect()} == {"model": "forest", "trees": "100", "acc": "0.91"}
+
+
+def test_target_resolution_and_spec(spark):
+    assert spec.resolve_target(["a", "Class", "target"]) == "target"
+    assert spec.resolve_target(["a", "b"]) == "b"
+    assert spec.app_target(["x", "Churn"]) == "Churn"
+    df = spark.createDataFrame([(1, "s", 2.0, True)], "id long, State string, mins double, Churn boolean")
+    ts = spec.table_spec(df)
+    assert ts.target == "Churn" and ts.categorical == ("State",) and ts.numeric == ("mins",)

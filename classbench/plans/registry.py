@@ -473,17 +473,18 @@ def q_classification_report_binary(spark, sf):
     return r6(metrics.classification_report(FX.scored(spark, sf)))
 
 
-def _running_sql(src: str, groups: list[str]) -> str:
+def _running_sql(src: str, groups: list[str], p: str = "") -> str:
+    """CTEs {p}s (per distinct score) and {p}rc (running tp/fp with totals)."""
     g = ", ".join(groups)
     gsel = f"{g}, " if groups else ""
     part = f"PARTITION BY {g} " if groups else ""
-    return f"""s AS (SELECT {gsel}CAST(score AS DOUBLE) AS score,
+    return f"""{p}s AS (SELECT {gsel}CAST(score AS DOUBLE) AS score,
               CAST(count_if(label = 1) AS DOUBLE) AS pos, CAST(count_if(label <> 1) AS DOUBLE) AS neg
        FROM {src} WHERE score IS NOT NULL GROUP BY ALL),
-rc AS (SELECT {gsel}score, pos, neg,
+{p}rc AS (SELECT {gsel}score, pos, neg,
               sum(pos) OVER ({part}ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
               sum(neg) OVER ({part}ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
-              sum(pos) OVER ({part.strip()}) AS P, sum(neg) OVER ({part.strip()}) AS N FROM s)"""
+              sum(pos) OVER ({part.strip()}) AS P, sum(neg) OVER ({part.strip()}) AS N FROM {p}s)"""
 
 
 @query("roc_auc", W("WITH " + _running_sql("f4", []) + """
@@ -680,17 +681,18 @@ def q_fold_box(spark, sf):
     return r6(profile.box_summary(_fold_metrics(spark, sf), "value", ["model", "metric"]))
 
 
-def _model_metrics_sql() -> str:
-    return _running_sql("f5", ["model"]) + """,
-cnt AS (SELECT model, count(*) AS n, count_if(label = prediction) AS ok,
+def _model_metrics_sql(p: str = "") -> str:
+    return _running_sql("f5", ["model"], p) + f""",
+{p}cnt AS (SELECT model, count(*) AS n, count_if(label = prediction) AS ok,
                count_if(label = 1 AND prediction = 1) AS tp, count_if(label <> 1 AND prediction = 1) AS fp,
                count_if(label = 1 AND prediction <> 1) AS fn FROM f5 GROUP BY ALL),
-auc AS (SELECT model, sum(neg * (tp - pos / 2.0)) / nullif(max(P) * max(N), 0) AS roc_auc FROM rc GROUP BY model),
-cmp AS (SELECT cnt.model, CAST(ok AS DOUBLE) / n AS accuracy,
+{p}auc AS (SELECT model, sum(neg * (tp - pos / 2.0)) / nullif(max(P) * max(N), 0) AS roc_auc
+           FROM {p}rc GROUP BY model),
+{p}cmp AS (SELECT {p}cnt.model, CAST(ok AS DOUBLE) / n AS accuracy,
                coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) AS precision,
                coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) AS recall,
                coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0) AS f1, roc_auc
-        FROM cnt JOIN auc USING (model))"""
+        FROM {p}cnt JOIN {p}auc USING (model))"""
 
 
 def _comparison(spark, sf) -> DataFrame:
@@ -864,3 +866,41 @@ def q_network_image_metrics(spark, sf):
     train, test = prepare_images(spark, sf)
     model = train_network(train, test, 10, preset=None, hidden=[64, 32], epochs=5, batch_size=32)
     return evaluate_network(model, test)
+
+
+# ---------------------------------------------------------------- reports
+
+@query("detailed_report", W("WITH " + _fold_metrics_sql() + ",\n" + _model_metrics_sql("m_") + """,
+tl AS (UNPIVOT m_cmp ON accuracy, precision, recall, f1, roc_auc INTO NAME metric VALUE value),
+fsum AS (SELECT model, metric, avg(value) AS mean, stddev_pop(value) AS std FROM fm GROUP BY model, metric)
+SELECT 'test' AS section, model, metric, round(value, 6) AS value FROM tl
+UNION ALL SELECT 'cv_mean', model, metric, round(mean, 6) FROM fsum
+UNION ALL SELECT 'cv_std', model, metric, round(std, 6) FROM fsum
+UNION ALL (SELECT 'best_f1', model, metric, round(value, 6) FROM tl WHERE metric = 'f1'
+           ORDER BY value DESC, model LIMIT 1)
+UNION ALL (SELECT 'best_roc_auc', model, metric, round(value, 6) FROM tl WHERE metric = 'roc_auc'
+           ORDER BY value DESC, model LIMIT 1)
+UNION ALL (SELECT 'best_accuracy', model, metric, round(value, 6) FROM tl WHERE metric = 'accuracy'
+           ORDER BY value DESC, model LIMIT 1)""", "f5"))
+def q_detailed_report(spark, sf):
+    """R2: test table, CV mean/std table and best model by F1, ROC-AUC, accuracy."""
+    from classbench.plans.reports import detailed_report
+    test_long = metrics.grouped_binary_metrics(FX.scored_models(spark, sf), ["model"], score="score")
+    return r6(detailed_report(test_long, _fold_metrics(spark, sf)))
+
+
+@query("forest_summary_report")
+def q_forest_summary_report(spark, sf):
+    """R1 + S5: forest summary (type, trees, depth, test metrics, rows, features) as CSV."""
+    from classbench.models.forest import forest, score
+    from classbench.plans.forest_run import _metric_rows, prepare_churn
+    from classbench.plans.reports import model_summary
+    from classbench.session import right_size
+    data, names = prepare_churn(spark, sf)
+    parts = split.stratified_split(data, "id", "label", 0.2, 42)
+    parts = right_size(parts, parts.count()).persist()
+    train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
+    model = forest(20, 10).fit(train)
+    info = {"model": "RandomForest", "n_trees": 20, "max_depth": 10, "n_train": train.count(),
+            "n_test": test.count(), "n_features": len(names)}
+    return model_summary(_metric_rows(score(model, test)), info, new_scratch_path(spark, "summary"))

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The classification workflows this package mirrors have no streams,
+watermarks, windows over event time or stateful operators (their "callbacks"
+are in-process training hooks, re-expressed as the epoch loop of
+``classbench.models.network``).  Nothing is built here so as not to invent
+operators the source workflows do not have.
+"""

@@ -37,3 +37,8 @@ def test_target_resolution_and_spec(spark):
     df = spark.createDataFrame([(1, "s", 2.0, True)], "id long, State string, mins double, Churn boolean")
     ts = spec.table_spec(df)
     assert ts.target == "Churn" and ts.categorical == ("State",) and ts.numeric == ("mins",)
+
+
+def test_artifact_table(spark):
+    t = io.artifacts(spark, {"model": "/x/model", "report": "/x/report.csv"})
+    assert [tuple(r) for r in t.collect()] == [("model", "/x/model"), ("report", "/x/report.csv")]

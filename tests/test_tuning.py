@@ -47,3 +47,15 @@ def test_learning_curve_nested_exact_sizes(folded):
         n_train = folded.where(F.col("fold") != f).count()
         sizes = sorted(r["n_train"] for r in t if r["fold"] == f)
         assert sizes == [int(0.5 * n_train), n_train]
+
+
+def test_complete_forest_run(spark):
+    from classbench.plans.forest_run import run_complete_analysis
+    run = run_complete_analysis(spark, SF_SMALL, num_trees=10, max_depth=6, cv_folds=3,
+                                grid={"n_estimators": [5], "max_depth": [3, 6]}, tune_folds=2)
+    t = run.tables
+    assert {"test_metrics", "confusion", "roc", "pr", "importance", "cv", "grid"} <= set(t)
+    assert t["grid"].count() == 2 and t["confusion"].count() == 4
+    assert t["cv"].count() == 15
+    assert abs(sum(r["importance"] for r in t["importance"].collect()) - 1.0) < 1e-9
+    run.close()

@@ -36,8 +36,11 @@ def score_table(df: DataFrame, label: str, score: str, groups: list[str] = (),
 
 
 def running_counts(df: DataFrame, label: str, score: str, groups: list[str] = (),
-                   positive=1, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """(groups..., score, pos, neg, tp, fp, P, N): tp/fp = rows scored >= score."""
+                   positive=1, rows_per_bucket: int = ROWS_PER_BUCKET, with_table: bool = False):
+    """(groups..., score, pos, neg, tp, fp, P, N): tp/fp = rows scored >= score.
+
+    With ``with_table`` also returns the checkpointed distinct-score table.
+    """
     groups = list(groups)
     scratch_dir(df.sparkSession)
     st = score_table(df, label, score, groups, positive).checkpoint(eager=True)
@@ -62,10 +65,11 @@ def running_counts(df: DataFrame, label: str, score: str, groups: list[str] = ()
     w = Window.partitionBy(*groups, "_b").orderBy(F.desc("score")).rowsBetween(
         Window.unboundedPreceding, 0)
     j = d.join(offs, cond)
-    return j.select(*groups, "score", "pos", "neg",
-                    (F.col("_op") + F.sum("pos").over(w)).cast("long").alias("tp"),
-                    (F.col("_on") + F.sum("neg").over(w)).cast("long").alias("fp"),
-                    F.col("P").cast("long").alias("P"), F.col("N").cast("long").alias("N"))
+    rc = j.select(*groups, "score", "pos", "neg",
+                  (F.col("_op") + F.sum("pos").over(w)).cast("long").alias("tp"),
+                  (F.col("_on") + F.sum("neg").over(w)).cast("long").alias("fp"),
+                  F.col("P").cast("long").alias("P"), F.col("N").cast("long").alias("N"))
+    return (rc, st) if with_table else rc
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
@@ -73,11 +77,11 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
     """V7/V9: (groups..., threshold, fpr, tpr), one row per distinct score plus
     the start point (threshold +inf, 0, 0).  No intermediate point is dropped."""
     groups = list(groups)
-    rc = running_counts(df, label, score, groups, positive, **kw)
+    rc, st = running_counts(df, label, score, groups, positive, with_table=True, **kw)
     pts = rc.select(*groups, F.col("score").alias("threshold"),
                     (F.col("fp") / F.nullif(F.col("N"), F.lit(0))).alias("fpr"),
                     (F.col("tp") / F.nullif(F.col("P"), F.lit(0))).alias("tpr"))
-    start = rc.select(*groups).distinct().select(
+    start = st.select(*groups).distinct().select(
         *groups, F.lit(math.inf).alias("threshold"), F.lit(0.0).alias("fpr"),
         F.lit(0.0).alias("tpr"))
     return pts.unionByName(start)
@@ -88,12 +92,12 @@ def pr_curve(df: DataFrame, label: str = "label", score: str = "score",
     """V8: (groups..., threshold, precision, recall) per distinct score, plus the
     end point (null threshold, precision 1, recall 0)."""
     groups = list(groups)
-    rc = running_counts(df, label, score, groups, positive, **kw)
+    rc, st = running_counts(df, label, score, groups, positive, with_table=True, **kw)
     prec = F.coalesce(F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0)), F.lit(0.0))
     rec = F.when(F.col("P") == 0, F.lit(1.0)).otherwise(F.col("tp") / F.col("P"))
     pts = rc.select(*groups, F.col("score").alias("threshold"), prec.alias("precision"),
                     rec.alias("recall"))
-    end = rc.select(*groups).distinct().select(
+    end = st.select(*groups).distinct().select(
         *groups, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
         F.lit(0.0).alias("recall"))
     return pts.unionByName(end)

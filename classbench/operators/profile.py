@@ -150,15 +150,26 @@ def width_gate(df: DataFrame, target: str, stats_max: int = 20, sample_over: int
     return {"n_columns": ncol, "show_stats": ncol <= stats_max, "sample_columns": sample}
 
 
-def _edges(df: DataFrame, col: str) -> tuple[float, float] | None:
-    r = df.agg(F.min(F.col(col).cast("double")).alias("lo"),
-               F.max(F.col(col).cast("double")).alias("hi")).first()
+def _edges(df: DataFrame, col: str, group: str | None = None, max_groups: int = 10_000):
+    """(lo, hi, groups) in one pass; groups are collected only when bounded."""
+    aggs = [F.min(F.col(col).cast("double")).alias("lo"), F.max(F.col(col).cast("double")).alias("hi")]
+    if group:
+        aggs.append(F.collect_set(F.col(group)).alias("g"))
+        aggs.append(F.max(F.col(group).isNull().cast("int")).alias("gnull"))
+    r = df.agg(*aggs).first()
+    groups = None
+    if group:
+        groups = sorted(r["g"])
+        if len(groups) > max_groups:
+            raise ValueError("too many groups for a grouped histogram")
+        if r["gnull"]:
+            groups.append(None)
     if r["lo"] is None:
-        return None
+        return None, None, groups
     lo, hi = r["lo"], r["hi"]
     if lo == hi:  # a single value: unit-wide range around it, as NumPy does
         lo, hi = lo - 0.5, hi + 0.5
-    return lo, hi
+    return lo, hi, groups
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30, group: str | None = None,
@@ -168,15 +179,14 @@ def histogram(df: DataFrame, col: str, bins: int = 30, group: str | None = None,
     Output (``group``,) bin (1-based), lo, hi, count.  With ``group`` every
     group shares the same edges (A13).  Edges come from one min/max pass
     unless given.  The full (group, bin) grid is generated per group with
-    ``explode(sequence)`` from the distinct groups, then left-joined to the
-    counts; both sides are bounded by groups x bins.
+    ``explode(sequence)`` from the groups collected in the edge pass (bounded),
+    then left-joined to the counts; both sides are bounded by groups x bins.
     """
-    if lo is None or hi is None:
-        e = _edges(df, col)
-        if e is None:
-            lo, hi = 0.0, 1.0
-        else:
-            lo, hi = e
+    groups = None
+    if lo is None or hi is None or group:
+        e_lo, e_hi, groups = _edges(df, col, group)
+        if lo is None or hi is None:
+            lo, hi = (0.0, 1.0) if e_lo is None else (e_lo, e_hi)
     width = (hi - lo) / bins
     x = F.col(col).cast("double")
     b = F.least(F.lit(bins), F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)).cast("int") + 1)
@@ -184,8 +194,12 @@ def histogram(df: DataFrame, col: str, bins: int = 30, group: str | None = None,
     inside = df.where(x.isNotNull() & (x >= F.lit(lo)) & (x <= F.lit(hi)))
     counts = inside.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     if group:
-        grid = df.select(group).distinct().select(
-            group, F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
+        # the (bounded) group list came with the edge pass: no second scan for it
+        gtype = df.schema[group].dataType
+        glits = F.array(*[F.lit(g).cast(gtype) for g in groups]) if groups else F.array().cast(
+            f"array<{gtype.simpleString()}>")
+        grid = (df.sparkSession.range(1).select(F.explode(glits).alias(group))
+                .select(group, F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")))
     else:
         grid = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     out = grid.join(counts, keys + ["bin"], "left")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, LongType, NumericType, StringType,
                                StructField, StructType)
 
-from classbench.operators.quantile import exact_quantiles
+from classbench.operators.quantile import exact_quantiles_many
 from classbench.spec import numeric_columns
 
 
@@ -116,7 +116,8 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """A10: count, mean, sample std, min, 25/50/75 % (linear), max per numeric column.
 
     Moments come from one aggregate; quantiles are exact order statistics
-    found by range narrowing (``operators.quantile``), never a one-task sort.
+    from bracketing approximate quantiles (``operators.quantile``): three
+    passes for all columns together, never a one-task sort.
     The result has one row per column.
     """
     if cols is None:
@@ -127,14 +128,16 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`").cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    mom = df.agg(*aggs).first()
+        aggs += [F.count(x).alias(f"d_n{i}"), F.avg(x).alias(f"d_m{i}"), F.stddev_samp(x).alias(f"d_s{i}"),
+                 F.min(x).alias(f"d_lo{i}"), F.max(x).alias(f"d_hi{i}")]
+    n_max = df.count()
+    qs, mom = exact_quantiles_many(df, cols, [0.25, 0.5, 0.75], n_max=n_max, extra=aggs,
+                                   return_row=True)
     rows = []
     for i, c in enumerate(cols):
-        n = mom[f"n{i}"]
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75], n=n) if n else [None] * 3
-        rows.append((c, n, mom[f"m{i}"], mom[f"s{i}"], mom[f"lo{i}"], q[0], q[1], q[2], mom[f"hi{i}"]))
+        q = qs[c]
+        rows.append((c, mom[f"d_n{i}"], mom[f"d_m{i}"], mom[f"d_s{i}"], mom[f"d_lo{i}"], q[0], q[1], q[2],
+                     mom[f"d_hi{i}"]))
     return spark.createDataFrame(rows, DESCRIBE_SCHEMA)
 
 

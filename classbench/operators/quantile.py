@@ -105,3 +105,106 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], n: int | None =
         a, b = got[lo_r], got[hi_r]
         out.append(a + (b - a) * (pos - math.floor(pos)))
     return out
+
+
+def _positions(n: int, probs: list[float]) -> list[tuple[int, int, float]]:
+    out = []
+    for p in probs:
+        pos = (n - 1) * p
+        out.append((int(math.floor(pos)) + 1, int(math.ceil(pos)) + 1, pos - math.floor(pos)))
+    return out
+
+
+def exact_quantiles_many(df: DataFrame, cols: list[str], probs: list[float], n_max: int | None = None,
+                         accuracy: int | None = None, direct_rows: int = 1 << 18, extra=(),
+                         return_row: bool = False):
+    """Exact linear-interpolated quantiles of several columns in three passes.
+
+    ``percentile_approx`` guarantees a rank error of at most n / accuracy, so
+    approximate values at q -/+ 2/accuracy bracket every wanted order
+    statistic.  Pass 1 finds the brackets for all columns (and the counts),
+    pass 2 counts rows below and inside each bracket, pass 3 sorts only the
+    rows inside brackets (each at most ``direct_rows``) with a window per
+    bracket.  A bracket holding one value (a hot value) resolves without a
+    sort; a bracket that is still too large falls back to ``select_ranks``.
+    ``accuracy`` defaults to what keeps brackets near ``direct_rows / 8`` rows
+    for ``n_max`` rows (between 1e3 and 1e6).  ``extra`` aggregates ride along
+    in pass 1 (``return_row`` returns that row too).
+    """
+    if accuracy is None:
+        accuracy = 1000 if n_max is None else int(min(1e6, max(1000, math.ceil(8 * n_max / direct_rows))))
+    delta = 2.0 / accuracy
+    lo_p = [max(0.0, p - delta) for p in probs]
+    hi_p = [min(1.0, p + delta) for p in probs]
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(f"`{c}`").cast("double")
+        x = F.when(~F.isnan(x), x)
+        aggs += [F.count(x).alias(f"n{i}"),
+                 F.percentile_approx(x, lo_p + hi_p, accuracy).alias(f"b{i}")]
+    first = df.agg(*aggs, *extra).first()
+    k = len(probs)
+    items = []  # (col index, rank, lo, hi)
+    for i, c in enumerate(cols):
+        n = first[f"n{i}"]
+        if not n:
+            continue
+        b = first[f"b{i}"]
+        pos = _positions(n, probs)
+        for j, (r_lo, r_hi, _) in enumerate(pos):
+            for r in {r_lo, r_hi}:
+                items.append((i, r, b[j], b[k + j]))
+    # pass 2: rows below and inside each bracket, all brackets in one aggregate
+    aggs = []
+    for t, (i, r, lo, hi) in enumerate(items):
+        x = F.col(f"`{cols[i]}`").cast("double")
+        aggs += [F.count_if(x < F.lit(lo)).alias(f"below{t}"),
+                 F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias(f"in{t}")]
+    cnt = df.agg(*aggs).first() if aggs else None
+    values: dict[tuple[int, int], float] = {}
+    direct = []
+    for t, (i, r, lo, hi) in enumerate(items):
+        below, inside = cnt[f"below{t}"], cnt[f"in{t}"]
+        if not (below < r <= below + inside):  # guarantee not met: general narrowing
+            values[(i, r)] = select_ranks(df.select(F.col(f"`{cols[i]}`").cast("double").alias("v")),
+                                          "v", [r], first[f"n{i}"])[r]
+        elif lo == hi:
+            values[(i, r)] = lo
+        elif inside > direct_rows:
+            sub = df.select(F.col(f"`{cols[i]}`").cast("double").alias("v")).where(
+                (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
+            values[(i, r)] = select_ranks(sub, "v", [r - below], inside)[r - below]
+        else:
+            direct.append((t, i, r - below, lo, hi))
+    if direct:
+        # pass 3: one scan emits (bracket, value) pairs; a window per bracket ranks them
+        pairs = F.array(*[F.when((F.col(f"`{cols[i]}`").cast("double") >= F.lit(lo))
+                                 & (F.col(f"`{cols[i]}`").cast("double") <= F.lit(hi)),
+                                 F.struct(F.lit(t).alias("t"), F.col(f"`{cols[i]}`").cast("double").alias("v")))
+                          for t, i, _, lo, hi in direct])
+        want = F.create_map(*[x for t, _, rel, _, _ in direct for x in (F.lit(t), F.lit(rel))])
+        from pyspark.sql import Window
+        anywhere = None
+        for _, i, _, lo, hi in direct:
+            x = F.col(f"`{cols[i]}`").cast("double")
+            cond = (x >= F.lit(lo)) & (x <= F.lit(hi))
+            anywhere = cond if anywhere is None else anywhere | cond
+        got = (df.where(anywhere).select(F.explode(F.filter(pairs, lambda s: s.isNotNull())).alias("p"))
+               .select("p.t", "p.v")
+               .withColumn("rn", F.row_number().over(Window.partitionBy("t").orderBy("v")))
+               .where(F.col("rn") == want[F.col("t")]).collect())
+        by_t = {row["t"]: row["v"] for row in got}
+        for t, i, rel, _, _ in direct:
+            values[(i, items[t][1])] = by_t[t]
+    out = {}
+    for i, c in enumerate(cols):
+        n = first[f"n{i}"]
+        if not n:
+            out[c] = [None] * k
+            continue
+        res = []
+        for r_lo, r_hi, frac in _positions(n, probs):
+            a, b = values[(i, r_lo)], values[(i, r_hi)]
+            res.append(a + (b - a) * frac)
+        out[c] = res
+    return (out, first) if return_row else out

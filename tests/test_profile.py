@@ -90,3 +90,18 @@ def test_width_gate(spark):
     assert not g["show_stats"] and g["sample_columns"] == ["c59"] + [f"c{i}" for i in range(10)]
     narrow = spark.createDataFrame([(1, 2)], "a int, b int")
     assert profile.width_gate(narrow, "b")["show_stats"]
+
+
+def test_many_column_quantiles_match_numpy(spark):
+    from classbench.operators.quantile import exact_quantiles_many
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=2000)
+    b = np.concatenate([np.full(700, 5.0), rng.integers(0, 9, 1300).astype(float)])
+    c = rng.exponential(size=2000)
+    df = spark.createDataFrame([(float(x), float(y), float(z)) for x, y, z in zip(a, b, c)],
+                               "a double, b double, c double").repartition(3)
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    for acc, direct in ((10_000, 1 << 18), (50, 16)):
+        got = exact_quantiles_many(df, ["a", "b", "c"], probs, accuracy=acc, direct_rows=direct)
+        for name, arr in (("a", a), ("b", b), ("c", c)):
+            assert got[name] == pytest.approx(list(np.quantile(arr, probs)))

@@ -57,7 +57,8 @@ def running_counts(df: DataFrame, label: str, score: str, groups: list[str] = ()
                       F.coalesce(F.sum("_bp").over(higher), F.lit(0)).alias("_op"),
                       F.coalesce(F.sum("_bn").over(higher), F.lit(0)).alias("_on"),
                       F.sum("_bp").over(whole).alias("P"), F.sum("_bn").over(whole).alias("N"))
-    if nb * 64 <= BROADCAST_ROWS:  # groups are models/folds: few
+    n_groups = st.select(*groups).distinct().count() if groups else 1
+    if nb * n_groups <= BROADCAST_ROWS:  # offsets: one row per (group, bucket)
         offs = F.broadcast(offs)
     cond = F.col("_b") == F.col("_ob")
     for i, g in enumerate(groups):

@@ -80,14 +80,16 @@ def value_counts(df: DataFrame, col: str, order: str = "count") -> DataFrame:
 def class_share(df: DataFrame, col: str, decimals: int = 1) -> DataFrame:
     """(value, count, percent) with percent rounded to ``decimals``.
 
-    The total comes from a window over the aggregated table, whose size is
-    the number of distinct classes, so no cross join and no row-sized window.
+    The total is one number from a separate aggregate, used as a literal: no
+    cross join and no window, so a column with many distinct values is never
+    pulled into one task.
     """
-    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(
-        F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
+    nn = df.where(F.col(col).isNotNull())
+    total = nn.agg(F.count(F.lit(1))).first()[0]
+    counts = nn.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
     return counts.select("value", "count",
-                         F.round(F.col("count") * 100.0 / total, decimals).alias("percent"))
+                         F.round(F.col("count") * 100.0 / F.lit(max(total, 1)).cast("double"),
+                                 decimals).alias("percent"))
 
 
 def positive_rate(df: DataFrame, target: str | None) -> DataFrame:

@@ -53,3 +53,17 @@ def pca_2d(df: DataFrame, features: str = "features", k: int = 2, out: str = "pc
     projected = model.transform(centred).select(*df.columns, *cols)
     ratio = [float(v) for v in model.explainedVariance.toArray()]
     return projected, ratio, float(sum(ratio))
+
+
+def decision_surface(model, train_2d: DataFrame, xcol: str, ycol: str, step: float = 0.02,
+                     margin: float = 1.0) -> DataFrame:
+    """A mesh over two features scored by a model fitted on those two features.
+
+    Output (ix, iy, x, y, prediction, score); scoring runs on the executors.
+    """
+    from pyspark.ml.feature import VectorAssembler
+
+    mesh = mesh_grid(train_2d, xcol, ycol, step, margin)
+    feats = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(mesh)
+    scored = model.transform(feats)
+    return scored.select("ix", "iy", "x", "y", F.col("prediction").cast("int").alias("prediction"), "score")

@@ -1,0 +1,94 @@
+"""Generic table preparation: what the reference loaders do for any CSV.
+
+load (S1, S4) -> roles from the schema (S3, P5) -> target to 0/1 or codes
+(P2, P3, E3) -> label codes for text features with null as 'nan' (E1, E2) ->
+optional population scaling fitted on the training part (E6) -> assembled
+``features`` (E5).  The output always has ``id``, ``features``, ``label``.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
+
+from classbench.operators import encode, split
+from classbench.session import right_size
+from classbench.spec import TableSpec, table_spec
+
+
+@dataclass
+class Prepared:
+    """Prepared parts and what was learned while preparing them."""
+
+    train: DataFrame
+    test: DataFrame
+    spec: TableSpec
+    feature_names: list[str]
+    class_names: list | None
+    encoding: object | None
+    scaler: object | None
+
+
+def with_row_id(df: DataFrame, id_col: str = "id") -> DataFrame:
+    """A row key for tables without one (CSV files).
+
+    ``monotonically_increasing_id`` is stable for the same files and split
+    settings, which is what a file source gives; tables with a key should
+    pass it instead.
+    """
+    return df if id_col in df.columns else df.withColumn(id_col, F.monotonically_increasing_id())
+
+
+def label_column(df: DataFrame, target: str) -> tuple[DataFrame, list | None]:
+    """Boolean -> 0/1; 'True'/'False' text -> 1/0 (other text null);
+    other text -> alphabetical codes; numbers pass."""
+    dt = df.schema[target].dataType
+    if isinstance(dt, BooleanType):
+        return df.withColumn("label", F.col(target).cast("int")), [False, True]
+    if isinstance(dt, StringType):
+        vals = {r[0] for r in df.select(target).distinct().limit(3).collect()}
+        if vals and vals <= {"True", "False", None}:
+            lab = F.when(F.col(target) == "True", 1).when(F.col(target) == "False", 0)
+            return df.withColumn("label", lab.cast("int")), ["False", "True"]
+        coded, names = encode.encode_target(df.select(*df.columns), target)
+        return coded.withColumn("label", F.col(target)), names
+    return df.withColumn("label", F.col(target).cast("int")), None
+
+
+def prepare_table(df: DataFrame, target: str | None = None, id_col: str = "id",
+                  categorical: list[str] | None = None, test_size: float = 0.2, seed: int = 42,
+                  scale: bool = False, fit_encoding_on: str = "all") -> Prepared:
+    """Split a table into prepared train/test parts (exact stratified split, L1).
+
+    ``fit_encoding_on='all'`` fits the label codes on every row, as the
+    reference does (Q1); ``'train'`` fits on the training part and gives
+    unseen values an extra code.
+    """
+    df = with_row_id(df, id_col)
+    ts = table_spec(df, id_col, target, categorical)
+    labelled, class_names = label_column(df, ts.target)
+    labelled = labelled.where(F.col("label").isNotNull())
+    parts = split.stratified_split(labelled, id_col, "label", test_size, seed)
+    parts = right_size(parts, parts.count()).persist()
+    train = parts.where(F.col("split") == "train")
+    test = parts.where(F.col("split") == "test")
+    enc = None
+    if ts.categorical:
+        fit_df = labelled if fit_encoding_on == "all" else train
+        enc = encode.fit_label_encoding(fit_df, list(ts.categorical),
+                                        handle_invalid="error" if fit_encoding_on == "all" else "keep")
+        train, test = enc.transform(train), enc.transform(test)
+    names = list(ts.categorical) + list(ts.numeric)
+    scaler = None
+    if scale:
+        scaler = encode.fit_population_scaler(train, names)
+        train, test = scaler.transform(train), scaler.transform(test)
+    out = []
+    for part in (train, test):
+        d = part.select(id_col, *[F.col(c).cast("double").alias(c) for c in names], "label")
+        out.append(encode.assemble(d, names).select(F.col(id_col).alias("id"), "features",
+                                                      F.col("label").cast("double").alias("label")))
+    return Prepared(out[0], out[1], ts, names, class_names, enc, scaler)

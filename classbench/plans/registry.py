@@ -904,3 +904,19 @@ def q_forest_summary_report(spark, sf):
     info = {"model": "RandomForest", "n_trees": 20, "max_depth": 10, "n_train": train.count(),
             "n_test": test.count(), "n_features": len(names)}
     return model_summary(_metric_rows(score(model, test)), info, new_scratch_path(spark, "summary"))
+
+
+@query("svm_decision_surface")
+def q_svm_decision_surface(spark, sf):
+    """E7 + E8 + M4: scaled churn features projected to 2 components, an RBF model
+    with default parameters fitted there, and the mesh scored (class and probability)."""
+    from classbench.models.svm import fit_kernel_svm
+    from classbench.operators.projection import decision_surface, pca_2d
+    from classbench.plans.svm_run import prepare_scaled
+    from classbench.operators.encode import assemble
+    train, _, _ = prepare_scaled(spark, sf)
+    projected, _, _ = pca_2d(train)
+    two = assemble(projected.select("id", "label", "pc_1", "pc_2"), ["pc_1", "pc_2"])
+    two = _sized(two)
+    model = fit_kernel_svm(two, "rbf", C=1.0, n_landmarks=64, max_iter=30, platt_folds=2)
+    return decision_surface(model, two, "pc_1", "pc_2", step=0.05)

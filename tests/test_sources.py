@@ -42,3 +42,27 @@ def test_target_resolution_and_spec(spark):
 def test_artifact_table(spark):
     t = io.artifacts(spark, {"model": "/x/model", "report": "/x/report.csv"})
     assert [tuple(r) for r in t.collect()] == [("model", "/x/model"), ("report", "/x/report.csv")]
+
+
+def test_prepare_csv_end_to_end(spark):
+    """A churn-style CSV (no id, text categoricals with a null, text target) runs through a forest."""
+    from pyspark.sql import functions as F
+    from classbench.models.forest import forest, score
+    from classbench.operators import curves
+    from classbench.plans.prepare import prepare_table
+    rows = []
+    for i in range(400):
+        state = ["KS", "OH", "NJ", None][i % 4]
+        plan = "yes" if i % 3 == 0 else "no"
+        minutes = float((i * 37) % 300)
+        churn = "True" if (plan == "yes" and minutes > 150) else "False"
+        rows.append((state, plan, minutes, churn))
+    path = new_scratch_path(spark, "churn-csv")
+    spark.createDataFrame(rows, "State string, `International plan` string, `Total day minutes` double, "
+                                "Churn string").coalesce(1).write.option("header", True).csv(path)
+    df = io.read_csv(spark, path)
+    p = prepare_table(df, scale=True)
+    assert p.spec.target == "Churn" and set(p.spec.categorical) == {"State", "International plan"}
+    assert p.train.count() + p.test.count() == 400
+    m = forest(20, 6).fit(p.train)
+    assert curves.roc_auc(score(m, p.test)).first()[0] > 0.9

@@ -920,3 +920,13 @@ def q_svm_decision_surface(spark, sf):
     two = _sized(two)
     model = fit_kernel_svm(two, "rbf", C=1.0, n_landmarks=64, max_iter=30, platt_folds=2)
     return decision_surface(model, two, "pc_1", "pc_2", step=0.05)
+
+
+@query("network_complex_history")
+def q_network_complex_history(spark, sf):
+    """M9 'complex' preset (batch normalisation, dropout 0.4-0.2) trained on Spark; history."""
+    from classbench.plans.network_run import train_network
+    from classbench.plans.svm_run import prepare_scaled
+    train, test, _ = prepare_scaled(spark, sf)
+    model = train_network(train, test, 2, "complex", epochs=2)
+    return model.history_frame(spark)

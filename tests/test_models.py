@@ -152,3 +152,15 @@ def test_network_parameter_averaging_over_partitions(spark):
     model = train_network(train, test, 2, preset=None, hidden=[32], epochs=4, num_partitions=3)
     hist = model.history_frame(spark).orderBy("epoch").collect()
     assert len(hist) == 4 and hist[-1]["val_loss"] < hist[0]["val_loss"]
+
+
+@pytest.mark.parametrize("kind", ["poly", "sigmoid"])
+def test_other_kernels_fit_and_score(spark, kind):
+    from classbench.plans.svm_run import prepare_ring
+    train, test = prepare_ring(spark, SF_SMALL)
+    m = fit_kernel_svm(train, kind, C=1.0, gamma="scale", degree=2, n_landmarks=32, max_iter=15,
+                       platt_folds=2)
+    assert m.feature_map.dim >= 1
+    rows = m.transform(test).select("prediction", "score", "decision").collect()
+    assert len(rows) == test.count()
+    assert all(0.0 <= r["score"] <= 1.0 for r in rows)

@@ -97,3 +97,47 @@ def exact_rank(df: DataFrame, order_cols: list[Column], bucket: Column, n_bucket
     out = j.withColumn(rank_col, (F.col("_off") + rn).cast("long"))
     drop = ["_bk", "_obk", "_off"] + [f"_p{i}" for i in range(len(part))]
     return out.drop(*drop)
+
+
+FIXED_HASH_BITS = 20
+
+
+def _null_safe_key(df: DataFrame, col: str) -> list[Column]:
+    """Two non-null expressions that identify a (possibly null) class value."""
+    from pyspark.sql.types import BooleanType, NumericType, StringType
+
+    dt = df.schema[col].dataType
+    if isinstance(dt, BooleanType):
+        default = F.lit(False)
+    elif isinstance(dt, NumericType):
+        default = F.lit(0).cast(dt)
+    elif isinstance(dt, StringType):
+        default = F.lit("")
+    else:
+        default = F.lit(None).cast(dt)
+    return [F.coalesce(F.col(col), default), F.col(col).isNull()]
+
+
+def rank_with_totals(df: DataFrame, order_cols: list[Column], bucket: Column,
+                     partition_cols: list[str] = (), rank_col: str = "_rank",
+                     total_col: str = "_total") -> DataFrame:
+    """Exact 1-based rank within ``partition_cols`` plus the partition's row count,
+    with no driver round trip.
+
+    Pass 1 counts rows per (class, bucket) (partial aggregation); prefix sums
+    and class totals come from windows over that small table.  Pass 2 joins
+    them back and numbers rows inside (class, bucket).  The join and the
+    window use the same key expressions, so the data is shuffled once.
+    """
+    part = list(partition_cols)
+    keys = [k for c in part for k in _null_safe_key(df, c)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    d = df.select("*", *[k.alias(n) for k, n in zip(keys, names)], bucket.alias("_bk"))
+    counts = d.groupBy(*names, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*names).orderBy("_bk")
+    whole = Window.partitionBy(*names)
+    offs = counts.select(*names, "_bk", (F.sum("_cnt").over(before) - F.col("_cnt")).alias("_off"),
+                         F.sum("_cnt").over(whole).alias(total_col))
+    j = d.join(offs, names + ["_bk"])
+    rn = F.row_number().over(Window.partitionBy(*names, "_bk").orderBy(*order_cols))
+    return j.withColumn(rank_col, (F.col("_off") + rn).cast("long")).drop(*names, "_bk", "_off")

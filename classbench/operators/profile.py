@@ -214,20 +214,64 @@ def histogram(df: DataFrame, col: str, bins: int = 30, group: str | None = None,
                       F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
-def box_summary(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
-    """Box-plot summary per group: q1, median, q3, whiskers, outlier count.
+PERCENTILE_MAX_ROWS = 1_000_000
+
 
-    Whiskers are the most extreme values within 1.5 IQR of the box.  Groups
-    here are (model, metric) over fold scores, at most ``folds`` rows each,
-    so the exact ``percentile`` buffer is bounded by the fold count.
+def _group_quartiles(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
+    """(groups..., n, q1, median, q3), exact (linear interpolation).
+
+    Group sizes come first (one aggregate, bounded by the group count).  Groups
+    up to PERCENTILE_MAX_ROWS rows use Spark's exact ``percentile`` (its buffer
+    holds at most that many values); larger groups use the three-pass
+    bracketing quantiles one group at a time, never a one-task buffer.
     """
-    q = (df.groupBy(*groups).agg(
+    sizes = df.groupBy(*groups).agg(F.count(F.col(value)).alias("n"))
+    big = sizes.where(F.col("n") > PERCENTILE_MAX_ROWS).collect()
+    if not big:
+        return (df.groupBy(*groups).agg(
+            F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
+            F.count(F.col(value)).alias("n"))
+            .select(*groups, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
+                    F.col("q")[2].alias("q3")))
+    if len(big) > 1000:
+        raise ValueError("more than 1000 groups above the exact-percentile size")
+    rows = []
+    for r in big:
+        cond = None
+        for g in groups:
+            c = F.col(g).isNull() if r[g] is None else (F.col(g) == F.lit(r[g]))
+            cond = c if cond is None else cond & c
+        q = exact_quantiles_many(df.where(cond), [value], [0.25, 0.5, 0.75], n_max=r["n"])[value]
+        rows.append(tuple(r[g] for g in groups) + (r["n"], q[0], q[1], q[2]))
+    schema = ", ".join([f"`{g}` {df.schema[g].dataType.simpleString()}" for g in groups]
+                       + ["n bigint", "q1 double", "median double", "q3 double"])
+    large = df.sparkSession.createDataFrame(rows, schema)
+    keys = [tuple(r[g] for g in groups) for r in big]
+    small_df = df
+    for k in keys:
+        cond = None
+        for g, v in zip(groups, k):
+            c = F.col(g).isNull() if v is None else (F.col(g) == F.lit(v))
+            cond = c if cond is None else cond & c
+        small_df = small_df.where(~cond)
+    small = (small_df.groupBy(*groups).agg(
         F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
         F.count(F.col(value)).alias("n"))
         .select(*groups, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                 F.col("q")[2].alias("q3")))
+    return small.unionByName(large)
+
+
+def box_summary(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
+    """Box-plot summary per group: q1, median, q3, whiskers, outlier count.
+
+    Whiskers are the most extreme values within 1.5 IQR of the box.
+    Quartiles are exact (``_group_quartiles``); the whiskers come from one
+    join of the (bounded) quartile table back to the rows.
+    """
+    q = _group_quartiles(df, value, groups)
     iqr = F.col("q3") - F.col("q1")
-    j = df.join(q, groups).withColumn("lo_fence", F.col("q1") - 1.5 * iqr).withColumn(
+    j = df.join(F.broadcast(q), groups).withColumn("lo_fence", F.col("q1") - 1.5 * iqr).withColumn(
         "hi_fence", F.col("q3") + 1.5 * iqr)
     v = F.col(value)
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))

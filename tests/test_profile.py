@@ -105,3 +105,16 @@ def test_many_column_quantiles_match_numpy(spark):
         got = exact_quantiles_many(df, ["a", "b", "c"], probs, accuracy=acc, direct_rows=direct)
         for name, arr in (("a", a), ("b", b), ("c", c)):
             assert got[name] == pytest.approx(list(np.quantile(arr, probs)))
+
+
+def test_box_summary_large_group_path(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vals = rng.normal(size=300)
+    df = spark.createDataFrame([("a" if i % 3 else "b", float(v)) for i, v in enumerate(vals)],
+                               "g string, v double")
+    monkeypatch.setattr(profile, "PERCENTILE_MAX_ROWS", 150)  # group 'a' (200 rows) takes the large path
+    got = {r["g"]: r for r in profile.box_summary(df, "v", ["g"]).collect()}
+    for g, arr in (("a", vals[[i for i in range(300) if i % 3]]), ("b", vals[::3])):
+        assert got[g]["n"] == len(arr)
+        assert got[g]["q1"] == pytest.approx(np.quantile(arr, 0.25))
+        assert got[g]["median"] == pytest.approx(np.quantile(arr, 0.5))

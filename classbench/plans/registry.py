@@ -124,7 +124,7 @@ _LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
 
 
 @query("missing_by_column", _union_sql([
-    f"SELECT {i} AS position, '{c}' AS name, count_if({c} IS NULL) AS missing FROM lineitem"
+    f"SELECT {i} AS position, '{c}' AS name, CAST(count_if({c} IS NULL) AS BIGINT) AS missing FROM lineitem"
     for i, c in enumerate(_LI_COLS)]))
 def q_missing_by_column(spark, sf):
     """A4 on lineitem (profiling only)."""
@@ -237,7 +237,7 @@ def q_target_lookup(spark, sf):
 @query("array_functions", """SELECT vec_id AS id,
        round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / 255.0)), 6) AS scaled_sum,
        round(list_max(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / 255.0)), 6) AS scaled_max,
-       label AS hot_position, 1.0 AS hot_sum,
+       label AS hot_position, CAST(1.0 AS DOUBLE) AS hot_sum,
        CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax
 FROM embeddings""")
 def q_array_functions(spark, sf):
@@ -674,7 +674,7 @@ j AS (SELECT fm.model, fm.metric, value, n, q1, median, q3,
 SELECT model, metric, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
        round(min(value) FILTER (WHERE inside), 6) AS whisker_lo,
        round(max(value) FILTER (WHERE inside), 6) AS whisker_hi,
-       count_if(NOT inside) AS n_outliers
+       CAST(count_if(NOT inside) AS BIGINT) AS n_outliers
 FROM j GROUP BY model, metric, n, q1, median, q3""", "f5"))
 def q_fold_box(spark, sf):
     """Box-plot summary of fold scores per (model, metric)."""

@@ -136,66 +136,77 @@ def exact_quantiles_many(df: DataFrame, cols: list[str], probs: list[float], n_m
     delta = 2.0 / accuracy
     lo_p = [max(0.0, p - delta) for p in probs]
     hi_p = [min(1.0, p + delta) for p in probs]
+    from pyspark.sql.types import DoubleType, FloatType
+
+    def num(c):
+        x = F.col(f"`{c}`").cast("double")
+        if isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
+            return F.when(~F.isnan(x), x)  # NaN cannot occur in integer columns
+        return x
+
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(f"`{c}`").cast("double")
-        x = F.when(~F.isnan(x), x)
-        aggs += [F.count(x).alias(f"n{i}"),
-                 F.percentile_approx(x, lo_p + hi_p, accuracy).alias(f"b{i}")]
+        aggs += [F.count(num(c)).alias(f"n{i}"),
+                 F.percentile_approx(num(c), lo_p + hi_p, accuracy).alias(f"b{i}")]
     first = df.agg(*aggs, *extra).first()
     k = len(probs)
-    items = []  # (col index, rank, lo, hi)
+    # one bracket per (column, probability); adjacent ranks share it
+    brackets = []  # (col index, lo, hi, ranks)
     for i, c in enumerate(cols):
         n = first[f"n{i}"]
         if not n:
             continue
         b = first[f"b{i}"]
-        pos = _positions(n, probs)
-        for j, (r_lo, r_hi, _) in enumerate(pos):
-            for r in {r_lo, r_hi}:
-                items.append((i, r, b[j], b[k + j]))
+        for j, (r_lo, r_hi, _) in enumerate(_positions(n, probs)):
+            brackets.append((i, b[j], b[k + j], sorted({r_lo, r_hi})))
     # pass 2: rows below and inside each bracket, all brackets in one aggregate
     aggs = []
-    for t, (i, r, lo, hi) in enumerate(items):
-        x = F.col(f"`{cols[i]}`").cast("double")
+    for t, (i, lo, hi, _) in enumerate(brackets):
+        x = num(cols[i])
         aggs += [F.count_if(x < F.lit(lo)).alias(f"below{t}"),
                  F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias(f"in{t}")]
     cnt = df.agg(*aggs).first() if aggs else None
     values: dict[tuple[int, int], float] = {}
-    direct = []
-    for t, (i, r, lo, hi) in enumerate(items):
+    direct = []  # (bracket, col index, relative rank, lo, hi, absolute rank)
+    for t, (i, lo, hi, ranks) in enumerate(brackets):
         below, inside = cnt[f"below{t}"], cnt[f"in{t}"]
-        if not (below < r <= below + inside):  # guarantee not met: general narrowing
-            values[(i, r)] = select_ranks(df.select(F.col(f"`{cols[i]}`").cast("double").alias("v")),
-                                          "v", [r], first[f"n{i}"])[r]
-        elif lo == hi:
-            values[(i, r)] = lo
-        elif inside > direct_rows:
-            sub = df.select(F.col(f"`{cols[i]}`").cast("double").alias("v")).where(
-                (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
-            values[(i, r)] = select_ranks(sub, "v", [r - below], inside)[r - below]
-        else:
-            direct.append((t, i, r - below, lo, hi))
+        for r in ranks:
+            if (i, r) in values:
+                continue
+            if not (below < r <= below + inside):  # guarantee not met: general narrowing
+                values[(i, r)] = select_ranks(df.select(num(cols[i]).alias("v")), "v", [r],
+                                              first[f"n{i}"])[r]
+            elif lo == hi:
+                values[(i, r)] = lo
+            elif inside > direct_rows:
+                sub = df.select(num(cols[i]).alias("v")).where(
+                    (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
+                values[(i, r)] = select_ranks(sub, "v", [r - below], inside)[r - below]
+            else:
+                direct.append((t, i, r - below, lo, hi, r))
     if direct:
         # pass 3: one scan emits (bracket, value) pairs; a window per bracket ranks them
-        pairs = F.array(*[F.when((F.col(f"`{cols[i]}`").cast("double") >= F.lit(lo))
-                                 & (F.col(f"`{cols[i]}`").cast("double") <= F.lit(hi)),
-                                 F.struct(F.lit(t).alias("t"), F.col(f"`{cols[i]}`").cast("double").alias("v")))
-                          for t, i, _, lo, hi in direct])
-        want = F.create_map(*[x for t, _, rel, _, _ in direct for x in (F.lit(t), F.lit(rel))])
         from pyspark.sql import Window
+        used = {}
+        for t, i, _, lo, hi, _ in direct:
+            used[t] = (i, lo, hi)
+        pairs = F.array(*[F.when((num(cols[i]) >= F.lit(lo)) & (num(cols[i]) <= F.lit(hi)),
+                                 F.struct(F.lit(t).alias("t"), num(cols[i]).alias("v")))
+                          for t, (i, lo, hi) in used.items()])
         anywhere = None
-        for _, i, _, lo, hi in direct:
-            x = F.col(f"`{cols[i]}`").cast("double")
-            cond = (x >= F.lit(lo)) & (x <= F.lit(hi))
+        for t, (i, lo, hi) in used.items():
+            cond = (num(cols[i]) >= F.lit(lo)) & (num(cols[i]) <= F.lit(hi))
             anywhere = cond if anywhere is None else anywhere | cond
+        want = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(rel).alias("rn"))
+                         for t, _, rel, _, _, _ in direct])
         got = (df.where(anywhere).select(F.explode(F.filter(pairs, lambda s: s.isNotNull())).alias("p"))
                .select("p.t", "p.v")
                .withColumn("rn", F.row_number().over(Window.partitionBy("t").orderBy("v")))
-               .where(F.col("rn") == want[F.col("t")]).collect())
-        by_t = {row["t"]: row["v"] for row in got}
-        for t, i, rel, _, _ in direct:
-            values[(i, items[t][1])] = by_t[t]
+               .where(F.array_contains(want, F.struct(F.col("t"), F.col("rn").cast("int").alias("rn"))))
+               .collect())
+        by = {(row["t"], row["rn"]): row["v"] for row in got}
+        for t, i, rel, _, _, r in direct:
+            values[(i, r)] = by[(t, rel)]
     out = {}
     for i, c in enumerate(cols):
         n = first[f"n{i}"]

@@ -747,6 +747,17 @@ def q_support_vectors(spark, sf):
 
 # ---------------------------------------------------------------- models (no SQL form: rows-only checks)
 
+def _release(result: DataFrame, *inputs: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Materialise a small result (bounded by folds x metrics) and release cached inputs."""
+    rows = result.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError("result too large to materialise")
+    out = result.sparkSession.createDataFrame(rows, result.schema)
+    for d in inputs:
+        d.unpersist()
+    return out
+
+
 def _sized(df: DataFrame) -> DataFrame:
     """Persist a frame that several fits will read, with partitions sized to its rows."""
     from classbench.session import right_size
@@ -779,7 +790,8 @@ def q_forest_cv_scores(spark, sf):
     from classbench.plans.tuning import cv_scores
     data, _ = prepare_churn(spark, sf)
     folded = _sized(split.stratified_kfold(data, "id", "label", 5, 42))
-    return cv_scores(lambda: forest(10, 8), folded, 5, model_name="forest", score_fn=score)
+    scores = cv_scores(lambda: forest(10, 8), folded, 5, model_name="forest", score_fn=score)
+    return _release(scores, folded)
 
 
 @query("forest_grid_search")
@@ -793,6 +805,7 @@ def q_forest_grid_search(spark, sf):
     est = forest(10, 5)
     pm = param_grid(est, {"numTrees": [5, 10], "maxDepth": [4, 8]})
     _, table = grid_search(est, pm, folded, 3, parallelism=2)
+    folded.unpersist()
     return table
 
 
@@ -804,7 +817,9 @@ def q_forest_learning_curve(spark, sf):
     from classbench.plans.tuning import learning_curve
     data, _ = prepare_churn(spark, sf)
     folded = _sized(split.stratified_kfold(data, "id", "label", 3, 42))
-    return learning_curve(lambda: forest(10, 6), folded, 3, fractions=[0.25, 0.5, 1.0], score_fn=score)
+    out = learning_curve(lambda: forest(10, 6), folded, 3, fractions=[0.25, 0.5, 1.0], score_fn=score)
+    folded.unpersist()
+    return out
 
 
 @query("forest_validation_curve")
@@ -815,8 +830,10 @@ def q_forest_validation_curve(spark, sf):
     from classbench.plans.tuning import validation_curve
     data, _ = prepare_churn(spark, sf)
     folded = _sized(split.stratified_kfold(data, "id", "label", 3, 42))
-    return validation_curve(lambda num_trees: forest(num_trees, 6), "num_trees", [5, 10], folded, 3,
-                            score_fn=score)
+    out = validation_curve(lambda num_trees: forest(num_trees, 6), "num_trees", [5, 10], folded, 3,
+                           score_fn=score)
+    folded.unpersist()
+    return out
 
 
 @query("svm_comparison")

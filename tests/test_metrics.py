@@ -69,3 +69,12 @@ def test_loss_accuracy(spark):
     b = spark.createDataFrame([(1, 1.0), (0, 0.2)], "label int, p double")
     rb = metrics.binary_loss_accuracy(b, "label", "p").first()
     assert rb["accuracy"] == 1.0 and rb["loss"] > 0
+
+
+def test_threshold_never_reached_is_null(spark):
+    from classbench.operators import importance
+    df = spark.createDataFrame([("a", 0.5), ("b", 0.3), ("c", 0.2)], "feature string, importance double")
+    got = {r["threshold"]: r["n_items"] for r in importance.needed_for(df, (0.8, 1.5)).collect()}
+    assert got == {0.8: 2, 1.5: None}
+    top = [r["feature"] for r in importance.top_k(df, 10).collect()]
+    assert top == ["a", "b", "c"]  # fewer than k rows is fine

@@ -164,3 +164,25 @@ def test_other_kernels_fit_and_score(spark, kind):
     rows = m.transform(test).select("prediction", "score", "decision").collect()
     assert len(rows) == test.count()
     assert all(0.0 <= r["score"] <= 1.0 for r in rows)
+
+
+@pytest.mark.parametrize("opt", ["adam", "rmsprop", "sgd"])
+def test_optimizers_reduce_loss(opt):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(256, 3))
+    y = (x[:, 0] + x[:, 1] > 0).astype(float)
+    layers = [("dense", 8, "relu"), ("dense", 1, "sigmoid")]
+    params = NN.init_params(layers, 3, 0)
+    mask = NN._trainable_mask(layers)
+    state = [[np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]]
+    lr = {"adam": 0.01, "rmsprop": 0.01, "sgd": 0.5}[opt]
+
+    def loss(ps):
+        out, _ = NN.forward(layers, [p.copy() for p in ps], x)
+        return NN.loss_and_hits(out, y)[0] / len(y)
+
+    start = loss(params)
+    for t in range(1, 101):
+        out, cache = NN.forward(layers, params, x, train=True, rng=rng)
+        NN._apply(opt, params, NN.backward(layers, params, cache, out, y), state, lr, t, mask)
+    assert loss(params) < 0.7 * start

@@ -188,7 +188,7 @@ def fit_kernel_svm(train: DataFrame, kind: str = "rbf", C: float = 1.0, gamma="s
                    degree: int = 3, coef0: float = 0.0, n_landmarks: int = 256,
                    features: str = "features", label: str = "label", id_col: str = "id",
                    max_iter: int = 100, calibrate: bool = True, platt_folds: int = 5,
-                   seed: int = 42, n_rows: int | None = None) -> KernelSVMModel:
+                   seed: int = 42, n_rows: int | None = None, parallelism: int = 4) -> KernelSVMModel:
     """M3-M7: fit a (kernel-mapped) linear SVM, then Platt-calibrate it on
     out-of-fold decision values (stratified ``platt_folds``-fold, L3)."""
     from classbench.operators.split import stratified_kfold
@@ -205,21 +205,33 @@ def fit_kernel_svm(train: DataFrame, kind: str = "rbf", C: float = 1.0, gamma="s
         col = "_phi_vec"
     # mapped once, sized to the data, reused by every optimizer pass and calibration fold
     d = right_size(d.select(id_col, col, label), n).persist()
-    svc = linear_svc(C, n, max_iter, col, label).fit(d)
-    platt = None
-    if calibrate:
-        folded = stratified_kfold(d, id_col, label, platt_folds, seed, fold_col="_pf")
-        folded = right_size(folded, n).persist()
-        parts = []
-        for f in range(platt_folds):
-            m = linear_svc(C, n, max_iter, col, label).fit(folded.where(F.col("_pf") != f))
-            parts.append(m.transform(folded.where(F.col("_pf") == f)).select(
-                label, vector_to_array(F.col("rawPrediction"))[1].alias("decision")))
-        oof = parts[0]
-        for p in parts[1:]:
-            oof = oof.unionByName(p)
-        platt = _platt(oof, label)
-        folded.unpersist()
+    if not calibrate:
+        svc = linear_svc(C, n, max_iter, col, label).fit(d)
+        d.unpersist()
+        return KernelSVMModel(kind, fmap, svc, None)
+    folded = stratified_kfold(d, id_col, label, platt_folds, seed, fold_col="_pf")
+    folded = right_size(folded, n).persist()
+
+    def fit_full():
+        return linear_svc(C, n, max_iter, col, label).fit(d)
+
+    def fit_fold(f):
+        m = linear_svc(C, n, max_iter, col, label).fit(folded.where(F.col("_pf") != f))
+        return m.transform(folded.where(F.col("_pf") == f)).select(
+            label, vector_to_array(F.col("rawPrediction"))[1].alias("decision"))
+
+    # the final fit and the calibration folds are independent Spark jobs: run them
+    # concurrently from driver threads (as CrossValidator's parallelism does)
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, platt_folds + 1)) as pool:
+        full = pool.submit(fit_full)
+        parts = list(pool.map(fit_fold, range(platt_folds)))
+        svc = full.result()
+    oof = parts[0]
+    for p in parts[1:]:
+        oof = oof.unionByName(p)
+    platt = _platt(oof, label)
+    folded.unpersist()
     d.unpersist()
     return KernelSVMModel(kind, fmap, svc, platt)
 

@@ -100,23 +100,28 @@ def param_grid(estimator, grid: dict) -> list:
 
 
 def cv_scores(make_estimator, df: DataFrame, k: int, fold_col: str = "fold", label: str = "label",
-              model_name: str = "model", score_fn=None) -> DataFrame:
+              model_name: str = "model", score_fn=None, parallelism: int = 2) -> DataFrame:
     """T4: fit once per fold, score the held-out fold, then all five metrics
     (accuracy, precision, recall, F1, ROC-AUC) from one grouped aggregate.
+    Fold fits run ``parallelism`` at a time from driver threads.
 
     Output (model, fold, metric, value, train_seconds).
     """
-    parts = []
-    for f in range(k):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(f):
         t0 = time.time()
         model = make_estimator().fit(df.where(F.col(fold_col) != f))
         secs = time.time() - t0
         held = df.where(F.col(fold_col) == f)
         scored = score_fn(model, held) if score_fn else model.transform(held)
-        parts.append(scored.select(F.lit(model_name).alias("model"), F.col(fold_col).alias("fold"),
-                                   F.col(label).alias("label"),
-                                   F.col("prediction").cast("int").alias("prediction"),
-                                   F.col("score"), F.lit(secs).alias("train_seconds")))
+        return scored.select(F.lit(model_name).alias("model"), F.col(fold_col).alias("fold"),
+                             F.col(label).alias("label"),
+                             F.col("prediction").cast("int").alias("prediction"),
+                             F.col("score"), F.lit(secs).alias("train_seconds"))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(one, range(k)))
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
@@ -167,22 +172,29 @@ def learning_curve(make_estimator, df: DataFrame, k: int, id_col: str = "id", la
 
 
 def validation_curve(make_estimator, param: str, values: list, df: DataFrame, k: int,
-                     label: str = "label", fold_col: str = "fold", score_fn=None) -> DataFrame:
+                     label: str = "label", fold_col: str = "fold", score_fn=None,
+                     parallelism: int = 2) -> DataFrame:
     """F1 of class 1 on train and validation folds for each parameter value.
+    The (value, fold) fits run ``parallelism`` at a time from driver threads.
 
     Output (param, value, fold, train_score, val_score).
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     spark = df.sparkSession
     ev = _metric_fn("f1", label)
-    rows = []
-    for v in values:
-        for f in range(k):
-            train = df.where(F.col(fold_col) != f)
-            held = df.where(F.col(fold_col) == f)
-            model = make_estimator(**{param: v}).fit(train)
-            tr = score_fn(model, train) if score_fn else model.transform(train)
-            va = score_fn(model, held) if score_fn else model.transform(held)
-            rows.append((param, float(v), f, ev(tr), ev(va)))
+
+    def one(vf):
+        v, f = vf
+        train = df.where(F.col(fold_col) != f)
+        held = df.where(F.col(fold_col) == f)
+        model = make_estimator(**{param: v}).fit(train)
+        tr = score_fn(model, train) if score_fn else model.transform(train)
+        va = score_fn(model, held) if score_fn else model.transform(held)
+        return (param, float(v), f, ev(tr), ev(va))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(one, [(v, f) for v in values for f in range(k)]))
     schema = StructType([StructField("param", StringType()), StructField("value", DoubleType()),
                          StructField("fold", IntegerType()), StructField("train_score", DoubleType()),
                          StructField("val_score", DoubleType())])

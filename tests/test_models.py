@@ -186,3 +186,13 @@ def test_optimizers_reduce_loss(opt):
         out, cache = NN.forward(layers, params, x, train=True, rng=rng)
         NN._apply(opt, params, NN.backward(layers, params, cache, out, y), state, lr, t, mask)
     assert loss(params) < 0.7 * start
+
+
+def test_linear_svm_band_on_churn(spark):
+    """SURVEY §5 floor: a linear SVM on the planted churn label lands well above chance but
+    below the forest (the rule has a non-linear part)."""
+    from classbench.plans.svm_run import evaluate, prepare_scaled
+    train, test, _ = prepare_scaled(spark, SF_MID)
+    lin = fit_kernel_svm(train, "linear", C=1.0, max_iter=50, platt_folds=3)
+    auc = {r["metric"]: r["value"] for r in evaluate(lin, test, "linear").collect()}["roc_auc"]
+    assert 0.75 < auc < 0.97

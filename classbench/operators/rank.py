@@ -141,3 +141,18 @@ def rank_with_totals(df: DataFrame, order_cols: list[Column], bucket: Column,
     j = d.join(offs, names + ["_bk"])
     rn = F.row_number().over(Window.partitionBy(*names, "_bk").orderBy(*order_cols))
     return j.withColumn(rank_col, (F.col("_off") + rn).cast("long")).drop(*names, "_bk", "_off")
+
+
+def id_bucket(df: DataFrame, col: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+              max_buckets: int = 1 << 16) -> tuple[DataFrame, Column]:
+    """Monotone bucket of a numeric key, about ``rows_per_bucket`` rows each.
+
+    A row count (cheap: no column is read) fixes the bucket count; only when
+    more than one bucket is needed does a second pass fetch that many
+    approximate cut points.
+    """
+    n = df.count()
+    nb = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
+    if nb <= 1:
+        return df, F.lit(0).cast("long")
+    return value_bucket(df, col, nb)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from classbench.operators.rank import (DEFAULT_ROWS_PER_BUCKET, FIXED_HASH_BITS, bucket_bits,
-                                       class_counts, exact_rank, hash_bucket, hash_key,
+                                       class_counts, exact_rank, hash_bucket, hash_key, id_bucket,
                                        rank_with_totals, value_bucket)
 
 
@@ -67,6 +67,16 @@ def hash_rank_totals(df: DataFrame, id_col: str, label: str | None, seed: int =
     return out.drop("_key")
 
 
+def id_rank_totals(df: DataFrame, id_col: str, label: str | None,
+                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """Adds ``_rank`` by id inside the class and ``_total`` (class size): three
+    passes (count with cut points, bucket counts, ranking), nothing collected
+    but the cut points."""
+    d, b = id_bucket(df, id_col, rows_per_bucket)
+    out = rank_with_totals(d, [F.col(id_col)], b, [label] if label else [])
+    return out.drop("_vb") if "_vb" in out.columns else out
+
+
 def n_test_rows(n_c: int, test_size: float) -> int:
     """Test rows of a class of ``n_c`` rows: floor(n_c * t + 0.5)."""
     return int(math.floor(n_c * test_size + 0.5))
@@ -122,20 +132,18 @@ def stratified_kfold(df: DataFrame, id_col: str, label: str, k: int = 5, seed: i
         ranked = hash_rank_totals(df, id_col, label, seed, "", bits).drop("_total")
         fold = ((F.col("_rank") - 1) % k).cast("int")
     else:
-        ranked, counts = id_rank(df, id_col, label, rows_per_bucket)
-        n_c = _lookup(label, counts, lambda n: n)
-        fold = F.floor((F.col("_rank") - 1) * k / n_c).cast("int")
-    return ranked.withColumn(fold_col, fold).drop("_rank")
+        ranked = id_rank_totals(df, id_col, label, rows_per_bucket)
+        fold = F.floor((F.col("_rank") - 1) * k / F.col("_total")).cast("int")
+    return ranked.withColumn(fold_col, fold).drop("_rank", "_total")
 
 
 def tail_holdout(df: DataFrame, id_col: str, fraction: float = 0.2, out_col: str = "split",
                  rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """The last ``fraction`` of rows by id is 'validation' (no shuffle, no strata)."""
-    ranked, counts = id_rank(df, id_col, None, rows_per_bucket)
-    n = counts[0][1]
-    keep = int(math.floor((1.0 - fraction) * n))
+    ranked = id_rank_totals(df, id_col, None, rows_per_bucket)
+    keep = F.floor(F.col("_total").cast("double") * F.lit(1.0 - fraction))
     return ranked.withColumn(out_col, F.when(F.col("_rank") > keep, F.lit("validation"))
-                             .otherwise(F.lit("train"))).drop("_rank")
+                             .otherwise(F.lit("train"))).drop("_rank", "_total")
 
 
 def head(df: DataFrame, k: int = 5, order_col: str = "id") -> DataFrame:

@@ -9,22 +9,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from classbench.operators.rank import (DEFAULT_ROWS_PER_BUCKET, FIXED_HASH_BITS, bucket_bits,
                                        class_counts, exact_rank, hash_bucket, hash_key, id_bucket,
-                                       rank_with_totals, value_bucket)
-
-
-def _lookup(label: str, counts: list[tuple], value) -> Column:
-    """CASE over the (bounded) class list; ``value(n_c)`` gives the literal."""
-    expr = None
-    for key, n in counts:
-        k = key[0]
-        cond = F.col(label).isNull() if k is None else (F.col(label) == F.lit(k))
-        expr = F.when(cond, F.lit(value(n))) if expr is None else expr.when(cond, F.lit(value(n)))
-    return expr
+                                       rank_with_totals)
 
 
 def hash_rank(df: DataFrame, id_col: str, label: str | None, seed: int = 42, salt: str = "",
@@ -41,18 +31,6 @@ def hash_rank(df: DataFrame, id_col: str, label: str | None, seed: int = 42, sal
     return ranked.drop("_key"), counts
 
 
-def id_rank(df: DataFrame, id_col: str, label: str | None,
-            rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, counts=None):
-    """Rank rows inside their class by id (unshuffled order)."""
-    part = [label] if label else []
-    counts = counts or class_counts(df, part)
-    n = sum(c for _, c in counts)
-    nb = 1 << bucket_bits(n, rows_per_bucket)
-    d, b = value_bucket(df, id_col, nb)
-    ranked = exact_rank(d, [F.col(id_col)], b, nb, part, len(counts), "_rank")
-    return ranked.drop("_vb"), counts
-
-
 def hash_rank_totals(df: DataFrame, id_col: str, label: str | None, seed: int = 42, salt: str = "",
                      bits: int = FIXED_HASH_BITS) -> DataFrame:
     """Adds ``_rank`` (by md5(seed|salt|id), ties by id) and ``_total`` (class size).

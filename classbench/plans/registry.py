@@ -642,10 +642,11 @@ fm AS (
 
 
 def _fold_metrics(spark, sf) -> DataFrame:
-    f1 = FX.orders_churn(spark, sf).select("id", "Churn")
-    folds = split.stratified_kfold(f1, "id", "Churn", 10, 42).select("id", "fold")
-    scored = FX.scored_models(spark, sf).join(folds, "id")
-    return metrics.grouped_binary_metrics(scored, ["model", "fold"], score="score")
+    # folds ranked inside (model, label): the same folds as ranking F1 by class, with no join back
+    scored = FX.scored_models(spark, sf).withColumn(
+        "_stratum", F.concat_ws("|", F.col("model"), F.col("label").cast("string")))
+    folded = split.stratified_kfold(scored, "id", "_stratum", 10, 42).drop("_stratum")
+    return metrics.grouped_binary_metrics(folded, ["model", "fold"], score="score")
 
 
 @query("fold_metrics", W("WITH " + _fold_metrics_sql() + """

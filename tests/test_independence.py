@@ -19,7 +19,8 @@ def scored(spark):
     return FX.scored(spark, SF_SMALL).persist()
 
 
-@pytest.mark.parametrize("op", ["roc", "pr", "auc", "confusion", "report", "hist", "describe", "split"])
+@pytest.mark.parametrize("op", ["roc", "pr", "auc", "confusion", "report", "hist", "describe", "split",
+                                "kfold_ordered", "tail"])
 def test_partition_count_does_not_change_results(scored, op):
     def run(d):
         if op == "roc":
@@ -36,6 +37,10 @@ def test_partition_count_does_not_change_results(scored, op):
             return profile.histogram(d, "score", 10, group="label")
         if op == "describe":
             return profile.describe(d, ["score", "label"])
+        if op == "kfold_ordered":
+            return split.stratified_kfold(d, "id", "label", 4, shuffle=False, rows_per_bucket=50)
+        if op == "tail":
+            return split.tail_holdout(d, "id", 0.3, rows_per_bucket=50)
         return split.stratified_split(d, "id", "label", 0.25, 7)
     base = _rows(run(scored.repartition(1)))
     for p in (4, 16):

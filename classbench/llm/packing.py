@@ -35,61 +35,53 @@ CACHE_WORDS = 400_000
 LATIN_WORD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
 
-class WordTokenizer:
-    """Ids of whole texts from the ids of their white-space separated chunks.
+class WordTokenizer(dict):
+    """Ids of white-space separated chunks, learnt when they are first looked up.
 
     The tokenizer's own pre-tokens never span ASCII white space, so a text's ids
-    are those of its chunks.  Known chunks are looked up; a new one that is a
-    word of Latin letters goes straight to the BPE model (after the lower-casing
-    and byte mapping that the tokenizer would apply), any other one through the
-    whole tokenizer.
+    are those of its chunks.  A word of Latin letters goes straight to the BPE
+    model (after the lower-casing and byte mapping that the tokenizer would
+    apply), any other chunk through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.cache: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model.tokenize
         self.older: dict[bytes, bytes] = {}
         self.coded = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.marks = dict(zip((b",", b"."), self._encode([b",", b"."])))
+        self.marks = {m: self._encode(m) for m in (b",", b".")}
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         mapped = "".join(level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100))
         self.table = dict(zip((b for c in range(0xC0, 0x100) for b in chr(c).encode()), mapped))
 
-    def _encode(self, chunks: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        """Add the ids of new chunks; an ASCII mark that ends a word is a token of its own."""
-        cache, model, table, coded, rest = self.cache, self.model.tokenize, self.table, self.coded, []
-        plain = LATIN_WORD.fullmatch
-        for c in chunks:
-            mark = self.marks.get(c[-1:], b"")
-            word = (c[:-1] if mark else c).decode()
-            if plain(word):
+    def _encode(self, chunk: bytes) -> bytes:
+        return b"".join([self.coded[i] for i in self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids])
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            mark = self.marks.get(chunk[-1:], b"")  # an ASCII mark that ends a word is a token of its own
+            word = (chunk[:-1] if mark else chunk).decode()
+            if LATIN_WORD.fullmatch(word):
                 word = word.lower()
                 if not word.isascii():
-                    word = word.encode().decode("latin-1").translate(table)
-                cache[c] = b"".join([coded[t.id] for t in model(word)]) + mark
+                    word = word.encode().decode("latin-1").translate(self.table)
+                ids = b"".join([self.coded[t.id] for t in self.model(word)]) + mark
             else:
-                rest.append(c)
-        cache.update(zip(rest, self._encode(rest)))
+                ids = self._encode(chunk)
+        self[chunk] = ids
+        return ids
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text; the texts of a call are learnt together."""
-        split = [(t or "").encode().split() for t in texts]
-        if len(self.cache) > CACHE_WORDS:  # frequent chunks come back from the older half
-            self.older, self.cache = self.cache, {}
-        known, older, seen = self.cache, self.older, set()
-        seen.update(*split)
-        if fresh := seen.difference(known):
-            known.update((c, older[c]) for c in fresh.intersection(older))
-            self._learn(fresh.difference(older))
-        for chunks in split:
-            yield b"".join([known[c] for c in chunks])
+        """Little-endian unsigned 32-bit ids of each text."""
+        for text in texts:
+            if len(self) > CACHE_WORDS:  # frequent chunks come back from the older half
+                self.older = dict(self)
+                self.clear()
+            yield b"".join(map(self.__getitem__, (text or "").encode().split()))
 
 
 def word_tokenizer(path: str) -> WordTokenizer:
@@ -204,7 +196,7 @@ def _packer(tokenizer_path: str, window: int, eos: int, max_piece: int, group_do
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 2048,
-         eos: int = 1, max_piece: int = 512, group_docs: int = 1024) -> DataFrame:
+         eos: int = 1, max_piece: int = 512, group_docs: int = 512) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     Memory of a task: one group's ids (about ``group_docs`` times ``window`` ids at

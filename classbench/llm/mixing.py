@@ -106,7 +106,9 @@ def round_fractions(rows: DataFrame, seed: int) -> DataFrame:
     while True:
         parts = waiting.groupBy("src").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
         block = F.pmod(F.xxhash64(F.lit(seed + level), "key"), F.col("parts"))
-        done = materialize(_round_blocks(waiting.join(parts, "src").withColumn("block", block), level, seed), "rounded")
+        # dealt by block: a source alone, as the join leaves the rows, may hold a third of them
+        dealt = waiting.join(parts, "src").withColumn("block", block).repartition("src", "block")
+        done = materialize(_round_blocks(dealt, level, seed), "rounded")
         open_ = (F.col("p") > EPSILON) & (F.col("p") < 1 - EPSILON)
         settled.append(done.where(~open_).select("unit", (F.col("p") > 0.5).alias("one")))
         waiting, level = done.where(open_), level + 1

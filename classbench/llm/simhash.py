@@ -87,11 +87,16 @@ def anchors(fingerprint: str, max_bits: int) -> F.Column:
             F.get(fix, p["s"].cast("long").bitwiseXOR(z["syndrome"]).cast("int"))))))
 
 
+def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of signed longs (``bitwise_count`` alone counts those of the absolute value)."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def cell_links(values: np.ndarray, max_bits: int) -> tuple[list[int], list[int]]:
     """For each member of a cell that others reach in it, a link to the smallest member so reached."""
     n = len(values)
     if n == 2:
-        near = int(np.bitwise_count(np.bitwise_xor(values[0], values[1]))) <= max_bits
+        near = int(differing_bits(values[:1], values[1:])[0]) <= max_bits
         return ([int(values.max())], [int(values.min())]) if near else ([], [])
     left, ends, roots = np.ones(n, bool), [], []
     values = np.sort(values)
@@ -105,7 +110,7 @@ def cell_links(values: np.ndarray, max_bits: int) -> tuple[list[int], list[int]]
                 break
             some = np.array(front[-256:])
             del front[-256:]
-            close = (np.bitwise_count(values[some][:, None] ^ values[rest][None, :]) <= max_bits).any(0)
+            close = (differing_bits(values[some][:, None], values[rest][None, :]) <= max_bits).any(0)
             found = rest[close]
             left[found] = False
             front += found.tolist()
@@ -126,7 +131,7 @@ def _linker(max_bits: int, schema: pa.Schema):
             a, b = [], []
             pairs = bounds[:-1][sizes == 2]  # most cells with company have two members
             x, y = value[pairs], value[pairs + 1]
-            near = np.bitwise_count(x ^ y) <= max_bits
+            near = differing_bits(x, y) <= max_bits
             a += np.maximum(x, y)[near].tolist()
             b += np.minimum(x, y)[near].tolist()
             for i in np.flatnonzero(sizes > 2):

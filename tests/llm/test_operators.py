@@ -1,0 +1,432 @@
+"""Every operator against brute force, with nulls, empty and long texts, ties, repeats, empty tables and clashing names."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+pytest.importorskip("classbench.llm")
+
+from classbench.llm import html_text, imatch, mixing, packing, pii, quality, simhash, toxicity, urls, warc  # noqa: E402
+from classbench.llm.common import range_bucket, range_cuts  # noqa: E402
+from classbench.llm.components import connected_components  # noqa: E402
+
+DOC = "doc_id long, text string, source string, lang string, score double, start long, fp long, host string"
+LONG = " ".join(f"w{i % 977} the" for i in range(30_000))
+TEXTS = [
+    None, "", " \t\n", "one", "one two", "Hello there, Großer Ñandú École!", LONG,
+    "mail a@b.c_d@e.f or x.y+z@mail.example.com now", "ips 1.2.3.4 and 256.1.1.1 and 1.2.3.4.5.6.7.8 010.000.1.255",
+    "card 4111 1111 1111 1111 and 4111-1111-1111-1112, 5500005555555559", "call +1 (555) 010-9999 or +12 34 or ++49 30 1234567890",
+    "iban GB82 WEST 1234 5698 7654 32 my bank, ssn 123-45-6789", "9" * 5000, "a" * 5000 + "@", "+1" * 600, "1.1." * 700,
+    "+14155550100@x.org 4111111111111111.1.1.1", "the same text twice", "the same text twice", "x\x1cy \x85z\xa0 <|endoftext|> don't é",
+]
+
+
+def docs_of(spark, texts=TEXTS, extra=()):
+    rows = [(i, t, f"s{i % 3}" if i % 4 else None, "en", 0.5, 1, 2, "h") for i, t in enumerate(texts)] + list(extra)
+    return spark.createDataFrame(rows, DOC)
+
+
+NULL_AND_REPEATED = [(None, "the same text twice", None, None, None, None, None, None), (5, TEXTS[5], "s2", "en", 0.5, 1, 2, "h")]
+
+
+# --- PII -----------------------------------------------------------------
+
+PATTERNS = dict(email=r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", ip=r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+                card=r"[0-9]([\x20-]?[0-9])+", phone=r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def base_spans(text):
+    def ok(kind, m):
+        digits = re.sub("[^0-9]", "", m)
+        if kind == "ip":
+            return all(int(x) <= 255 for x in m.split("."))
+        if kind == "card":
+            total = sum(d if i % 2 == 0 else 2 * d - 9 * (d > 4) for i, d in enumerate(map(int, digits[::-1])))
+            return 14 <= len(digits) <= 19 and total % 10 == 0
+        return kind != "phone" or 10 <= len(digits) <= 15
+    found = [(m.start(), list(PATTERNS).index(k), m.end(), k) for k, p in PATTERNS.items() for m in re.finditer(p, text or "") if ok(k, m[0])]
+    return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(found))
+
+
+def test_pii_matches_brute_force(spark):
+    rng = random.Random(3)
+    noise = ["".join(rng.choices("ab1234567890.@+- ()é\n", k=120)) for _ in range(80)]
+    docs = docs_of(spark, TEXTS + noise, NULL_AND_REPEATED)
+    rows = pii.find_pii(docs).select("doc_id", "text", "pii_spans").collect()
+    assert len(rows) == len(TEXTS) + len(noise) + 2
+    for r in rows:
+        got = ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r.pii_spans if s.kind in PATTERNS)
+        assert got == base_spans(r.text), r.text[:200]
+        assert all(r.text[s.start:s.end] == s.text for s in r.pii_spans)
+    kinds = Counter(s.kind for r in rows for s in r.pii_spans)
+    assert kinds["iban"] == 1 and kinds["ssn"] == 1
+    assert pii.find_pii(docs.limit(0)).count() == 0
+
+
+def test_redaction_covers_all_spans(spark):
+    docs = docs_of(spark)
+    rows = pii.find_pii(docs).select("text", "pii_spans", pii.redact(F.coalesce("text", F.lit("")), F.col("pii_spans")).alias("clean")).collect()
+    for r in rows:
+        text, out, at = r.text or "", [], 0
+        merged = []
+        for s in r.pii_spans:
+            if merged and s.start < merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], s.end)
+            else:
+                merged.append([s.start, s.end, s.kind])
+        for a, b, k in merged:
+            out += [text[at:a], f"[{k.upper()}]"]
+            at = b
+        assert r.clean == "".join(out) + text[at:]
+
+
+def test_many_spans_in_one_text(spark):
+    text = " ".join(f"u{i}@mail.example.com" for i in range(1500))
+    r = pii.find_pii(docs_of(spark, [text])).first()
+    assert ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r.pii_spans) == base_spans(text)
+
+
+# --- packing ---------------------------------------------------------------
+
+def test_packing_round_trip(spark):
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    plain = Tokenizer.from_file(path)
+    docs = docs_of(spark, TEXTS + [f"word{i} other words, number {i}." * (i % 40) for i in range(300)]).repartition(2)
+    rows = packing.pack(docs, path).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r.doc_id].append(r)
+        windows[r.sequence_id].append((r.offset, r.length))
+        assert len(r.ids) == 4 * r.length and r.length > 0
+    assert pieces.keys() == texts.keys()
+    for i, ps in pieces.items():
+        ps.sort(key=lambda r: r.start)
+        ids = np.frombuffer(b"".join(bytes(p.ids) for p in ps), "<u4").tolist()
+        assert ids == plain.encode(texts[i] or "", add_special_tokens=False).ids + [1]
+        assert [p.start for p in ps] == [sum(p.length for p in ps[:k]) for k in range(len(ps))]
+        assert {p.doc_tokens for p in ps} == {len(ids)}
+    for w in windows.values():
+        w.sort()
+        assert [o for o, _ in w] == [sum(n for _, n in w[:k]) for k in range(len(w))] and sum(n for _, n in w) <= 2048
+    total = sum(r.length for r in rows)
+    assert len(windows) * 2048 < 1.1 * total + 4 * 2048
+    crc = packing.digests(packing.pack(docs, path)).collect()
+    assert {(r.doc_id, r.start): r.ids_crc32 for r in crc} == {(r.doc_id, r.start): zlib.crc32(bytes(r.ids)) for r in rows}
+    assert packing.pack(docs.limit(0), path).count() == 0
+    assert packing.pack(docs_of(spark, [None], NULL_AND_REPEATED), path).select("doc_id").distinct().count() == 3
+
+
+def test_karmarkar_karp_is_near_equal():
+    rng = random.Random(1)
+    weights = [rng.randint(1, 512) for _ in range(400)]
+    window = packing.karmarkar_karp(weights, 60)
+    sums = np.bincount(window, weights=weights, minlength=60)
+    assert sums.sum() == sum(weights) and sums.max() - sums.min() < 40
+    assert packing.karmarkar_karp([5], 3).tolist() in ([0], [1], [2]) and len(packing.fill_windows([], 2048)) == 0
+    tight = packing.fill_windows([2000] * 7, 2048)
+    assert sorted(np.bincount(tight)) == [1] * 7
+
+
+# --- SimHash -----------------------------------------------------------------
+
+def brute_fingerprint(text, k=3):
+    import xxhash
+
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    grams = [" ".join(words[i:i + k]) for i in range(len(words) - k + 1)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64)) if hashes else 0
+
+
+def classes(values, max_bits):
+    root = {v: v for v in values}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    values = list(root)
+    for i, a in enumerate(values):
+        for b in values[:i]:
+            if bin(a ^ b).count("1") <= max_bits:
+                root[find(a)] = find(b)
+    return {v: find(v) for v in values}
+
+
+def test_simhash_matches_brute_force(spark):
+    near = [" ".join(["alpha beta gamma delta"] * 30 + [f"tail{i % 5}"]) for i in range(40)]
+    texts = [t[:2000] if t else t for t in TEXTS] + near
+    docs = docs_of(spark, texts, [(None, near[0], None, None, None, None, None, None), (5, texts[5], "x", "y", 0.1, 1, 2, "h")])
+    rows = simhash.near_duplicates(docs).collect()
+    assert len(rows) == len(texts) + 2
+    expected = {i: brute_fingerprint(t) for i, t in enumerate(texts)}
+    assert all(simhash._signed(expected[r.doc_id]) == r.fp for r in rows if r.doc_id is not None)
+    group = classes(set(expected.values()), 2)
+    least = {}
+    for i, f in expected.items():
+        least[group[f]] = min(least.get(group[f], i), i)
+    assert all(r.component == least[group[expected[r.doc_id]]] for r in rows if r.doc_id is not None)
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("max_bits", [0, 1, 2, 3])
+def test_anchor_covering_loses_no_link(spark, max_bits):
+    rng = random.Random(max_bits)
+    values = {0, (1 << 64) - 1}
+    for _ in range(12):
+        x = rng.getrandbits(64)
+        for _ in range(8):
+            values.add(x)
+            for b in rng.sample(range(64), rng.randint(0, 4)):
+                x ^= 1 << b
+    prints = spark.createDataFrame([(simhash._signed(v),) for v in values], "fp long")
+    links = [(r.a & (1 << 64) - 1, r.b & (1 << 64) - 1) for r in simhash.near_links(prints, max_bits).collect()]
+    group = classes(values, max_bits)
+    got = {r.node & (1 << 64) - 1: r.root & (1 << 64) - 1 for r in connected_components(
+        spark.createDataFrame([(simhash._signed(a), simhash._signed(b)) for a, b in links], "a long, b long")).collect()}
+    sets = lambda m: sorted(sorted(k for k in values if m.get(k, k) == g) for g in {m.get(k, k) for k in values})
+    assert sets(got) == sets(group)
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(200, 200), (None, 3), (300, 301), (301, 300)]
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(50)}, 300: 300, 301: 300}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# --- quality and toxicity -----------------------------------------------------
+
+def brute_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    grams = Counter(zip(words, words[1:], words[2:]))
+    covered = {j for i in range(len(words) - 2) if grams[tuple(words[i:i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    lines, seen, dup = (text or "").split("\n"), set(), 0
+    for x in lines:
+        if re.search(r"[^\x20\x09-\x0D]", x):
+            dup += x in seen
+            seen.add(x)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(covered)
+
+
+def labelled(spark):
+    rng = random.Random(5)
+    vocab = [f"{a}{b}" for a in "ka lo mi ne pu".split() for b in "ra so ti ve xu yo".split()]
+    docs, labels = [], []
+    for i in range(900):
+        words = rng.choices(vocab, k=rng.randint(60, 120))
+        bad, toxic = i % 5 == 0, i % 7 == 0
+        if toxic:
+            for w in rng.sample(["idiot", "moron", "scum"], 2):
+                words.insert(rng.randrange(len(words)), w)
+        if bad:
+            words = [w + "###" for w in words]
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(not bad), int(toxic)))
+    extra = [(i, None, None) for i in range(3)] + [(None, 1, 1), (10_000, 0, 0), (4, 7, 9)]
+    return (spark.createDataFrame(docs, "doc_id long, text string"),
+            spark.createDataFrame(labels + extra, "doc_id long, quality int, toxic int"), {x[0]: x[1:] for x in labels})
+
+
+def test_quality_counts_and_rules(spark):
+    docs, labels, truth = labelled(spark)
+    judged, rules = quality.judge_quality(docs, labels)
+    rows = {r.doc_id: r for r in judged.collect()}
+    assert rules and all(rows[i].kept == bool(q) for i, (q, _) in truth.items())
+    odd = TEXTS + ["a b c a b c", "x\nx\n \n\nx\ny", "a a a a a", "p q r s\np q r t"]
+    judged, none = quality.judge_quality(docs_of(spark, odd, NULL_AND_REPEATED), labels.limit(0))
+    rows = judged.collect()
+    assert none == [] and len(rows) == len(odd) + 2
+    for r in rows:
+        if r.doc_id is not None:
+            want = brute_counts(odd[r.doc_id])
+            assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+            assert r.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0]) and r.kept == (not r.base_failed)
+    assert quality.judge_quality(docs.limit(0), labels)[0].count() == 0
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels, truth = labelled(spark)
+    rows = toxicity.score_toxicity(docs, labels).select("doc_id", "score", "predicted", toxicity.held_out(F.col("doc_id")).alias("out")).collect()
+    assert all(r.out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    out = [r for r in rows if r.out]
+    assert len(out) > 100 and all(r.predicted == truth[r.doc_id][1] for r in out)
+    odd = toxicity.score_toxicity(docs_of(spark, TEXTS, NULL_AND_REPEATED), labels).collect()
+    assert len(odd) == len(TEXTS) + 2 and all(0 <= r.score <= 1 for r in odd)
+    assert toxicity.score_toxicity(docs.limit(0), labels).count() == 0
+    assert {r.score for r in toxicity.score_toxicity(docs.limit(3), labels.limit(0)).collect()} <= {1 / (1 + np.exp(35.0))}
+
+
+def test_factorization_machine_learns_an_interaction():
+    rng = random.Random(2)
+    rows, labels = [], []
+    for _ in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append([i for i, x in enumerate((a, b)) if x])
+        labels.append(int(a and b))
+    m = toxicity.FactorizationMachine.fit(rows, labels, {0: 0, 1: 1}, epochs=40)
+    p = m.score([[], [0], [1], [0, 1]])
+    assert p[3] > 0.9 and max(p[:3]) < 0.1
+
+
+# --- I-Match ---------------------------------------------------------------
+
+def test_imatch_edits_and_likeness(spark):
+    rng = random.Random(9)
+    vocab = [f"term{i}" for i in range(400)]
+    texts = TEXTS + [" ".join(rng.choices(vocab, k=80)) for _ in range(60)]
+    texts += [texts[-1] + " changed"]
+    docs = docs_of(spark, texts)
+    rows = {r.doc_id: r for r in imatch.fingerprint_pairs(docs).collect()}
+    order = sorted(range(len(texts)), reverse=True)
+    for k, i in enumerate(order):
+        a, b = texts[i] or "", texts[order[(k + 1) % len(order)]] or ""
+        half = len(a) // 2
+        assert rows[i].n_chars == len(a) and rows[i].edited == a[:len(a) - half] + b[:half]
+        assert list(rows[i].next_signs) == list(rows[order[(k + 1) % len(order)]].signs)
+    assert list(rows[17].signs) == list(rows[18].signs)
+    pair = spark.createDataFrame([(list(rows[len(texts) - 1].signs), list(rows[len(texts) - 2].signs), list(rows[25].signs))],
+                                 "a array<long>, b array<long>, c array<long>")
+    near, far, same = pair.select(imatch.likeness("a", "b"), imatch.likeness("a", "c"), imatch.likeness("a", "a")).first()
+    assert same == 1 and near > 0.5 > far
+    assert imatch.fingerprint_pairs(docs.limit(0)).count() == 0
+    odd = imatch.fingerprint_pairs(docs_of(spark, ["a b", "c d"], [(None, "e", *[None] * 6), (1, "c d", *[None] * 6)])).collect()
+    assert len(odd) == 4
+
+
+def test_ranges_follow_each_other(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "RANGE_ROWS", 7)
+    ids = sorted(random.Random(4).sample(range(10 ** 12), 300))
+    docs = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.next.text for r in imatch.with_next(docs, "doc_id", ("text",)).collect()}
+    down = ids[::-1]
+    assert got == {i: f"t{down[(k + 1) % len(down)]}" for k, i in enumerate(down)}
+    cuts = range_cuts(docs, "doc_id", 1)
+    assert [r[0] for r in docs.orderBy("doc_id").select(range_bucket(F.col("doc_id"), cuts)).collect()] == [
+        int(np.searchsorted(cuts, i)) for i in ids]
+
+
+# --- mixing ------------------------------------------------------------------
+
+def test_mixing_reaches_targets(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 400)), "ABCDEFG"[min(6, int(rng.expovariate(0.7)))]) for i in range(3000)]
+    rows += [(5000 + i, "w " * 50, None) for i in range(40)] + [(7, rows[7][1], rows[7][2]), (None, "a b", "A"), (9999, None, "A")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    size, total = Counter(), 0
+    for _, t, s in rows:
+        size[s] += len((t or "").split())
+    names = sorted((s for s in size if s is not None)) + [None]
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    total, capped = sum(size.values()), set()
+    while True:  # water filling
+        level = (total - sum(3 * size[s] for s in capped)) / sum(weight[s] for s in names if s not in capped)
+        more = {s for s in names if s not in capped and level * weight[s] > 3 * size[s]}
+        if not more:
+            break
+        capped |= more
+    taken = Counter()
+    for r in got:
+        target = 3 * size[r.source] if r.source in capped else level * weight[r.source]
+        assert r.target == pytest.approx(target) and r.source_size == size[r.source] and 0 <= r.copies <= 3
+        taken[r.source] += r.size * r.copies * r.times
+    for r in {r.source: r for r in got}.values():
+        assert abs(taken[r.source] - r.target) <= max(60, 0.01 * r.target)
+    assert sum(r.times for r in got) == len(rows)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.source or "", r.size)
+    again = mixing.mix(docs.repartition(3)).collect()
+    assert [(key(r), r.copies) for r in sorted(got, key=key)] == [(key(r), r.copies) for r in sorted(again, key=key)]
+    wide = docs.withColumn("copies", F.lit("x")).withColumn("words", F.lit(1))
+    assert mixing.take(wide, mixing.mix(wide)).count() == sum(r.copies * r.times for r in got)
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+# --- URLs, HTML, WARC ----------------------------------------------------------
+
+PAGES = "page_id long, url string, html string, host string, path string, text string"
+
+
+def test_url_rules_and_parts(spark):
+    cases = {None: ("", "", None), "no-scheme/en/": ("", "", None), "http://A.Com": ("a.com", "", None), "http://A.Com/X?q": ("a.com", "/X", "com/"),
+             "http://example.com/en/1": ("example.com", "/en/1", "example.com/en/"), "http://x.www.EXAMPLE.com/en/": ("x.www.example.com", "/en/", "www.example.com/en/"),
+             "http://notexample.com/en/": ("notexample.com", "/en/", "com/"), "ftp://n.net/es/?a://b/": ("n.net", "/es/", "net/es/"),
+             "http://n.net/ES/": ("n.net", "/ES/", None), "http://com/#x": ("com", "/", "com/"), "://h?x": ("h", "", None), "": ("", "", None),
+             "http://best-casino.example.org/win/" + "x" * 20000: ("best-casino.example.org", "/win/" + "x" * 20000, None)}
+    rows = [(i, u, None, "clash", "clash", None) for i, u in enumerate([*cases, "http://a.com/x"])] * 2
+    pages = spark.createDataFrame(rows, PAGES)
+    model = urls.fit_urls(urls.default_labels(spark))
+    got = urls.judge_urls(pages, model).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = [*cases.values(), ("a.com", "/x", "com/")][r.page_id]
+        assert (r.host, r.path, r.rule) == want
+        ruled = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block"}.get(r.rule)
+        assert r.verdict == (ruled or ("block" if r.score >= 0.5 else "allow"))
+    assert urls.judge_urls(pages.limit(0), model).count() == 0
+    seen = urls.judge_urls(urls.default_labels(spark), model, keep=("label",)).where("rule is null").collect()
+    assert all((r.verdict == "block") == (r.label == 1) for r in seen)
+
+
+def test_html_main_text(spark):
+    article = "<article><h1>Title &amp; more</h1><p><b>First <i>para</i>graph.<br><p>Second\n  line &#233;</p><div class='ad'>buy</div><p>Third</article>"
+    page = ("<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t='</p>';</script></head><body><header>Site</header>"
+            "<nav><ul><li><a href=/x>X</a><li>Y</ul></nav><!-- c --><aside>side</aside><div id=cookie-notice>ok</div>" + article
+            + "<section class='comments'><p>hi</p></section><form>f</form><footer>&copy; x</footer></body></html>")
+    want = "Title & more First paragraph. Second line é Third"
+    other = [f"<div class=top><p>Same banner line</p></div><div class=body><p>Own words number {i}</p></div>" for i in range(8)]
+    cases = [page, None, "", "<p>lone", "a < b <p", "<" * 3000, "<div " * 2000, "<a title=\"x>y", "<p>" + "word " * 50_000, page]
+    rows = [(i, "http://h.org/", h, "clash", "clash", "clash") for i, h in enumerate(cases)]
+    rows += [(100 + i, "http://style.org/", h, "", "", "") for i, h in enumerate(other)] + [(100, "http://style.org/", other[0], "", "", ""), (None, None, page, None, None, None)]
+    got = html_text.extract_text(spark.createDataFrame(rows, PAGES)).collect()
+    assert len(got) == len(rows)
+    text = {r.page_id: r.text for r in got}
+    assert text[0] == text[9] == text[None] == want and text[1] == text[2] == "" and text[3] == "lone"
+    assert text[4] == "a < b <p" and text[8] == ("word " * 50_000).strip()
+    assert [text[100 + i] for i in range(8)] == [f"Own words number {i}" for i in range(8)]  # the banner is cut by its entropy
+    assert html_text.extract_text(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_warc_round_trip(spark, tmp_path):
+    big = "<p>" + "é漢字\r\n\r\nWARC/1.1\r\n" * 9000
+    htmls = [None, "", "short", "short", "x" * 999, "x" * 999, "y" * 1000, "y" * 1000, big, big, "z" * 70_000, "ß" * 500, "ß" * 500]
+    rows = [(i, f"http://h.org/{i} é" if i else None, h, "", "", "") for i, h in enumerate(htmls)]
+    rows += [(None, "u", "n" * 2000, "", "", ""), (None, "u", "n" * 2000, "", "", ""), (6, "u", "y" * 1000, "", "", "")]
+    pages = spark.createDataFrame(rows, PAGES).repartition(3)
+    warc.write_warc(pages, str(tmp_path / "w"), segment_bytes=5000, file_records=4)
+    got = warc.read_warc(spark, str(tmp_path / "w")).collect()
+    holder = defaultdict(list)
+    for i, _, h, *_ in rows:
+        if i is not None:
+            holder[h or ""].append(i)
+    expected = Counter()
+    for i, _, h, *_ in rows:
+        h = h or ""
+        raw = h.encode()
+        again = len(raw) >= 1000 and i is not None and i != max(holder[h])
+        expected[(i, h, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if again else "response", max(holder[h]) if again else None)] += 1
+    assert Counter(map(tuple, got)) == expected
+    warc.write_warc(pages.limit(0), str(tmp_path / "none"))
+    assert warc.read_warc(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_warc_segments_are_verified():
+    parts = [(2, None, b"b"), (1, None, b"a"), (3, 3, b"c")]
+    assert warc.assemble(parts) == b"abc"
+    with pytest.raises(ValueError):
+        warc.assemble(parts[:2] + [(4, 3, b"c")])
+    with pytest.raises(ValueError):
+        warc.assemble(parts[:2] + [(3, 9, b"c")])
+    assert warc.unchunk(b"3\r\nabc\r\n1;x=y\r\nd\r\n0\r\n\r\n") == b"abcd"

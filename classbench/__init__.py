@@ -7,7 +7,6 @@ functions/  column-expression helpers (JVM-side, codegen friendly)
 operators/  profiling, encoding, exact ranks and splits, metrics, curves
 models/     forest, kernel-map SVM, feed-forward network estimators
 plans/      tuning, resampling and the end-to-end analysis runs
-streaming/  (empty by design: the workflows being mirrored have no streams)
 """
 
 __version__ = "0.1.0"

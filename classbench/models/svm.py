@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from classbench.operators.split import hash_rank
-from classbench.session import right_size
 
 KERNELS = ("linear", "rbf", "poly", "sigmoid")
 
@@ -204,13 +203,13 @@ def fit_kernel_svm(train: DataFrame, kind: str = "rbf", C: float = 1.0, gamma="s
         d = fmap.transform(train, features, "_phi_vec")
         col = "_phi_vec"
     # mapped once, sized to the data, reused by every optimizer pass and calibration fold
-    d = right_size(d.select(id_col, col, label), n).persist()
+    d = d.select(id_col, col, label).persist()
     if not calibrate:
         svc = linear_svc(C, n, max_iter, col, label).fit(d)
         d.unpersist()
         return KernelSVMModel(kind, fmap, svc, None)
     folded = stratified_kfold(d, id_col, label, platt_folds, seed, fold_col="_pf")
-    folded = right_size(folded, n).persist()
+    folded = folded.persist()
 
     def fit_full():
         return linear_svc(C, n, max_iter, col, label).fit(d)

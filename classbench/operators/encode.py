@@ -53,10 +53,10 @@ class LabelEncoding:
         return spark.createDataFrame(rows, schema)
 
     def inverse(self, df: DataFrame, col: str, out_col: str | None = None) -> DataFrame:
-        """Codes back to values (``IndexToString`` semantics, by lookup)."""
+        """Codes back to values by lookup; the code of unseen values gives null."""
         labels = self.model.labelsArray[self.columns.index(col)]
         arr = F.array(*[F.lit(v) for v in labels])
-        return df.withColumn(out_col or col, F.element_at(arr, F.col(col).cast("int") + 1))
+        return df.withColumn(out_col or col, F.get(arr, F.col(col).cast("int")))
 
 
 def fit_label_encoding(df: DataFrame, cols: list[str], suffix: str = "__code",
@@ -73,14 +73,16 @@ def fit_label_encoding(df: DataFrame, cols: list[str], suffix: str = "__code",
 
 
 def encode_target(df: DataFrame, target: str) -> tuple[DataFrame, list]:
-    """Booleans map false/true to 0/1, numbers pass, text gets E1 codes.
+    """Booleans map false/true to 0/1, numbers pass, text gets E1 codes; null stays null.
 
     Returns the frame with the integer target and the class names by code.
     """
     dt = df.schema[target].dataType
     if isinstance(dt, StringType):
-        enc = fit_label_encoding(df, [target])
-        return enc.transform(df), list(enc.model.labelsArray[0])
+        enc = fit_label_encoding(df.where(F.col(target).isNotNull()), [target], handle_invalid="keep")
+        coded = enc.transform(df.withColumn("_no_target", F.col(target).isNull()))
+        known = F.when(~F.col("_no_target"), F.col(target))
+        return coded.withColumn(target, known).drop("_no_target"), list(enc.model.labelsArray[0])
     if dt.simpleString() == "boolean":
         return df.withColumn(target, F.col(target).cast("int")), [False, True]
     return df.withColumn(target, F.col(target).cast("int")), None

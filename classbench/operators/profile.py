@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DoubleType, LongType, NumericType, StringType,
+from pyspark.sql.types import (BooleanType, DoubleType, FloatType, LongType, NumericType, StringType,
                                StructField, StructType)
 
 from classbench.operators.quantile import exact_quantiles_many
@@ -42,9 +42,16 @@ def schema_profile(df: DataFrame) -> DataFrame:
                        types[pos].alias("dtype"), F.col("non_null").cast("long").alias("non_null"))
 
 
+def known(df: DataFrame, col: str) -> F.Column:
+    """A column with NaN, which is missing too, as null."""
+    value = F.col(f"`{col}`")
+    if isinstance(df.schema[col].dataType, (DoubleType, FloatType)):
+        return F.when(~F.isnan(value), value)
+    return value
+
+
 def _null_counts(df: DataFrame) -> DataFrame:
-    cols = df.columns
-    return df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"c{i}") for i, c in enumerate(cols)])
+    return df.agg(*[F.count_if(known(df, c).isNull()).alias(f"c{i}") for i, c in enumerate(df.columns)])
 
 
 def missing_total(df: DataFrame) -> DataFrame:
@@ -127,6 +134,7 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
     if not cols:
         return spark.createDataFrame([], DESCRIBE_SCHEMA)
+    df = df.select(*[known(df, c).alias(c) for c in cols])
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`").cast("double")
@@ -157,7 +165,7 @@ def width_gate(df: DataFrame, target: str, stats_max: int = 20, sample_over: int
 
 def _edges(df: DataFrame, col: str, group: str | None = None, max_groups: int = 10_000):
     """(lo, hi, groups) in one pass; groups are collected only when bounded."""
-    aggs = [F.min(F.col(col).cast("double")).alias("lo"), F.max(F.col(col).cast("double")).alias("hi")]
+    aggs = [F.min(known(df, col).cast("double")).alias("lo"), F.max(known(df, col).cast("double")).alias("hi")]
     if group:
         aggs.append(F.collect_set(F.col(group)).alias("g"))
         aggs.append(F.max(F.col(group).isNull().cast("int")).alias("gnull"))
@@ -193,7 +201,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30, group: str | None = None,
         if lo is None or hi is None:
             lo, hi = (0.0, 1.0) if e_lo is None else (e_lo, e_hi)
     width = (hi - lo) / bins
-    x = F.col(col).cast("double")
+    x = known(df, col).cast("double")
     b = F.least(F.lit(bins), F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)).cast("int") + 1)
     keys = [group] if group else []
     inside = df.where(x.isNotNull() & (x >= F.lit(lo)) & (x <= F.lit(hi)))
@@ -207,7 +215,11 @@ def histogram(df: DataFrame, col: str, bins: int = 30, group: str | None = None,
                 .select(group, F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")))
     else:
         grid = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    out = grid.join(counts, keys + ["bin"], "left")
+    counts = counts.select(*[F.col(k).alias("_group") for k in keys], F.col("bin").alias("_bin"), "count")
+    same = F.col("bin") == F.col("_bin")
+    if group:
+        same = same & F.col(group).eqNullSafe(F.col("_group"))
+    out = grid.join(counts, same, "left")
     return out.select(*keys, "bin",
                       (F.lit(lo) + (F.col("bin") - 1) * F.lit(width)).alias("lo"),
                       (F.lit(lo) + F.col("bin") * F.lit(width)).alias("hi"),
@@ -262,6 +274,16 @@ def _group_quartiles(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
     return small.unionByName(large)
 
 
+def _join_groups(df: DataFrame, per_group: DataFrame, groups: list[str]) -> DataFrame:
+    """Rows with their group's figures; a null group is a group.  Spark broadcasts the figures if they are small."""
+    right = per_group.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
+                             *[c for c in per_group.columns if c not in groups])
+    same = F.lit(True)
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return df.join(right, same).drop(*[f"_g{i}" for i in range(len(groups))])
+
+
 def box_summary(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
     """Box-plot summary per group: q1, median, q3, whiskers, outlier count.
 
@@ -269,9 +291,10 @@ def box_summary(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
     Quartiles are exact (``_group_quartiles``); the whiskers come from one
     join of the (bounded) quartile table back to the rows.
     """
+    df = df.withColumn(value, known(df, value))
     q = _group_quartiles(df, value, groups)
     iqr = F.col("q3") - F.col("q1")
-    j = df.join(F.broadcast(q), groups).withColumn("lo_fence", F.col("q1") - 1.5 * iqr).withColumn(
+    j = _join_groups(df, q, groups).withColumn("lo_fence", F.col("q1") - 1.5 * iqr).withColumn(
         "hi_fence", F.col("q3") + 1.5 * iqr)
     v = F.col(value)
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
@@ -283,8 +306,9 @@ def box_summary(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
 
 def box_outliers(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
     """The rows beyond 1.5 IQR, with their group."""
+    df = df.withColumn(value, known(df, value))
     s = box_summary(df, value, groups)
     iqr = F.col("q3") - F.col("q1")
-    return (df.join(s, groups)
+    return (_join_groups(df, s, groups)
             .where((F.col(value) < F.col("q1") - 1.5 * iqr) | (F.col(value) > F.col("q3") + 1.5 * iqr))
             .select(*groups, value))

@@ -22,6 +22,7 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 DEFAULT_ROWS_PER_BUCKET = 1 << 20
 BROADCAST_ROWS = 1 << 20
@@ -32,13 +33,6 @@ def hash_key(id_col: str, seed: int = 42, salt: str = "") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|{salt}"), F.col(id_col).cast("string")))
 
 
-def bucket_bits(n: int, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, max_bits: int = 24) -> int:
-    """Bits of hash prefix so that 2**bits buckets hold ~rows_per_bucket rows each."""
-    if n <= rows_per_bucket:
-        return 0
-    return min(max_bits, int(math.ceil(math.log2(n / rows_per_bucket))))
-
-
 def hash_bucket(key: Column, bits: int) -> Column:
     """Leading ``bits`` bits of a hex md5 key; monotone in the key's text order."""
     if bits <= 0:
@@ -75,53 +69,20 @@ def value_bucket(df: DataFrame, col: str, n_buckets: int) -> tuple[DataFrame, Co
     return d.withColumnRenamed("_vb_out", "_vb"), F.col("_vb").cast("long")
 
 
-def exact_rank(df: DataFrame, order_cols: list[Column], bucket: Column, n_buckets: int,
-               partition_cols: list[str] = (), n_groups: int = 1, rank_col: str = "rank",
-               broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """1-based rank by ``order_cols`` within ``partition_cols``; ``bucket`` must be
-    monotone non-decreasing in ``order_cols``."""
-    part = list(partition_cols)
-    d = df.withColumn("_bk", bucket)
-    counts = d.groupBy(*part, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*part).orderBy("_bk")
-    offsets = counts.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(part)],
-                            F.col("_bk").alias("_obk"),
-                            (F.sum("_cnt").over(w) - F.col("_cnt")).alias("_off"))
-    if n_buckets * max(n_groups, 1) <= broadcast_rows:
-        offsets = F.broadcast(offsets)
-    cond = F.col("_bk") == F.col("_obk")
-    for i, c in enumerate(part):
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_p{i}"))
-    j = d.join(offsets, cond)
-    rn = F.row_number().over(Window.partitionBy(*part, "_bk").orderBy(*order_cols))
-    out = j.withColumn(rank_col, (F.col("_off") + rn).cast("long"))
-    drop = ["_bk", "_obk", "_off"] + [f"_p{i}" for i in range(len(part))]
-    return out.drop(*drop)
-
-
 FIXED_HASH_BITS = 20
+#: Cut points of an id that is not a number (text, date): compared one by one, so kept few.
+MOST_VALUE_CUTS = 1 << 10
 
 
-def _null_safe_key(df: DataFrame, col: str) -> list[Column]:
-    """Two non-null expressions that identify a (possibly null) class value."""
-    from pyspark.sql.types import BooleanType, NumericType, StringType
-
-    dt = df.schema[col].dataType
-    if isinstance(dt, BooleanType):
-        default = F.lit(False)
-    elif isinstance(dt, NumericType):
-        default = F.lit(0).cast(dt)
-    elif isinstance(dt, StringType):
-        default = F.lit("")
-    else:
-        default = F.lit(None).cast(dt)
-    return [F.coalesce(F.col(col), default), F.col(col).isNull()]
+def _null_safe_key(col: str) -> list[Column]:
+    """Two non-null expressions that identify a (possibly null) class value of any type."""
+    return [F.coalesce(F.col(col).cast("string"), F.lit("")), F.col(col).isNull()]
 
 
 def rank_with_totals(df: DataFrame, order_cols: list[Column], bucket: Column,
                      partition_cols: list[str] = (), rank_col: str = "_rank",
                      total_col: str = "_total") -> DataFrame:
-    """Exact 1-based rank within ``partition_cols`` plus the partition's row count,
+    """Exact 1-based rank within ``partition_cols`` (``order_cols`` with nulls last) plus the partition's row count,
     with no driver round trip.
 
     Pass 1 counts rows per (class, bucket) (partial aggregation); prefix sums
@@ -130,9 +91,10 @@ def rank_with_totals(df: DataFrame, order_cols: list[Column], bucket: Column,
     window use the same key expressions, so the data is shuffled once.
     """
     part = list(partition_cols)
-    keys = [k for c in part for k in _null_safe_key(df, c)]
+    keys = [k for c in part for k in _null_safe_key(c)]
     names = [f"_k{i}" for i in range(len(keys))]
-    d = df.select("*", *[k.alias(n) for k, n in zip(keys, names)], bucket.alias("_bk"))
+    # a null key ranks last: in the bucket after all others, as nulls last orders it within one
+    d = df.select("*", *[k.alias(n) for k, n in zip(keys, names)], F.coalesce(bucket, F.lit(1 << 62)).alias("_bk"))
     counts = d.groupBy(*names, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*names).orderBy("_bk")
     whole = Window.partitionBy(*names)
@@ -143,16 +105,33 @@ def rank_with_totals(df: DataFrame, order_cols: list[Column], bucket: Column,
     return j.withColumn(rank_col, (F.col("_off") + rn).cast("long")).drop(*names, "_bk", "_off")
 
 
+def ordered_bucket(df: DataFrame, col: str, n_buckets: int) -> Column:
+    """Monotone bucket of a key of any ordered type, from a sample of its values by their hash."""
+    n = min(n_buckets, MOST_VALUE_CUTS)
+    some = df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(F.xxhash64(col)).limit(16 * n)
+    values = sorted(r[0] for r in some.collect())
+    cuts = sorted({values[i * len(values) // n] for i in range(1, n)}) if values else []
+    if not cuts:
+        return F.lit(0).cast("long")
+    kind = df.schema[col].dataType
+    at = F.array(*[F.lit(c).cast(kind) for c in cuts])
+    return F.when(F.col(col).isNotNull(), F.size(F.filter(at, lambda c: c <= F.col(col))).cast("long"))
+
+
 def id_bucket(df: DataFrame, col: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
               max_buckets: int = 1 << 16) -> tuple[DataFrame, Column]:
-    """Monotone bucket of a numeric key, about ``rows_per_bucket`` rows each.
+    """Monotone bucket of a key, about ``rows_per_bucket`` rows each; null for a null key.
 
     A row count (cheap: no column is read) fixes the bucket count; only when
     more than one bucket is needed does a second pass fetch that many
-    approximate cut points.
+    approximate cut points, in the key's own order (numbers as numbers, text as
+    text, dates as dates).
     """
     n = df.count()
     nb = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
     if nb <= 1:
         return df, F.lit(0).cast("long")
-    return value_bucket(df, col, nb)
+    if not isinstance(df.schema[col].dataType, NumericType):
+        return df, ordered_bucket(df, col, nb)
+    d, bucket = value_bucket(df, col, nb)
+    return d, F.when(F.col(col).isNotNull(), bucket)

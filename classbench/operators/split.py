@@ -12,23 +12,14 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from classbench.operators.rank import (DEFAULT_ROWS_PER_BUCKET, FIXED_HASH_BITS, bucket_bits,
-                                       class_counts, exact_rank, hash_bucket, hash_key, id_bucket,
-                                       rank_with_totals)
-
-
-def hash_rank(df: DataFrame, id_col: str, label: str | None, seed: int = 42, salt: str = "",
-              rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, counts=None):
-    """Rank rows inside their class by md5(seed|salt|id), ties by id."""
-    part = [label] if label else []
-    counts = counts or class_counts(df, part)
-    n = sum(c for _, c in counts)
-    bits = bucket_bits(n, rows_per_bucket)
-    key = hash_key(id_col, seed, salt)
-    d = df.withColumn("_key", key)
-    ranked = exact_rank(d, [F.col("_key"), F.col(id_col)], hash_bucket(F.col("_key"), bits),
-                        1 << bits, part, len(counts), "_rank")
-    return ranked.drop("_key"), counts
+from classbench.operators.rank import (DEFAULT_ROWS_PER_BUCKET, FIXED_HASH_BITS, class_counts,
+                                       hash_bucket, hash_key, id_bucket, rank_with_totals)
+
+
+def hash_rank(df: DataFrame, id_col: str, label: str | None, seed: int = 42, salt: str = "", counts=None):
+    """Rank rows inside their class by md5(seed|salt|id), ties by id; with the class counts."""
+    counts = counts or class_counts(df, [label] if label else [])
+    return hash_rank_totals(df, id_col, label, seed, salt).drop("_total"), counts
 
 
 def hash_rank_totals(df: DataFrame, id_col: str, label: str | None, seed: int = 42, salt: str = "",
@@ -40,7 +31,7 @@ def hash_rank_totals(df: DataFrame, id_col: str, label: str | None, seed: int =
     """
     key = hash_key(id_col, seed, salt)
     d = df.withColumn("_key", key)
-    out = rank_with_totals(d, [F.col("_key"), F.col(id_col)], hash_bucket(F.col("_key"), bits),
+    out = rank_with_totals(d, [F.asc_nulls_last("_key"), F.asc_nulls_last(id_col)], hash_bucket(F.col("_key"), bits),
                            [label] if label else [])
     return out.drop("_key")
 
@@ -51,15 +42,10 @@ def id_rank_totals(df: DataFrame, id_col: str, label: str | None,
     passes (count with cut points, bucket counts, ranking), nothing collected
     but the cut points."""
     d, b = id_bucket(df, id_col, rows_per_bucket)
-    out = rank_with_totals(d, [F.col(id_col)], b, [label] if label else [])
+    out = rank_with_totals(d, [F.asc_nulls_last(id_col)], b, [label] if label else [])
     return out.drop("_vb") if "_vb" in out.columns else out
 
 
-def n_test_rows(n_c: int, test_size: float) -> int:
-    """Test rows of a class of ``n_c`` rows: floor(n_c * t + 0.5)."""
-    return int(math.floor(n_c * test_size + 0.5))
-
-
 def stratified_split(df: DataFrame, id_col: str, label: str, test_size: float = 0.2,
                      seed: int = 42, salt: str = "", out_col: str = "split",
                      bits: int = FIXED_HASH_BITS) -> DataFrame:

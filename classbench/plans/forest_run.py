@@ -12,7 +12,6 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from classbench.models.forest import forest, score
 from classbench.operators import curves, encode, importance, metrics, profile, split
-from classbench.session import right_size
 from classbench.sources import fixtures as FX
 
 CHURN_CATEGORICAL = ["priority", "status", "segment"]
@@ -41,8 +40,7 @@ def flagship_metrics(spark: SparkSession, sf_dir: str, num_trees: int = 20,
     """Minimum slice: F1 -> E1 -> L1 -> forest -> test metrics (metric, value)."""
     data, _ = prepare_churn(spark, sf_dir)
     parts = split.stratified_split(data, "id", "label", 0.2, 42)
-    n = parts.count()
-    parts = right_size(parts, n).persist()
+    parts = parts.persist()
     train = parts.where(F.col("split") == "train")
     test = parts.where(F.col("split") == "test")
     model = forest(num_trees, max_depth).fit(train)
@@ -76,7 +74,7 @@ def run_complete_analysis(spark: SparkSession, sf_dir: str, num_trees: int = 100
     tables = {"shape": profile.shape(f1), "class_share": profile.class_share(f1, "Churn")}
     data, names = prepare_churn(spark, sf_dir)
     parts = split.stratified_split(data, "id", "label", 0.2, 42)
-    parts = right_size(parts, parts.count()).persist()
+    parts = parts.persist()
     train = parts.where(F.col("split") == "train").drop("split")
     test = parts.where(F.col("split") == "test").drop("split")
     t0 = time.time()

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
 from classbench.operators import encode, split
-from classbench.session import right_size
 from classbench.spec import TableSpec, table_spec
 
 
@@ -30,6 +29,7 @@ class Prepared:
     class_names: list | None
     encoding: object | None
     scaler: object | None
+    unlabelled: int = 0  # rows without a target, which neither part holds
 
 
 def with_row_id(df: DataFrame, id_col: str = "id") -> DataFrame:
@@ -44,16 +44,16 @@ def with_row_id(df: DataFrame, id_col: str = "id") -> DataFrame:
 
 def label_column(df: DataFrame, target: str) -> tuple[DataFrame, list | None]:
     """Boolean -> 0/1; 'True'/'False' text -> 1/0 (other text null);
-    other text -> alphabetical codes; numbers pass."""
+    other text -> alphabetical codes; numbers pass.  A null target has no label."""
     dt = df.schema[target].dataType
     if isinstance(dt, BooleanType):
         return df.withColumn("label", F.col(target).cast("int")), [False, True]
     if isinstance(dt, StringType):
-        vals = {r[0] for r in df.select(target).distinct().limit(3).collect()}
-        if vals and vals <= {"True", "False", None}:
+        known = df.agg(F.bool_and(F.col(target).isin("True", "False")).alias("b")).first()["b"]  # all values, nulls aside
+        if known:
             lab = F.when(F.col(target) == "True", 1).when(F.col(target) == "False", 0)
             return df.withColumn("label", lab.cast("int")), ["False", "True"]
-        coded, names = encode.encode_target(df.select(*df.columns), target)
+        coded, names = encode.encode_target(df, target)
         return coded.withColumn("label", F.col(target)), names
     return df.withColumn("label", F.col(target).cast("int")), None
 
@@ -70,9 +70,10 @@ def prepare_table(df: DataFrame, target: str | None = None, id_col: str = "id",
     df = with_row_id(df, id_col)
     ts = table_spec(df, id_col, target, categorical)
     labelled, class_names = label_column(df, ts.target)
+    unlabelled = labelled.where(F.col("label").isNull()).count()
     labelled = labelled.where(F.col("label").isNotNull())
     parts = split.stratified_split(labelled, id_col, "label", test_size, seed)
-    parts = right_size(parts, parts.count()).persist()
+    parts = parts.persist()
     train = parts.where(F.col("split") == "train")
     test = parts.where(F.col("split") == "test")
     enc = None
@@ -91,4 +92,4 @@ def prepare_table(df: DataFrame, target: str | None = None, id_col: str = "id",
         d = part.select(id_col, *[F.col(c).cast("double").alias(c) for c in names], "label")
         out.append(encode.assemble(d, names).select(F.col(id_col).alias("id"), "features",
                                                       F.col("label").cast("double").alias("label")))
-    return Prepared(out[0], out[1], ts, names, class_names, enc, scaler)
+    return Prepared(out[0], out[1], ts, names, class_names, enc, scaler, unlabelled)

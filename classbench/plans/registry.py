@@ -74,9 +74,8 @@ def q_image_table(spark, sf):
     """S2 + P8-P10: 8x8 images reshaped, flattened back and expanded to pixel_i columns."""
     e = FX.vectors(spark, sf)
     flat = S.flatten_image(S.reshape_square("embedding", 64))
-    return r6(e.select(F.col("vec_id").alias("id"), flat.alias("px")).join(
-        e.select(F.col("vec_id").alias("id"), F.col("label").alias("target")), "id")
-        .select("id", *S.expand_array("px", 64), "target"))
+    return r6(e.select(F.col("vec_id").alias("id"), flat.alias("px"), F.col("label").alias("target"))
+              .select("id", *S.expand_array("px", 64), "target"))
 
 
 @query("report_sink", W(_union_sql([
@@ -760,9 +759,8 @@ def _release(result: DataFrame, *inputs: DataFrame, max_rows: int = 100_000) ->
 
 
 def _sized(df: DataFrame) -> DataFrame:
-    """Persist a frame that several fits will read, with partitions sized to its rows."""
-    from classbench.session import right_size
-    return right_size(df, df.count()).persist()
+    """Persist a frame that several fits will read."""
+    return df.persist()
 
 
 @query("forest_test_metrics")
@@ -913,10 +911,9 @@ def q_forest_summary_report(spark, sf):
     from classbench.models.forest import forest, score
     from classbench.plans.forest_run import _metric_rows, prepare_churn
     from classbench.plans.reports import model_summary
-    from classbench.session import right_size
     data, names = prepare_churn(spark, sf)
     parts = split.stratified_split(data, "id", "label", 0.2, 42)
-    parts = right_size(parts, parts.count()).persist()
+    parts = parts.persist()
     train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
     model = forest(20, 10).fit(train)
     info = {"model": "RandomForest", "n_trees": 20, "max_depth": 10, "n_train": train.count(),

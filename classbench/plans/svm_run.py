@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from classbench.models.svm import KERNELS, fit_kernel_svm
 from classbench.operators import compare, curves, encode, metrics, projection, split
 from classbench.plans.forest_run import CHURN_CATEGORICAL, CHURN_NUMERIC
-from classbench.session import right_size
 from classbench.sources import fixtures as FX
 
 
@@ -25,7 +24,7 @@ def prepare_scaled(spark: SparkSession, sf_dir: str, test_size: float = 0.2):
     enc = encode.fit_label_encoding(f1, CHURN_CATEGORICAL)
     d = enc.transform(f1).withColumn("label", F.col("Churn").cast("int"))
     parts = split.stratified_split(d, "id", "label", test_size, 42)
-    parts = right_size(parts, parts.count()).persist()
+    parts = parts.persist()
     names = CHURN_CATEGORICAL + CHURN_NUMERIC
     train = parts.where(F.col("split") == "train")
     test = parts.where(F.col("split") == "test")
@@ -40,7 +39,7 @@ def prepare_ring(spark: SparkSession, sf_dir: str):
     """F3 split 80/20 (stratified), features (e0, e1) scaled on train."""
     r = FX.ring(spark, sf_dir)
     parts = split.stratified_split(r, "id", "label", 0.2, 42)
-    parts = right_size(parts, parts.count()).persist()
+    parts = parts.persist()
     train = parts.where(F.col("split") == "train")
     test = parts.where(F.col("split") == "test")
     scaler = encode.fit_population_scaler(train, ["e0", "e1"])

@@ -33,8 +33,8 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediates.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is used as is.  Only when it is unset (local tests) a folder is made
-    under the system temporary directory and registered as the checkpoint
+    and is used as is.  Where it is unset, a
+    cluster is an error and in local mode (tests) a folder is made under the system temporary directory and registered as the checkpoint
     directory, so ``DataFrame.checkpoint()`` works.
     """
     sc = spark.sparkContext
@@ -43,6 +43,8 @@ def scratch_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="classbench-ckpt-")
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
@@ -69,20 +71,3 @@ def ship_by_value(module) -> None:
         cloudpickle.register_pickle_by_value(module)
     except ValueError:
         pass  # already registered
-
-
-ROWS_PER_PARTITION = 2_000_000
-
-
-def right_size(df, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION):
-    """Partition count proportional to the rows (about ``rows_per_partition`` each).
-
-    Iterative learners make one distributed pass per optimizer step, so a
-    frame split finer than its size needs pays the per-task cost on every
-    step; a coarser one spills.  Only ever narrows (``coalesce``, no shuffle).
-    """
-    import math
-
-    want = max(1, math.ceil(n_rows / rows_per_partition))
-    have = df.rdd.getNumPartitions()
-    return df.coalesce(want) if have > want else df

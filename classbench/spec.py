@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import BooleanType, NumericType, StringType, StructType
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType, StringType, StructType
 
 # Target names tried in order by the generic loader; the image
 # and churn apps use 'target' if present, else 'Churn'.
@@ -61,10 +61,18 @@ def numeric_columns(schema: StructType, exclude=(), include_bool: bool = False)
 
 def table_spec(df: DataFrame, id_col: str | None = "id", target: str | None = None,
                categorical: list[str] | None = None) -> TableSpec:
-    """Build a TableSpec from ``df.schema``: target by S3, categoricals by P5."""
+    """Build a TableSpec from ``df.schema``: target by S3, categoricals by P5.
+
+    Every other column is a feature: text, dates and times as categories, numbers
+    and booleans as numbers.  A column of another type is an error.
+    """
     names = [n for n in df.columns if n != id_col]
     tgt = target or resolve_target(names)
     skip = {tgt} | ({id_col} if id_col else set())
-    cats = list(categorical) if categorical is not None else string_columns(df.schema, skip)
-    nums = [n for n in numeric_columns(df.schema, skip | set(cats))]
+    dated = [f.name for f in df.schema.fields if isinstance(f.dataType, DatetimeType) and f.name not in skip]
+    text = set(string_columns(df.schema, skip)) | set(dated)
+    cats = list(categorical) if categorical is not None else [n for n in names if n in text]
+    nums = numeric_columns(df.schema, skip | set(cats), include_bool=True)
+    if lost := [n for n in names if n not in skip | set(cats) | set(nums)]:
+        raise ValueError(f"columns without a role: {lost}")
     return TableSpec(id_col, tgt, tuple(cats), tuple(nums))

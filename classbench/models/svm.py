@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from classbench.operators.split import hash_rank
+from classbench.session import tasks_for
 
 KERNELS = ("linear", "rbf", "poly", "sigmoid")
 
@@ -203,19 +204,21 @@ def fit_kernel_svm(train: DataFrame, kind: str = "rbf", C: float = 1.0, gamma="s
         d = fmap.transform(train, features, "_phi_vec")
         col = "_phi_vec"
     # mapped once, sized to the data, reused by every optimizer pass and calibration fold
-    d = d.select(id_col, col, label).persist()
+    wide = n_landmarks if kind != "linear" else len(train.select(features).first()[0])
+    tasks = tasks_for(n, wide)
+    d = d.select(id_col, col, label).coalesce(tasks).persist()
     if not calibrate:
         svc = linear_svc(C, n, max_iter, col, label).fit(d)
         d.unpersist()
         return KernelSVMModel(kind, fmap, svc, None)
     folded = stratified_kfold(d, id_col, label, platt_folds, seed, fold_col="_pf")
-    folded = folded.persist()
+    folded = folded.coalesce(tasks).persist()
 
     def fit_full():
         return linear_svc(C, n, max_iter, col, label).fit(d)
 
     def fit_fold(f):
-        m = linear_svc(C, n, max_iter, col, label).fit(folded.where(F.col("_pf") != f))
+        m = linear_svc(C, n - n // platt_folds, max_iter, col, label).fit(folded.where(F.col("_pf") != f))
         return m.transform(folded.where(F.col("_pf") == f)).select(
             label, vector_to_array(F.col("rawPrediction"))[1].alias("decision"))
 

@@ -71,3 +71,12 @@ def ship_by_value(module) -> None:
         cloudpickle.register_pickle_by_value(module)
     except ValueError:
         pass  # already registered
+
+
+#: Bytes of feature vectors that one task of an iterative learner holds.
+TASK_BYTES = 32 << 20
+
+
+def tasks_for(n_rows: int, width: int) -> int:
+    """Tasks for ``n_rows`` vectors of ``width`` doubles: by their bytes, so a pass over few small rows is one task."""
+    return max(1, -(-n_rows * max(width, 1) * 8 // TASK_BYTES))

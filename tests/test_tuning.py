@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from classbench.models.forest import forest, score
 from classbench.operators import split
 from classbench.plans import tuning
-from classbench.session import right_size
 from tests.conftest import SF_SMALL
 
 
@@ -18,7 +17,7 @@ def folded(spark):
     from classbench.plans.forest_run import prepare_churn
     data, _ = prepare_churn(spark, SF_SMALL)
     f = split.stratified_kfold(data, "id", "label", 3, 42)
-    return right_size(f, 1500).persist()
+    return f.persist()
 
 
 def test_cv_scores_one_fit_per_fold(folded):

@@ -6,7 +6,7 @@
    function of the score (approximate cut points; exactness does not depend
    on them).
 3. Per-bucket totals get prefix sums over higher buckets; they are joined
-   back (broadcast when the bounded bucket table is small) and a window
+   back and a window
    inside each (group, bucket) finishes the running sums.
 
 No window ever spans a whole group of rows, so one model or one class with a
@@ -20,30 +20,31 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from classbench.operators.rank import BROADCAST_ROWS, value_bucket
+from classbench.operators.rank import value_bucket
 from classbench.session import scratch_dir
 
 ROWS_PER_BUCKET = 1 << 20
 
 
 def score_table(df: DataFrame, label: str, score: str, groups: list[str] = (),
-                positive=1) -> DataFrame:
-    """(groups..., score, pos, neg): one row per distinct score."""
+                positive=1, extra=()) -> DataFrame:
+    """(groups..., score, pos, neg): one row per distinct score (null among them), and ``extra`` aggregates."""
     y = F.col(label) == F.lit(positive)
-    return (df.where(F.col(score).isNotNull())
-            .groupBy(*groups, F.col(score).cast("double").alias("score"))
-            .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))
+    return (df.groupBy(*groups, F.col(score).cast("double").alias("score"))
+            .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"), *extra))
 
 
 def running_counts(df: DataFrame, label: str, score: str, groups: list[str] = (),
-                   positive=1, rows_per_bucket: int = ROWS_PER_BUCKET, with_table: bool = False):
-    """(groups..., score, pos, neg, tp, fp, P, N): tp/fp = rows scored >= score.
+                   positive=1, rows_per_bucket: int = ROWS_PER_BUCKET, with_table: bool = False, extra=()):
+    """(groups..., score, pos, neg, tp, fp, P, N): tp/fp = rows scored >= score; null scores are in no row.
 
-    With ``with_table`` also returns the checkpointed distinct-score table.
+    With ``with_table`` also returns the checkpointed distinct-score table (null
+    scores included), which carries the ``extra`` aggregates.
     """
     groups = list(groups)
     scratch_dir(df.sparkSession)
-    st = score_table(df, label, score, groups, positive).checkpoint(eager=True)
+    table = score_table(df, label, score, groups, positive, extra).checkpoint(eager=True)
+    st = table.where(F.col("score").isNotNull())
     m = st.count()
     nb = max(1, math.ceil(m / rows_per_bucket))
     d, b = value_bucket(st, "score", nb)
@@ -57,9 +58,6 @@ def running_counts(df: DataFrame, label: str, score: str, groups: list[str] = ()
                       F.coalesce(F.sum("_bp").over(higher), F.lit(0)).alias("_op"),
                       F.coalesce(F.sum("_bn").over(higher), F.lit(0)).alias("_on"),
                       F.sum("_bp").over(whole).alias("P"), F.sum("_bn").over(whole).alias("N"))
-    n_groups = st.select(*groups).distinct().count() if groups else 1
-    if nb * n_groups <= BROADCAST_ROWS:  # offsets: one row per (group, bucket)
-        offs = F.broadcast(offs)
     cond = F.col("_b") == F.col("_ob")
     for i, g in enumerate(groups):
         cond = cond & F.col(g).eqNullSafe(F.col(f"_g{i}"))
@@ -70,7 +68,7 @@ def running_counts(df: DataFrame, label: str, score: str, groups: list[str] = ()
                   (F.col("_op") + F.sum("pos").over(w)).cast("long").alias("tp"),
                   (F.col("_on") + F.sum("neg").over(w)).cast("long").alias("fp"),
                   F.col("P").cast("long").alias("P"), F.col("N").cast("long").alias("N"))
-    return (rc, st) if with_table else rc
+    return (rc, table) if with_table else rc
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
@@ -82,7 +80,7 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
     pts = rc.select(*groups, F.col("score").alias("threshold"),
                     (F.col("fp") / F.nullif(F.col("N"), F.lit(0))).alias("fpr"),
                     (F.col("tp") / F.nullif(F.col("P"), F.lit(0))).alias("tpr"))
-    start = st.select(*groups).distinct().select(
+    start = st.where(F.col("score").isNotNull()).select(*groups).distinct().select(
         *groups, F.lit(math.inf).alias("threshold"), F.lit(0.0).alias("fpr"),
         F.lit(0.0).alias("tpr"))
     return pts.unionByName(start)
@@ -98,7 +96,7 @@ def pr_curve(df: DataFrame, label: str = "label", score: str = "score",
     rec = F.when(F.col("P") == 0, F.lit(1.0)).otherwise(F.col("tp") / F.col("P"))
     pts = rc.select(*groups, F.col("score").alias("threshold"), prec.alias("precision"),
                     rec.alias("recall"))
-    end = st.select(*groups).distinct().select(
+    end = st.where(F.col("score").isNotNull()).select(*groups).distinct().select(
         *groups, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
         F.lit(0.0).alias("recall"))
     return pts.unionByName(end)
@@ -111,8 +109,11 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
     Sum over distinct scores of neg * (tp_before + pos / 2) / (P * N); null
     when a group has only one class.
     """
-    groups = list(groups)
-    rc = running_counts(df, label, score, groups, positive, **kw)
+    return auc_of(running_counts(df, label, score, list(groups), positive, **kw), list(groups))
+
+
+def auc_of(rc: DataFrame, groups: list[str]) -> DataFrame:
+    """ROC-AUC per group from the table of :func:`running_counts`."""
     term = F.col("neg") * (F.col("tp") - F.col("pos") / 2.0)
     return rc.groupBy(*groups).agg(
         (F.sum(term) / F.nullif(F.max("P") * F.max("N"), F.lit(0))).alias("roc_auc"))

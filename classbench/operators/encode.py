@@ -1,21 +1,25 @@
 """Encoding and scaling.
 
-Label encoding is ``StringIndexer`` with alphabetical order (codes are the
-sorted position of each value, from 0) fitted once for all columns; the
-vocabulary travels to executors inside the model, so its size is bounded by
-the distinct values of categorical columns.  Standard scaling uses the
-population standard deviation, fitted with one aggregate and applied as
-column arithmetic (stays in codegen).
+A label encoding is a table (name, value, code): the distinct values of all
+columns, ranked within their column by the two-level rank of ``rank``, so
+neither the values nor their order pass through the driver or one task.
+Columns are coded by joins with that table; Spark broadcasts its small parts
+and splits hot values of large ones.  Standard scaling uses the population
+standard deviation, fitted with one aggregate and applied as column arithmetic
+(stays in codegen).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType
+
+from classbench.operators.rank import id_bucket, rank_with_totals
+from classbench.session import scratch_dir
 
 NULL_TOKEN = "nan"
 
@@ -28,61 +32,80 @@ def as_category(df: DataFrame, cols: list[str]) -> DataFrame:
 
 @dataclass
 class LabelEncoding:
-    """A fitted label encoding of several columns."""
+    """A fitted label encoding of several columns.
+
+    ``vocabulary`` holds (name, value, code); ``unseen`` the code of values it
+    lacks for each column, or nothing where they are an error.
+    """
 
-    model: StringIndexerModel
+    vocabulary: DataFrame
     columns: list[str]
     suffix: str
+    unseen: dict[str, int] | None = None
+
+    def _codes(self, column: str, value: str, code: str) -> DataFrame:
+        return self.vocabulary.where(F.col("name") == column).select(
+            F.col("value").alias(value), F.col("code").cast("int").alias(code))
 
     def transform(self, df: DataFrame, replace: bool = True) -> DataFrame:
         """Codes as integer columns; ``replace`` keeps the original names."""
-        d = as_category(df, self.columns)
-        out = self.model.transform(d)
+        out = as_category(df, self.columns)
         for c in self.columns:
-            out = out.withColumn(c + self.suffix, F.col(c + self.suffix).cast("int"))
+            key, code = "_value" + self.suffix, c + self.suffix
+            found = out.join(self._codes(c, key, code), F.col(c) == F.col(key), "left").drop(key)
+            if self.unseen is None:
+                missing = F.raise_error(F.concat(F.lit(f"value of {c} not seen in fitting: "), F.col(c))).cast("int")
+            else:
+                missing = F.lit(self.unseen[c])
+            out = found.withColumn(code, F.coalesce(F.col(code), missing))
             if replace:
-                out = out.drop(c).withColumnRenamed(c + self.suffix, c)
+                out = out.drop(c).withColumnRenamed(code, c)
         return out.select(*df.columns) if replace else out
 
     def dictionary(self, spark) -> DataFrame:
-        """(name, value, code); bounded by the vocabulary sizes."""
-        rows = [(c, v, i) for c, labels in zip(self.columns, self.model.labelsArray)
-                for i, v in enumerate(labels)]
-        schema = StructType([StructField("name", StringType()), StructField("value", StringType()),
-                             StructField("code", LongType())])
-        return spark.createDataFrame(rows, schema)
+        """(name, value, code)."""
+        return self.vocabulary.select("name", "value", "code")
 
     def inverse(self, df: DataFrame, col: str, out_col: str | None = None) -> DataFrame:
-        """Codes back to values by lookup; the code of unseen values gives null."""
-        labels = self.model.labelsArray[self.columns.index(col)]
-        arr = F.array(*[F.lit(v) for v in labels])
-        return df.withColumn(out_col or col, F.get(arr, F.col(col).cast("int")))
+        """Codes back to values by a join; a null code and that of unseen values give null."""
+        target = out_col or col
+        labels = self._codes(col, "_label", "_code")
+        found = df.join(labels, F.col(col).cast("int") == F.col("_code"), "left").withColumn(target, F.col("_label"))
+        return found.drop("_label", "_code")
 
 
 def fit_label_encoding(df: DataFrame, cols: list[str], suffix: str = "__code",
                        handle_invalid: str = "error") -> LabelEncoding:
-    """One ``StringIndexer`` over all columns, alphabetical codes from 0.
+    """Alphabetical codes from 0 for each column, as a table in the checkpoint folder.
 
-    ``handle_invalid='keep'`` gives unseen values an extra code (fit on the
-    training part only, SURVEY Q1 option).
+    ``handle_invalid='keep'`` gives unseen values an extra code, the number of
+    known ones (fit on the training part only, SURVEY Q1 option).
     """
-    d = as_category(df.select(*cols), cols)
-    idx = StringIndexer(inputCols=cols, outputCols=[c + suffix for c in cols],
-                        stringOrderType="alphabetAsc", handleInvalid=handle_invalid)
-    return LabelEncoding(idx.fit(d), list(cols), suffix)
+    scratch_dir(df.sparkSession)
+    long = as_category(df.select(*cols), cols).unpivot([], cols, "name", "value")
+    values = long.distinct().checkpoint()
+    keyed, bucket = id_bucket(values, "value")
+    ranked = rank_with_totals(keyed, [F.asc("value")], bucket, ["name"])
+    vocabulary = ranked.select("name", "value", (F.col("_rank") - 1).alias("code")).checkpoint()
+    unseen = None
+    if handle_invalid == "keep":  # one number for each column
+        sizes = {r["name"]: r["n"] for r in vocabulary.groupBy("name").agg(F.count("*").alias("n")).collect()}
+        unseen = {c: sizes.get(c, 0) for c in cols}
+    return LabelEncoding(vocabulary, list(cols), suffix, unseen)
 
 
 def encode_target(df: DataFrame, target: str) -> tuple[DataFrame, list]:
     """Booleans map false/true to 0/1, numbers pass, text gets E1 codes; null stays null.
 
-    Returns the frame with the integer target and the class names by code.
+    Returns the frame with the integer target and the class names by code (as
+    many as there are classes).
     """
     dt = df.schema[target].dataType
     if isinstance(dt, StringType):
         enc = fit_label_encoding(df.where(F.col(target).isNotNull()), [target], handle_invalid="keep")
         coded = enc.transform(df.withColumn("_no_target", F.col(target).isNull()))
         known = F.when(~F.col("_no_target"), F.col(target))
-        return coded.withColumn(target, known).drop("_no_target"), list(enc.model.labelsArray[0])
+        return coded.withColumn(target, known).drop("_no_target"), [r["value"] for r in enc.dictionary(df.sparkSession).orderBy("code").collect()]
     if dt.simpleString() == "boolean":
         return df.withColumn(target, F.col(target).cast("int")), [False, True]
     return df.withColumn(target, F.col(target).cast("int")), None

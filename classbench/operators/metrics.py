@@ -15,6 +15,11 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(a / F.nullif(b, F.lit(0)), F.lit(0.0))
 
 
+def _class_type(df: DataFrame, label: str, prediction: str):
+    """Common type of both class columns."""
+    return df.select(F.coalesce(F.col(label), F.col(prediction))).schema[0].dataType
+
+
 def class_list(df: DataFrame, label: str, prediction: str) -> list:
     """Sorted distinct classes seen as label or prediction (bounded by classes)."""
     rows = (df.select(F.col(label).alias("c")).union(df.select(F.col(prediction).alias("c")))
@@ -24,16 +29,22 @@ def class_list(df: DataFrame, label: str, prediction: str) -> list:
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
                      classes: list | None = None) -> DataFrame:
-    """V1: (actual, predicted, count) for every pair of classes, zeros kept."""
+    """V1: (actual, predicted, count) for every pair of classes, zeros kept.
+
+    The pairs are the result itself; they are made in as many tasks as Spark
+    gives a range over the classes.  Without any class the result is empty.
+    """
     if classes is None:
         classes = class_list(df, label, prediction)
-    counts = df.groupBy(F.col(label).alias("actual"), F.col(prediction).alias("predicted")).agg(
+    kind = _class_type(df, label, prediction)
+    counts = df.groupBy(F.col(label).cast(kind).alias("actual"), F.col(prediction).cast(kind).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n"))
-    spark = df.sparkSession
-    lits = F.array(*[F.lit(c) for c in classes])
-    grid = (spark.range(1).select(F.explode(lits).alias("actual"))
+    if not classes:
+        return counts.where(F.lit(False)).withColumnRenamed("n", "count")
+    lits = F.array(*[F.lit(c).cast(kind) for c in classes])
+    grid = (df.sparkSession.range(len(classes)).select(F.get(lits, F.col("id").cast("int")).alias("actual"))
             .select("actual", F.explode(lits).alias("predicted")))
-    return (grid.join(F.broadcast(counts), ["actual", "predicted"], "left")
+    return (grid.join(counts, ["actual", "predicted"], "left")
             .select("actual", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("count")))
 
 
@@ -54,20 +65,27 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
         _ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
 
 
-def _class_counts(df: DataFrame, label: str, prediction: str, classes: list | None) -> DataFrame:
-    """(class, tp, predicted, support) from the confusion matrix (bounded by classes)."""
-    cm = confusion_matrix(df, label, prediction, classes)
-    tp = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0))
-    by_actual = cm.groupBy(F.col("actual").alias("class")).agg(
-        tp.alias("tp"), F.sum("count").alias("support"))
-    by_pred = cm.groupBy(F.col("predicted").alias("class")).agg(F.sum("count").alias("predicted"))
-    return by_actual.join(by_pred, "class")
+def _class_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """(class, tp, predicted, support) in one grouped aggregate, linear in rows and classes.
+
+    A row adds to the support of its label and to the count of its prediction;
+    where either is null it adds to neither, but names its class.
+    """
+    kind = _class_type(df, label, prediction)
+    y, p = F.col(label).cast(kind), F.col(prediction).cast(kind)
+    ends = F.array(
+        F.struct(y.alias("class"), p.isNotNull().cast("long").alias("support"), F.lit(0).cast("long").alias("predicted"),
+                 F.coalesce((y == p).cast("long"), F.lit(0).cast("long")).alias("tp")),
+        F.struct(p.alias("class"), F.lit(0).cast("long").alias("support"), y.isNotNull().cast("long").alias("predicted"),
+                 F.lit(0).cast("long").alias("tp")))
+    return (df.select(F.explode(ends).alias("e")).select("e.*").where(F.col("class").isNotNull())
+            .groupBy("class").agg(*[F.sum(c).alias(c) for c in ("tp", "predicted", "support")]))
 
 
 def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction",
-              classes: list | None = None, with_tp: bool = False) -> DataFrame:
-    """(class, precision, recall, f1, support) from the confusion matrix."""
-    j = _class_counts(df, label, prediction, classes)
+              with_tp: bool = False) -> DataFrame:
+    """(class, precision, recall, f1, support) of every class seen as label or prediction."""
+    j = _class_counts(df, label, prediction)
     prec = _ratio(F.col("tp"), F.col("predicted"))
     rec = _ratio(F.col("tp"), F.col("support"))
     f1 = _ratio(2 * F.col("tp"), F.col("predicted") + F.col("support"))
@@ -110,20 +128,18 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
         _ratio(F.sum(F.col("precision") * F.col("support")), tot).alias("wp"),
         _ratio(F.sum(F.col("recall") * F.col("support")), tot).alias("wr"),
         _ratio(F.sum(F.col("f1") * F.col("support")), tot).alias("wf"))
-    big = F.lit(1_000_000)
-    acc = summary.select((big + 1).cast("int").alias("row_order"), F.lit("accuracy").alias("row"),
-                         F.lit(None).cast("double").alias("precision"),
-                         F.lit(None).cast("double").alias("recall"),
-                         _ratio(F.col("hit"), F.col("n")).alias("f1"),
-                         F.col("n").cast("long").alias("support"))
-    macro = summary.select((big + 2).cast("int").alias("row_order"), F.lit("macro avg").alias("row"),
-                           F.col("mp").alias("precision"), F.col("mr").alias("recall"),
-                           F.col("mf").alias("f1"), F.col("n").cast("long").alias("support"))
-    weighted = summary.select((big + 3).cast("int").alias("row_order"),
-                              F.lit("weighted avg").alias("row"), F.col("wp").alias("precision"),
-                              F.col("wr").alias("recall"), F.col("wf").alias("f1"),
-                              F.col("n").cast("long").alias("support"))
-    return classes.unionByName(acc).unionByName(macro).unionByName(weighted)
+    none = F.lit(None).cast("double")
+
+    def line(order, name, precision, recall, f1):
+        return F.struct(F.lit(1_000_000 + order).cast("int").alias("row_order"), F.lit(name).alias("row"),
+                        precision.alias("precision"), recall.alias("recall"), f1.alias("f1"),
+                        F.col("n").cast("long").alias("support"))
+
+    lines = F.inline(F.array(
+        line(1, "accuracy", none, none, _ratio(F.col("hit"), F.col("n"))),
+        line(2, "macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
+        line(3, "weighted avg", F.col("wp"), F.col("wr"), F.col("wf"))))
+    return classes.unionByName(summary.select(lines))
 
 
 def loss_accuracy(df: DataFrame, label: str, probs: str, eps: float = 1e-7) -> DataFrame:
@@ -153,14 +169,19 @@ def grouped_binary_metrics(df: DataFrame, groups: list[str], label: str = "label
                            prediction: str = "prediction", score: str | None = None,
                            positive=1) -> DataFrame:
     """Long table (groups..., metric, value) of accuracy, precision, recall, F1
-    (one aggregate) and, with ``score``, ROC-AUC, per group (e.g. model, fold)."""
-    from classbench.operators.curves import roc_auc
+    and, with ``score``, ROC-AUC, per group (e.g. model, fold); ``df`` is read once."""
+    from classbench.operators.curves import auc_of, running_counts
 
     y = F.col(label) == F.lit(positive)
     p = F.col(prediction) == F.lit(positive)
-    agg = df.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == F.col(prediction)).alias("ok"),
-        F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"))
+    counts = {"n": F.count(F.lit(1)), "ok": F.count_if(F.col(label) == F.col(prediction)), "tp": F.count_if(y & p),
+              "fp": F.count_if(~y & p), "fn": F.count_if(y & ~p)}
+    if score is None:
+        agg = df.groupBy(*groups).agg(*[c.alias(k) for k, c in counts.items()])
+    else:  # counts per distinct score: one pass over the rows feeds the counts and the area
+        running, table = running_counts(df, label, score, groups, positive, with_table=True,
+                                        extra=[c.alias(f"_{k}") for k, c in counts.items()])
+        agg = table.groupBy(*groups).agg(*[F.sum(f"_{k}").alias(k) for k in counts])
     wide = agg.select(
         *groups, _ratio(F.col("ok"), F.col("n")).alias("accuracy"),
         _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
@@ -169,6 +190,6 @@ def grouped_binary_metrics(df: DataFrame, groups: list[str], label: str = "label
     long = wide.unpivot(list(groups), ["accuracy", "precision", "recall", "f1"], "metric", "value")
     if score is None:
         return long
-    auc = roc_auc(df, label, score, list(groups), positive).select(
+    auc = auc_of(running, list(groups)).select(
         *groups, F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value"))
     return long.unionByName(auc)

@@ -8,8 +8,7 @@ the sort key, so that
     rank = (rows of the same class in earlier buckets) + row_number in (class, bucket).
 
 The first term comes from a small table of counts per (class, bucket) whose
-prefix sums are joined back (broadcast when its bounded size allows, shuffle
-join otherwise).  The bucket count grows with the data, so every
+prefix sums are joined back (Spark picks the join by its size).  The bucket count grows with the data, so every
 (class, bucket) window holds about ``rows_per_bucket`` rows.  Buckets are
 functions of the row, not of partition ids, so a recomputed task after an
 executor loss yields the same ranks.
@@ -25,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 DEFAULT_ROWS_PER_BUCKET = 1 << 20
-BROADCAST_ROWS = 1 << 20
 
 
 def hash_key(id_col: str, seed: int = 42, salt: str = "") -> Column:

@@ -35,8 +35,8 @@ def _metric_rows(scored: DataFrame) -> DataFrame:
     return long.select("metric", F.col("value").cast("double").alias("value"))
 
 
-def flagship_metrics(spark: SparkSession, sf_dir: str, num_trees: int = 20,
-                     max_depth: int = 10) -> DataFrame:
+def flagship_metrics(spark: SparkSession, sf_dir: str, num_trees: int = 100,
+                     max_depth: int | None = None) -> DataFrame:
     """Minimum slice: F1 -> E1 -> L1 -> forest -> test metrics (metric, value)."""
     data, _ = prepare_churn(spark, sf_dir)
     parts = split.stratified_split(data, "id", "label", 0.2, 42)

@@ -765,82 +765,90 @@ def _sized(df: DataFrame) -> DataFrame:
 
 @query("forest_test_metrics")
 def q_forest_test_metrics(spark, sf):
-    """M1 + M17 + V2-V6: 20-tree forest on the exact 80/20 split, test metrics."""
+    """M1 + M17 + V2-V6: default forest (100 trees, grown fully) on the exact 80/20 split, test metrics."""
     from classbench.plans.forest_run import flagship_metrics
-    return flagship_metrics(spark, sf, num_trees=20, max_depth=10)
+    return flagship_metrics(spark, sf)
 
 
 @query("forest_importance")
 def q_forest_importance(spark, sf):
-    """I1 + I2: importance table of a fitted forest, ranked with cumulative share."""
+    """I1 + I2: importance table of the default forest of the training part, ranked with cumulative share."""
     from classbench.models.forest import forest
     from classbench.plans.forest_run import prepare_churn
     data, names = prepare_churn(spark, sf)
-    from classbench.models.forest import fit_sized
-    model = fit_sized(forest(20, 10), data)
+    train = _sized(split.train_test(data, "id", "label")[0])
+    model = forest().fit(train)
+    train.unpersist()
     return importance.ranked(importance.importance_table(spark, names, model.featureImportances))
 
 
+def _folded_train(spark, sf, k: int) -> DataFrame:
+    """Training part of the churn table with ``k`` stratified folds, persisted."""
+    from classbench.plans.forest_run import prepare_churn
+    train, _ = split.train_test(prepare_churn(spark, sf)[0], "id", "label")
+    return _sized(split.stratified_kfold(train, "id", "label", k, 42))
+
+
+#: Fits that run at a time from driver threads in the tuning queries.
+PARALLEL_FITS = 4
+
+
 @query("forest_cv_scores")
 def q_forest_cv_scores(spark, sf):
-    """T4: 5-fold stratified CV of a small forest; five metrics per fold from one aggregate."""
+    """T4: 10-fold stratified CV of the default forest; five metrics per fold from one aggregate."""
     from classbench.models.forest import forest, score
-    from classbench.plans.forest_run import prepare_churn
     from classbench.plans.tuning import cv_scores
-    data, _ = prepare_churn(spark, sf)
-    folded = _sized(split.stratified_kfold(data, "id", "label", 5, 42))
-    scores = cv_scores(lambda: forest(10, 8), folded, 5, model_name="forest", score_fn=score)
+    folded = _folded_train(spark, sf, 10)
+    scores = cv_scores(forest, folded, 10, model_name="forest", score_fn=score, parallelism=PARALLEL_FITS)
     return _release(scores, folded)
 
 
 @query("forest_grid_search")
 def q_forest_grid_search(spark, sf):
-    """T1 + T3: CrossValidator over precomputed folds, F1 of class 1, all points kept."""
+    """T1 + T3: CrossValidator over precomputed folds, F1 of class 1, all points kept.
+
+    Four points and three folds: the app's 16 points and 5 folds
+    (``FOREST_APP_DEFAULT``, ``forest_param_maps``) took over three minutes here.
+    """
     from classbench.models.forest import forest
-    from classbench.plans.forest_run import prepare_churn
-    from classbench.plans.tuning import grid_search, param_grid
-    data, _ = prepare_churn(spark, sf)
-    folded = _sized(split.stratified_kfold(data, "id", "label", 3, 42))
-    est = forest(10, 5)
-    pm = param_grid(est, {"numTrees": [5, 10], "maxDepth": [4, 8]})
-    _, table = grid_search(est, pm, folded, 3, parallelism=2)
+    from classbench.plans.tuning import forest_param_maps, grid_search
+    folded = _folded_train(spark, sf, 3)
+    est = forest()
+    grid = {"n_estimators": [5, 10], "max_depth": [4, 8]}
+    _, table = grid_search(est, forest_param_maps(est, grid), folded, 3, parallelism=PARALLEL_FITS)
     folded.unpersist()
     return table
 
 
 @query("forest_learning_curve")
 def q_forest_learning_curve(spark, sf):
-    """Nested exact prefixes per fold; train and validation accuracy."""
+    """Ten nested exact prefixes per fold of five; train and validation accuracy."""
     from classbench.models.forest import forest, score
-    from classbench.plans.forest_run import prepare_churn
     from classbench.plans.tuning import learning_curve
-    data, _ = prepare_churn(spark, sf)
-    folded = _sized(split.stratified_kfold(data, "id", "label", 3, 42))
-    out = learning_curve(lambda: forest(10, 6), folded, 3, fractions=[0.25, 0.5, 1.0], score_fn=score)
+    folded = _folded_train(spark, sf, 5)
+    out = learning_curve(forest, folded, 5, score_fn=score, parallelism=PARALLEL_FITS)
     folded.unpersist()
     return out
 
 
 @query("forest_validation_curve")
 def q_forest_validation_curve(spark, sf):
-    """F1 on train and validation folds over the tree count."""
+    """F1 on train and validation parts of five folds over the depths of the reference's range."""
     from classbench.models.forest import forest, score
-    from classbench.plans.forest_run import prepare_churn
-    from classbench.plans.tuning import validation_curve
-    data, _ = prepare_churn(spark, sf)
-    folded = _sized(split.stratified_kfold(data, "id", "label", 3, 42))
-    out = validation_curve(lambda num_trees: forest(num_trees, 6), "num_trees", [5, 10], folded, 3,
-                           score_fn=score)
+    from classbench.plans.tuning import VALIDATION_RANGES, validation_curve
+    folded = _folded_train(spark, sf, 5)
+    out = validation_curve(lambda max_depth: forest(max_depth=max_depth), "max_depth", VALIDATION_RANGES["max_depth"],
+                           folded, 5, score_fn=score, parallelism=PARALLEL_FITS)
     folded.unpersist()
     return out
 
 
 @query("svm_comparison")
 def q_svm_comparison(spark, sf):
-    """M3-M7 + T8: linear and RBF (Nystroem) SVMs, Platt-calibrated, compared on F1."""
+    """M3-M7 + T8: the four kernels (Nystroem where not linear), Platt-calibrated, compared on F1."""
+    from classbench.models.svm import KERNELS
     from classbench.plans.svm_run import run_svm_analysis
-    return run_svm_analysis(spark, sf, kernels=("linear", "rbf"), n_landmarks=64, max_iter=50,
-                            platt_folds=3).tables["comparison"]
+    return run_svm_analysis(spark, sf, kernels=KERNELS).tables["comparison"]
 
 
 @query("svm_ring")
@@ -849,8 +857,8 @@ def q_svm_ring(spark, sf):
     from classbench.models.svm import fit_kernel_svm
     from classbench.plans.svm_run import evaluate, prepare_ring
     train, test = prepare_ring(spark, sf)
-    lin = fit_kernel_svm(train, "linear", C=1.0, max_iter=50, platt_folds=3)
-    rbf = fit_kernel_svm(train, "rbf", C=10.0, n_landmarks=128, max_iter=50, platt_folds=3)
+    lin = fit_kernel_svm(train, "linear", C=1.0)
+    rbf = fit_kernel_svm(train, "rbf", C=10.0)
     return compare.comparison_table(compare.union_all(evaluate(lin, test, "linear"),
                                                       evaluate(rbf, test, "rbf")))
 
@@ -915,8 +923,9 @@ def q_forest_summary_report(spark, sf):
     parts = split.stratified_split(data, "id", "label", 0.2, 42)
     parts = parts.persist()
     train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
-    model = forest(20, 10).fit(train)
-    info = {"model": "RandomForest", "n_trees": 20, "max_depth": 10, "n_train": train.count(),
+    est = forest()
+    model = est.fit(train)
+    info = {"model": "RandomForest", "n_trees": est.getNumTrees(), "max_depth": est.getMaxDepth(), "n_train": train.count(),
             "n_test": test.count(), "n_features": len(names)}
     return model_summary(_metric_rows(score(model, test)), info, new_scratch_path(spark, "summary"))
 
@@ -933,8 +942,8 @@ def q_svm_decision_surface(spark, sf):
     projected, _, _ = pca_2d(train)
     two = assemble(projected.select("id", "label", "pc_1", "pc_2"), ["pc_1", "pc_2"])
     two = _sized(two)
-    model = fit_kernel_svm(two, "rbf", C=1.0, n_landmarks=64, max_iter=30, platt_folds=2)
-    return decision_surface(model, two, "pc_1", "pc_2", step=0.05)
+    model = fit_kernel_svm(two, "rbf", C=1.0)
+    return decision_surface(model, two, "pc_1", "pc_2", step=0.02)
 
 
 @query("network_complex_history")

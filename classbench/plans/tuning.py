@@ -27,13 +27,6 @@ FOREST_GRID = {
     "min_samples_leaf": [1, 2, 4],
     "max_features": ["sqrt", "log2"],
 }
-FOREST_APP_CHOICES = {
-    "n_estimators": [50, 100, 200, 300],
-    "max_depth": [10, 20, 30, None],
-    "min_samples_split": [2, 5, 10],
-    "min_samples_leaf": [1, 2, 4],
-    "max_features": ["sqrt", "log2"],
-}
 FOREST_APP_DEFAULT = {
     "n_estimators": [100, 200],
     "max_depth": [20, None],
@@ -99,6 +92,22 @@ def param_grid(estimator, grid: dict) -> list:
     return b.build()
 
 
+def forest_param_maps(estimator, grid: dict) -> list:
+    """ParamMaps of a forest grid in the reference's names.
+
+    ``min_samples_split`` has no Spark form; it is approximated as in ``forest``.
+    """
+    from classbench.models.forest import forest
+
+    maps = []
+    for p in grid_points(grid):
+        made = forest(p.get("n_estimators", 100), p.get("max_depth"), p.get("min_samples_split", 2),
+                      p.get("min_samples_leaf", 1), p.get("max_features", "sqrt"), approximate=True)
+        maps.append({estimator.getParam(n): made.getOrDefault(n)
+                     for n in ("numTrees", "maxDepth", "minInstancesPerNode", "featureSubsetStrategy")})
+    return maps
+
+
 def cv_scores(make_estimator, df: DataFrame, k: int, fold_col: str = "fold", label: str = "label",
               model_name: str = "model", score_fn=None, parallelism: int = 2) -> DataFrame:
     """T4: fit once per fold, score the held-out fold, then all five metrics

@@ -3,7 +3,8 @@
 Statistics of every text are computed once; labelled rows of a bounded sample
 (``max_fit_rows``) teach an ordered list of threshold conjunctions, each grown
 by FOIL's gain on two thirds of the rows, pruned on the rest, and kept while it
-is precise there.  The list is emitted as one Spark conditional expression over
+is precise there.  A sampled row weighs as many labels as it stands for, so
+precision is that over all labels whatever the sample's mix.  The list is emitted as one Spark conditional expression over
 the statistics, so its verdicts can be read and run anywhere.
 
 Defined results: a null or empty text has no words, so all counts are 0 and the
@@ -95,21 +96,21 @@ class Rule:
         return " and ".join(f"({FEATURES[f]}) {'>=' if up else '<'} {t!r}D" for f, up, t in self.tests)
 
 
-def _grow(x: dict[str, np.ndarray], bad: np.ndarray, thresholds: dict[str, np.ndarray], banned: set, longest: int = 4) -> Rule:
+def _grow(x: dict[str, np.ndarray], bad: np.ndarray, weight: np.ndarray, thresholds: dict[str, np.ndarray], banned: set, longest: int = 4) -> Rule:
     """Add the test of the highest FOIL gain until no good row is covered; ``banned`` tests do not start a rule."""
     tests: list[tuple[str, bool, float]] = []
     inside = np.ones(len(bad), bool)
     while len(tests) < longest:
-        p0, n0 = (inside & bad).sum(), (inside & ~bad).sum()
+        p0, n0 = weight[inside & bad].sum(), weight[inside & ~bad].sum()
         if not p0 or not n0:
             break
         best, pick = 1e-9, None
         for f, cuts in thresholds.items():
             value = x[f][inside]
-            is_bad = bad[inside]
+            is_bad, w = bad[inside], weight[inside]
             place = np.searchsorted(cuts, value, "right")  # cuts at or below the value
-            pos = np.bincount(place[is_bad], minlength=len(cuts) + 1)
-            neg = np.bincount(place[~is_bad], minlength=len(cuts) + 1)
+            pos = np.bincount(place[is_bad], w[is_bad], len(cuts) + 1)
+            neg = np.bincount(place[~is_bad], w[~is_bad], len(cuts) + 1)
             for up in (True, False):
                 if not tests and (f, up) in banned:
                     continue
@@ -127,11 +128,11 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, thresholds: dict[str, np.nd
     return Rule(tuple(tests))
 
 
-def _prune(rule: Rule, x: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
+def _prune(rule: Rule, x: dict[str, np.ndarray], bad: np.ndarray, weight: np.ndarray) -> Rule:
     """Drop final tests while (p - n) / (p + n) on the pruning rows does not fall."""
     def worth(r):
         hit = r.covers(x)
-        p, n = (hit & bad).sum(), (hit & ~bad).sum()
+        p, n = weight[hit & bad].sum(), weight[hit & ~bad].sum()
         return (p - n) / (p + n) if p + n else -1.0
     best, value = rule, worth(rule)
     for k in range(len(rule.tests) - 1, 0, -1):
@@ -142,11 +143,12 @@ def _prune(rule: Rule, x: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
 
 
 def learn_rules(rows: pd.DataFrame, precision: float = 0.995, most_rules: int = 12, cuts: int = 64) -> list[Rule]:
-    """Ordered rejecting rules from a frame of features and ``label`` (1 good, 0 bad)."""
+    """Ordered rejecting rules from a frame of features, ``label`` (1 good, 0 bad) and maybe ``weight`` (else all 1)."""
     if not len(rows) or rows["label"].nunique() < 2:
         return []
     x = {f: rows[f].to_numpy(float) for f in FEATURES}
     bad = (rows["label"] == 0).to_numpy()
+    weight = rows["weight"].to_numpy(float) if "weight" in rows else np.ones(len(rows))
     for_pruning = np.arange(len(rows)) % 3 == 0
     thresholds = {}
     for f, v in x.items():  # midpoints between neighbouring quantiles, so that values on either side are apart
@@ -159,13 +161,14 @@ def learn_rules(rows: pd.DataFrame, precision: float = 0.995, most_rules: int =
         grow, prune = left & ~for_pruning, left & for_pruning
         if not (bad & grow).any():
             break
-        rule = _grow(sub(grow), bad[grow], thresholds, banned)
+        rule = _grow(sub(grow), bad[grow], weight[grow], thresholds, banned)
         if not rule.tests:
             break
-        choices = [_prune(rule, sub(prune), bad[prune]), rule]
+        choices = [_prune(rule, sub(prune), bad[prune], weight[prune]), rule]
         hits = [r.covers(x) for r in choices]
-        good = [i for i, h in enumerate(hits) if (h & left & bad).sum() >= max(1, precision * (h & left).sum())
-                and (h & bad).sum() >= precision * h.sum()]
+        good = [i for i, h in enumerate(hits) if (h & left & bad).any()
+                and weight[h & left & bad].sum() >= precision * weight[h & left].sum()
+                and weight[h & bad].sum() >= precision * weight[h].sum()]
         if not good:  # not precise over all rows: no rule may start like this one
             banned.add(rule.tests[0][:2])
             continue
@@ -185,9 +188,9 @@ def decision_list(rules: list[Rule]) -> Column:
 def judge_quality(docs: DataFrame, labels: DataFrame, text_col: str = "text", max_fit_rows: int = 20_000) -> tuple[DataFrame, list[Rule]]:
     """(doc_id, counts, base_failed, kept) of every row of ``docs``, and the rules that were learnt."""
     rows = materialize(docs.select("doc_id", with_counts(docs, text_col).alias("s")).select("doc_id", "s.*"), "quality")
-    chosen = F.broadcast(labelled_sample(labels, "quality", max_fit_rows))  # max_fit_rows rows of two numbers
+    chosen = F.broadcast(labelled_sample(labels, "quality", max_fit_rows))  # max_fit_rows rows of three numbers
     fit = rows.join(chosen, "doc_id").select(
-        "doc_id", "label", *[F.expr(e).cast("double").alias(f) for f, e in FEATURES.items()]).toPandas()
+        "doc_id", "label", "weight", *[F.expr(e).cast("double").alias(f) for f, e in FEATURES.items()]).toPandas()
     rules = learn_rules(fit.sort_values(["doc_id", *FEATURES, "label"]).reset_index(drop=True))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = rows.withColumn("base_failed", failed).withColumn("kept", ~failed & decision_list(rules))

@@ -5,7 +5,9 @@ machine scores ``w0 + sum w_i + sum_{i<j} <v_i, v_j>`` over the terms of a text,
 so two terms together can weigh more or less than each alone.  It is fitted on
 the driver from a bounded sample of labelled rows (``max_fit_rows``), of which
 only the terms that differ between the classes (at most ``max_terms``) arrive
-there; term counts of the sample and all scoring are Spark jobs.
+there; term counts of the sample and all scoring are Spark jobs.  A sampled row
+weighs as many labels as it stands for, so the classes keep their share of all
+labels whatever the sample's mix.
 
 Defined results: null and empty texts have no terms and get the machine's
 intercept; rows with a null id are scored and count as held out, as does the
@@ -66,11 +68,14 @@ class FactorizationMachine:
 
     @classmethod
     def fit(cls, rows: list[list[int]], labels: list[int], index: dict[int, int], factors: int = 4, epochs: int = 30,
-            rate: float = 0.1, l2: float = 1e-4, seed: int = 7) -> FactorizationMachine:
-        """Adagrad on the logistic loss, 64 rows a step."""
+            rate: float = 0.1, l2: float = 1e-4, seed: int = 7, weights: list[float] | None = None) -> FactorizationMachine:
+        """Adagrad on the logistic loss, 64 rows a step; ``weights`` (all 1 by default) are scaled to a mean of 1."""
         rng, n = np.random.default_rng(seed), len(index)
         y = np.asarray(labels, float)
-        share = y.mean() if len(y) else 0.0
+        weight = np.ones(len(y)) if weights is None else np.asarray(weights, float)
+        if len(y):
+            weight = weight / weight.mean()
+        share = np.average(y, weights=weight) if len(y) else 0.0
         m = cls(index, 0.0, np.zeros(n), rng.normal(0, 0.05, (n, factors)))
         if not 0 < share < 1:
             m.w0 = 35.0 if share else -35.0
@@ -88,7 +93,7 @@ class FactorizationMachine:
                 np.add.at(total, doc, v)
                 z = m.w0 + np.bincount(doc, m.w[ids], len(at)) + 0.5 * (
                     (total ** 2).sum(1) - np.bincount(doc, (v ** 2).sum(1), len(at)))
-                e = 1 / (1 + np.exp(-np.clip(z, -35, 35))) - y[at]
+                e = weight[at] * (1 / (1 + np.exp(-np.clip(z, -35, 35))) - y[at])
                 g0 += e.sum() ** 2
                 m.w0 -= rate * e.sum() / np.sqrt(g0)
                 used, inv = np.unique(ids, return_inverse=True)
@@ -109,11 +114,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def labelled_sample(labels: DataFrame, label: str, max_fit_rows: int) -> DataFrame:
-    """At most ``max_fit_rows`` labelled ids, by a hash of the id, half of them of the rarer kind if there are so many."""
+    """At most ``max_fit_rows`` labelled ids, by a hash of the id, half of them of the rarer kind if there are so many.
+
+    ``weight`` is the number of labels of its kind that a sampled row stands for, counted over all labels.
+    """
     rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
         "doc_id", F.col(label).cast("int").alias("label"))
     half = max_fit_rows // 2
-    pick = lambda y: rows.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(half)
+    total = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    pick = lambda y: rows.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(half).withColumn(
+        "weight", F.lit(max(1.0, total.get(y, 0) / max(half, 1))))
     return pick(0).union(pick(1))
 
 
@@ -126,9 +136,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", lab
     def hashed(text: pd.Series) -> pd.Series:
         return pd.Series([sorted({h for w in text_words(t) for h in word_terms(w)}) for t in text])
 
-    chosen = F.broadcast(labelled_sample(labels, label, max_fit_rows))  # max_fit_rows rows of two numbers
+    chosen = F.broadcast(labelled_sample(labels, label, max_fit_rows))  # max_fit_rows rows of three numbers
     sample = materialize(docs.select("doc_id", text_col).join(chosen, "doc_id").select(
-        "doc_id", "label", hashed(F.col(text_col)).alias("terms")), "toxicity")
+        "doc_id", "label", "weight", hashed(F.col(text_col)).alias("terms")), "toxicity")
     sizes = sample.agg(F.count("*").alias("n"), F.sum("label").alias("n1")).first()
     n, n1 = sizes["n"], sizes["n1"] or 0
     n0 = n - n1
@@ -140,11 +150,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", lab
     z = F.abs(F.col("c1") / n1 - (F.col("c") - F.col("c1")) / n0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
     best = term.select("term", z.alias("z")).where(F.col("z") >= least_z).orderBy(F.desc("z"), "term").limit(max_terms)
     index = {r["term"]: i for i, r in enumerate(best.collect())}
-    known = sample.select("doc_id", "label", F.explode_outer("terms").alias("term")).join(
+    known = sample.select("doc_id", "label", "weight", F.explode_outer("terms").alias("term")).join(
         F.broadcast(best.select("term", F.lit(1).alias("known"))), "term", "left")
-    rows = known.groupBy("doc_id", "label").agg(F.collect_list(F.when(F.col("known") == 1, F.col("term"))).alias("terms"))
+    rows = known.groupBy("doc_id", "label", "weight").agg(F.collect_list(F.when(F.col("known") == 1, F.col("term"))).alias("terms"))
     got = sorted(rows.collect(), key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["label"]))
-    return FactorizationMachine.fit([sorted(index[t] for t in r["terms"]) for r in got], [r["label"] for r in got], index)
+    return FactorizationMachine.fit([sorted(index[t] for t in r["terms"]) for r in got], [r["label"] for r in got], index,
+                                    weights=[r["weight"] for r in got])
 
 
 def toxicity_score(machine: FactorizationMachine, text: Column) -> Column:

@@ -269,6 +269,31 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r.score for r in toxicity.score_toxicity(docs.limit(3), labels.limit(0)).collect()} <= {1 / (1 + np.exp(35.0))}
 
 
+def test_sampled_classes_keep_their_share_of_all_labels(spark):
+    rng = random.Random(4)
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    toxic = {i: int(i % 10 == 0) for i in range(2000)}
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(words, k=8))) for i in toxic], "doc_id long, text string")
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    share = np.mean([t for i, t in toxic.items() if zlib.crc32(str(i).encode()) % 5])
+    for size in (200, 20_000):  # of 200 rows half are toxic, of 20,000 all labels
+        machine = toxicity.fit_toxicity(docs, labels, max_fit_rows=size)
+        assert abs(machine.score([[]])[0] - share) < 0.05, size
+    sample = toxicity.labelled_sample(labels, "toxic", 200).groupBy("label").agg(F.sum("weight").alias("w")).collect()
+    assert {r.label: round(r.w) for r in sample} == Counter(t for i, t in toxic.items() if zlib.crc32(str(i).encode()) % 5)
+
+
+def test_quality_precision_is_that_over_all_labels():
+    import pandas as pd
+
+    flag = np.r_[np.ones(1000), np.ones(4), np.zeros(996)]  # a test that finds all bad rows and 4 of 1,000 sampled good ones
+    rows = pd.DataFrame({f: np.zeros(2000) for f in quality.FEATURES} | {"symbols_per_word": flag, "label": np.r_[np.zeros(1000), np.ones(1000)].astype(int)})
+    rows = rows.sample(frac=1, random_state=1).reset_index(drop=True)
+    assert len(quality.learn_rules(rows)) == 1
+    rows["weight"] = np.where(rows["label"] == 1, 10.0, 1.0)  # each good row stands for ten: 40 wrong of 1,040
+    assert quality.learn_rules(rows) == []
+
+
 def test_factorization_machine_learns_an_interaction():
     rng = random.Random(2)
     rows, labels = [], []

@@ -6,11 +6,12 @@ contents over the host's distinct pages gives the importance of its content, and
 the entropy of how pages fill it that of its presentation.  Paths of low
 importance and branches whose element or name marks them as page furniture are
 cut from each page; what is left of the article, or of the body where a page
-marks no article, is its text.
+marks no article, is its text.  A page of which the tree would cut all keeps
+what the names leave of it.
 
-Statistics are aggregated before they are shuffled, per path and content, and a
-host's list of unimportant paths only holds paths that a set share of its pages
-have, so it is bounded by the size of a page, not of the host.
+Statistics are aggregated before they are shuffled, per path and content.  A
+host's list of unimportant paths is bounded by the paths of its templates: paths
+carry no numbers, and those on fewer than ``least_pages`` pages are not judged.
 
 Defined results: null and empty pages have an empty text; a null URL belongs to
 the host ``""``; repeated rows repeat and count once in the tree; an empty
@@ -205,14 +206,14 @@ def content_features(blocks: list[Block]) -> Iterator[tuple[str, int]]:
 
 
 def site_styles(pages: DataFrame, page_col: str = "html", host_col: str = "host", least_pages: int = 3,
-                least_share: float = 0.2, least_importance: float = 0.3, weight: float = 0.9) -> DataFrame:
+                least_importance: float = 0.3, weight: float = 0.9) -> DataFrame:
     """(host, cut): the paths of each host's style tree that are too unimportant to keep.
 
     Content importance of a path is one less the mean entropy of its contents
     over the pages that have it (a content on all of them has entropy 1, one on a
     single page 0); presentation importance the entropy of how often pages repeat
-    the path.  Both are mixed by ``weight``.  Only paths on at least
-    ``least_pages`` pages and ``least_share`` of the host's pages are judged.
+    the path.  Both are mixed by ``weight``.  Paths on at least
+    ``least_pages`` pages are judged, however small a share of the host's pages that is.
     """
     ship_by_value(sys.modules[__name__])
 
@@ -224,7 +225,6 @@ def site_styles(pages: DataFrame, page_col: str = "html", host_col: str = "host"
     counted = once.select(host_col, "key", F.explode(features(page_col)).alias("f")).select(
         host_col, F.col("f.path").alias("path"), F.col("f.content").alias("content"),
         "key").distinct()  # a page that a host repeats counts once
-    number = once.select(host_col, "key").distinct().groupBy(host_col).agg(F.count("*").alias("pages"))
     uses = counted.groupBy(host_col, "path", "content").agg(F.count("*").alias("c"))
     shape = F.col("path").startswith("=")
     path = F.when(shape, F.expr("substring(path, 2)")).otherwise(F.col("path"))
@@ -235,18 +235,17 @@ def site_styles(pages: DataFrame, page_col: str = "html", host_col: str = "host"
     spread = F.log(F.greatest("m", F.lit(2)))
     content = 1 - F.coalesce(F.col("content") / F.col("uses"), F.lit(0.0)) / spread
     presentation = F.when(F.col("shapes") > 1, (F.log("m") - F.col("shape") / F.col("m")) / F.log("shapes")).otherwise(0.0)
-    judged = per.join(number, host_col).where(
-        (F.col("m") >= least_pages) & (F.col("m") >= least_share * F.col("pages"))
+    judged = per.where(
+        (F.col("m") >= least_pages)
         & (weight * content + (1 - weight) * presentation < least_importance))
     return judged.groupBy(host_col).agg(F.sort_array(F.collect_list("path")).alias("cut"))
 
 
 def main_text(blocks: list[Block], cut: set[str]) -> str:
-    """Text of the article where the page marks one, else of the body without unimportant paths."""
-    marked = [b.text() for b in blocks if b.main and not b.noise]
-    if marked:
-        return " ".join(marked)
-    return " ".join(b.text() for b in blocks if not b.noise and b.path not in cut)
+    """Text of the article where the page marks one, else of the body, without unimportant paths unless nothing else is left."""
+    held = [b for b in blocks if not b.noise]
+    held = [b for b in held if b.main] or held
+    return " ".join(b.text() for b in [b for b in held if b.path not in cut] or held)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", page_col: str = "html") -> DataFrame:

@@ -424,6 +424,18 @@ def test_html_main_text(spark):
     assert html_text.extract_text(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_html_tree_cuts_inside_articles(spark):
+    own = lambda i: f"<h1>Head {i}</h1><p>Own words number {i}</p>"
+    page = lambda i: f"<article>{own(i)}<div class=box><p>Follow us everywhere</p></div></article>"
+    rare = lambda i: f"<article class=rare>{own(i)}<div class=legal><p>All rights reserved</p></div></article>"
+    same = lambda i: f"<!-- {i} --><article><p>The same on every page</p></article>"
+    rows = [(i, "http://a.org/", page(i)) for i in range(30)] + [(30 + i, "http://a.org/", rare(30 + i)) for i in range(4)]  # under a fifth
+    rows += [(40 + i, "http://b.org/", same(i)) for i in range(4)]
+    text = {r.page_id: r.text for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [text[i] for i in range(34)] == [f"Head {i} Own words number {i}" for i in range(34)]
+    assert [text[40 + i] for i in range(4)] == ["The same on every page"] * 4  # never all of a page
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "<p>" + "é漢字\r\n\r\nWARC/1.1\r\n" * 9000
     htmls = [None, "", "short", "short", "x" * 999, "x" * 999, "y" * 1000, "y" * 1000, big, big, "z" * 70_000, "ß" * 500, "ß" * 500]

@@ -5,7 +5,8 @@ it.  The trees of a host's pages are merged: for every path the entropy of its
 contents over the host's distinct pages gives the importance of its content, and
 the entropy of how pages fill it that of its presentation.  Paths of low
 importance and branches whose element or name marks them as page furniture are
-cut from each page; what is left of the article, or of the body where a page
+cut from each page, though names never cut what holds the page's own article;
+what is left of the article, or of the body where a page
 marks no article, is its text.  A page of which the tree would cut all keeps
 what the names leave of it.
 
@@ -53,16 +54,30 @@ NOISE_WORDS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs footer sidebar aside widget ad ads advert adverts advertisement "
     "advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice popup modal newsletter subscribe signup "
     "share sharing social related recommended comment comments discussion disqus reply replies respond pagination pager login".split())
+#: Words that say where a part is; the word after them says what it is, as in ``site-footer``.
+PLACES = frozenset("site page main top bottom left right side post entry article blog global primary secondary mobile desktop inner outer".split())
 OUTER_TAGS, OUTER_WORDS = frozenset(["header"]), frozenset("header masthead banner search topbar toolbar".split())
 MAIN_TAGS, MAIN_ROLES = frozenset(["article", "main"]), frozenset(["main", "article"])
 
 
+@dataclass
+class Part:
+    """An article or an element whose names mark it as furniture: characters of text, and the marked parts it holds."""
+
+    named: bool
+    tag: str = ""  # "main" or "article" for what marks the page's own text
+    free: bool = True  # no element that holds it is furniture by name
+    chars: int = 0
+    articles: list[Part] = field(default_factory=list)  # itself included
+
+
 @dataclass
 class Node:
     tag: str
     label: str
     noise: bool
     main: bool
+    part: Part | None = None
 
 
 @dataclass
@@ -73,13 +88,22 @@ class Block:
     noise: bool
     main: bool
     pieces: list[str] = field(default_factory=list)
+    parts: tuple[Part, ...] = ()
 
     def text(self) -> str:
         return " ".join("".join(self.pieces).split())
 
 
+def _names_part(name: str, words: frozenset[str]) -> bool:
+    """Whether a name is one of the words, starts with one, or has one next to words of place."""
+    found = [w for w in re.split(r"[^a-z]+", name) if w]
+    while len(found) > 1 and found[0] in PLACES:
+        del found[0]
+    return bool(found) and found[0] in words
+
+
 def _styled(tag: str, attributes: str, in_main: bool) -> Node:
-    """A node's label is its element and its names without numbers."""
+    """A node's label is its element and its names without numbers; its part is set where names alone call it noise."""
     names, role = [], ""
     if "=" in attributes:
         for m in ATTRIBUTE.finditer(attributes):
@@ -88,34 +112,92 @@ def _styled(tag: str, attributes: str, in_main: bool) -> Node:
                 role = value
             else:
                 names += value.split()
-    words = {w for n in names for w in re.split(r"[^a-z]+", n)}
-    noise = tag in NOISE_TAGS or role in NOISE_ROLES or bool(words & NOISE_WORDS)
-    if not in_main:
-        noise = noise or tag in OUTER_TAGS or bool(words & OUTER_WORDS)
+    noise = tag in NOISE_TAGS or role in NOISE_ROLES or (not in_main and tag in OUTER_TAGS)
+    named = any(_names_part(n, NOISE_WORDS) or (not in_main and _names_part(n, OUTER_WORDS)) for n in names)
     label = ".".join([tag, *sorted({re.sub(r"\d+", "#", n) for n in names})])
-    return Node(tag, label, noise and tag not in ("html", "body"), (tag in MAIN_TAGS or role in MAIN_ROLES) and not noise)
+    whole = tag in ("html", "body")
+    kind = tag if tag in MAIN_TAGS else role if role in MAIN_ROLES else ""
+    part = Part(named and not whole, kind) if (named and not whole or kind) and not noise else None
+    return Node(tag, label, noise and not whole, bool(kind) and not noise, part)
+
+
+def _judge_names(blocks: list[Block], parts: list[Part]) -> None:
+    """Make blocks noise that lie in furniture by name, other than what holds the page's own text.
+
+    That is what is or holds a main element or the longest article, or, if no
+    article stands outside of furniture by name, any article (with a main
+    element: if they are most of it).  Articles that a name calls furniture, as
+    comments often are, count where the page marks nothing else.  On a page
+    without marks it is what holds most of the text.
+    """
+    total = 0
+    for b in blocks:
+        if not b.noise:
+            size = len(b.text())
+            total += size
+            for p in b.parts:
+                p.chars += size
+    marked = [p for p in parts if p.tag and p.chars]
+    mains, articles = [p for p in marked if p.tag == "main"], [p for p in marked if p.tag == "article"]
+    clean = [p for p in articles if not p.named]
+    own = {id(p) for p in mains}
+    if any(p.free for p in clean):
+        own |= {id(p) for p in clean if p.free} | {id(max(clean, key=lambda p: p.chars))}
+    elif clean and (not mains or 2 * sum(p.chars for p in clean) > max(p.chars for p in mains)):
+        own |= {id(p) for p in clean}
+    elif not mains:
+        own |= {id(p) for p in articles}
+    furniture = {id(p) for p in parts if p.named and not any(id(a) in own for a in p.articles)
+                 and (marked or 2 * p.chars <= total)}
+    for b in blocks:
+        b.noise = b.noise or any(id(p) in furniture for p in b.parts)
+
+
+def _joined(runs: list[Block]) -> Block:
+    """One block of a line's runs, without the furniture in a line of text; white space at its ends parts words."""
+    if len(runs) == 1:
+        return runs[0]
+    block = Block(runs[0].path, runs[0].noise, runs[0].main)
+    for run in runs:
+        text = "".join(run.pieces)
+        if block.noise or not run.noise:
+            block.pieces.append(text)
+        elif text[:1].isspace() or text[-1:].isspace():
+            block.pieces.append(" ")
+    return block
 
 
 def page_blocks(page: str | None) -> list[Block]:
     """Blocks with text, in page order; malformed markup is closed as browsers close it."""
     page = page or ""
-    blocks: list[Block] = []
+    lines: list[list[Block]] = []  # the runs of each block that the same parts hold
     stack: list[Node] = []
     depth_noise = depth_main = 0
-    block: Block | None = None
+    parts: list[Part] = []
+    held: tuple[Part, ...] = ()  # the parts that hold what comes next
+    block: list[Block] | None = None
     at, size = 0, len(page)
 
     def push(node: Node) -> None:
-        nonlocal depth_noise, depth_main
+        nonlocal depth_noise, depth_main, held
         stack.append(node)
         depth_noise += node.noise
         depth_main += node.main
+        if node.part:
+            node.part.free = all(p.free and not p.named for p in held[-1:])
+            held += (node.part,)
+            parts.append(node.part)
+            if node.part.tag and not depth_noise:
+                for p in held:
+                    p.articles.append(node.part)
 
     def pop_to(k: int) -> bool:
         """Close all from position ``k`` on; whether a block element was among them."""
-        nonlocal depth_noise, depth_main
+        nonlocal depth_noise, depth_main, held
         outer = False
         for node in stack[k:]:
+            if node.part:
+                held = held[:-1]
             depth_noise -= node.noise
             depth_main -= node.main
             outer |= node.tag not in INLINE
@@ -142,21 +224,17 @@ def page_blocks(page: str | None) -> list[Block]:
                 if text.isspace():
                     continue
                 path = "/".join(n.label for n in stack if n.tag not in INLINE)
-                block = Block(path, depth_noise > 0, depth_main > 0)
-                blocks.append(block)
-            elif block.noise != (depth_noise > 0):  # furniture within a line of text
-                if text.isspace():
-                    block.pieces.append(" ")
-                    continue
-                if depth_noise:
-                    continue
-            block.pieces.append(entities.unescape(text))
+                block = [Block(path, depth_noise > 0, depth_main > 0, parts=held)]
+                lines.append(block)
+            elif block[-1].noise != (depth_noise > 0) or block[-1].parts != held:  # furniture within a line of text
+                block.append(Block(block[0].path, depth_noise > 0, block[0].main, parts=held))
+            block[-1].pieces.append(entities.unescape(text))
             continue
         tag, closing, attributes = tag.lower(), m[1] or m[4], m[3] or m[6] or ""
         if closing:
             if tag == "br":
                 if block:
-                    block.pieces.append(" ")
+                    block[-1].pieces.append(" ")
                 continue
             k = find((tag,), ("td", "th", "table") if tag in INLINE else ())
             if k >= 0 and pop_to(k):
@@ -168,7 +246,7 @@ def page_blocks(page: str | None) -> list[Block]:
             if tag == "hr":
                 block = None
             elif tag == "br" and block:
-                block.pieces.append(" ")
+                block[-1].pieces.append(" ")
             continue
         if tag not in INLINE:
             k = find(CLOSED_BY_BLOCK, ("button", "td", "th", "table", "article", "div", "section", "body"))
@@ -187,7 +265,9 @@ def page_blocks(page: str | None) -> list[Block]:
             at = size if end is None else max(page.find(">", end.start()) + 1, end.end())
             continue
         push(node)
-    return [b for b in blocks if not b.text() == ""]
+    if parts:
+        _judge_names([run for line in lines for run in line], parts)
+    return [b for b in map(_joined, lines) if not b.text() == ""]
 
 
 def content_features(blocks: list[Block]) -> Iterator[tuple[str, int]]:

@@ -436,6 +436,24 @@ def test_html_tree_cuts_inside_articles(spark):
     assert [text[40 + i] for i in range(4)] == ["The same on every page"] * 4  # never all of a page
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<div class='layout has-sidebar'><article><p>Own text</p></article></div>", "Own text"),
+    ("<article class='post category-social'><p>Own text</p></article>", "Own text"),
+    ("<main class='content no-comments'><p>Own text</p></main>", "Own text"),
+    ("<main><div class='sidebar-layout'><article><p>Own text</p></article></div></main>", "Own text"),
+    ("<div class='header-wide'><article class='promo'><p>Own text</p></article></div><div class=ad>Buy</div>", "Own text"),
+    ("<body><div id='widget-1'><p>Own text, most of the page</p></div><div class=ads>Buy</div></body>", "Own text, most of the page"),
+    ("<article><p>Own text</p></article><div class='comments-area'><article class='comment-body'>A long reply to it</article></div>", "Own text"),
+    ("<article><p>Own text</p><div class='share-box'>Share</div><p class='post-promo'>Promo</p></article>", "Own text"),
+    ("<div class='site-footer'>Foot</div><div class='main-nav'>Nav</div><p>Own text of this page</p>", "Own text of this page"),
+    ("<div class='widget-a'><article>One</article></div><div class='widget-b'><article>Two, longer</article></div>", "One Two, longer"),
+    ("<main><p>Own text of this page</p><div class='related'><article>Card</article></div></main>", "Own text of this page"),
+    ("<aside><article>Aside</article></aside><article>Own<span class=ad> Ad </span>text</article>", "Own text"),
+])
+def test_html_names_never_cut_the_article(page, want):
+    assert html_text.main_text(html_text.page_blocks(page), set()) == want
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "<p>" + "é漢字\r\n\r\nWARC/1.1\r\n" * 9000
     htmls = [None, "", "short", "short", "x" * 999, "x" * 999, "y" * 1000, "y" * 1000, big, big, "z" * 70_000, "ß" * 500, "ß" * 500]

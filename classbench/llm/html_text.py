@@ -157,7 +157,7 @@ def _joined(runs: list[Block]) -> Block:
     """One block of a line's runs, without the furniture in a line of text; white space at its ends parts words."""
     if len(runs) == 1:
         return runs[0]
-    block = Block(runs[0].path, runs[0].noise, runs[0].main)
+    block = Block(runs[0].path, all(run.noise or not "".join(run.pieces).strip() for run in runs), runs[0].main)
     for run in runs:
         text = "".join(run.pieces)
         if block.noise or not run.noise:

@@ -454,6 +454,17 @@ def test_html_names_never_cut_the_article(page, want):
     assert html_text.main_text(html_text.page_blocks(page), set()) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p><span class='ad'>Ad</span> Body text</p>", "Body text"),
+    ("<ul><li><a class='share'>Share</a> Item text</li></ul>", "Item text"),
+    ("<article><p><span class='ad'>Ad</span> Body <i class=promo>Promo</i>text <a class=share>Share</a></p><p>Next</article>", "Body text Next"),
+    ("<div>Before <button>Press</button> after</div>", "Before after"),
+    ("<p><span class='ad'>Ad</span></p><p>Body text</p>", "Body text"),
+])
+def test_html_text_after_leading_inline_furniture(page, want):
+    assert html_text.main_text(html_text.page_blocks(page), set()) == want
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "<p>" + "é漢字\r\n\r\nWARC/1.1\r\n" * 9000
     htmls = [None, "", "short", "short", "x" * 999, "x" * 999, "y" * 1000, "y" * 1000, big, big, "z" * 70_000, "ß" * 500, "ß" * 500]

@@ -879,7 +879,7 @@ def q_network_history(spark, sf):
     from classbench.plans.network_run import train_network
     from classbench.plans.svm_run import prepare_scaled
     train, test, _ = prepare_scaled(spark, sf)
-    model = train_network(train, test, 2, "simple", epochs=5)
+    model = train_network(train, test, 2, "simple")
     return model.history_frame(spark)
 
 
@@ -888,7 +888,7 @@ def q_network_image_metrics(spark, sf):
     """M10 + V10 + V4: configurable network on the 8x8 image table (10 classes)."""
     from classbench.plans.network_run import evaluate_network, prepare_images, train_network
     train, test = prepare_images(spark, sf)
-    model = train_network(train, test, 10, preset=None, hidden=[64, 32], epochs=5, batch_size=32)
+    model = train_network(train, test, 10, preset=None, hidden=[64, 32], batch_size=32)
     return evaluate_network(model, test)
 
 
@@ -952,5 +952,5 @@ def q_network_complex_history(spark, sf):
     from classbench.plans.network_run import train_network
     from classbench.plans.svm_run import prepare_scaled
     train, test, _ = prepare_scaled(spark, sf)
-    model = train_network(train, test, 2, "complex", epochs=2)
+    model = train_network(train, test, 2, "complex")
     return model.history_frame(spark)

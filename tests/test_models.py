@@ -196,3 +196,19 @@ def test_linear_svm_band_on_churn(spark):
     lin = fit_kernel_svm(train, "linear", C=1.0, max_iter=50, platt_folds=3)
     auc = {r["metric"]: r["value"] for r in evaluate(lin, test, "linear").collect()}["roc_auc"]
     assert 0.75 < auc < 0.97
+
+
+@pytest.mark.parametrize("name", ["network_history", "network_image_metrics", "network_complex_history"])
+def test_registered_networks_train_all_epochs(spark, monkeypatch, name):
+    from classbench.plans.registry import QUERIES
+
+    class Seen(Exception):
+        pass
+
+    def fit(self, train, validation=None):
+        raise Seen(self.epochs, self.early_stopping.patience)
+
+    monkeypatch.setattr(NN.FeedForwardClassifier, "fit", fit)
+    with pytest.raises(Seen) as seen:
+        QUERIES[name](spark, SF_SMALL)
+    assert seen.value.args == (50, 10)

@@ -216,7 +216,8 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> Data
             rows = []
             for h, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 block = assemble([(p["segment"], p["total"], p["block"]) for p in parts])
-                payload = digest = size = None
+                payload = size = None
+                digest = h["digest"]
                 if h["type"] == "response":
                     http, _, body = block.partition(2 * END)
                     payload = unchunk(body) if b"chunked" in http.lower() else body
@@ -231,10 +232,11 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> Data
     out = "page_id long, payload string, payload_bytes long, payload_digest string, record_type string, refers_to long"
     records = materialize(whole.union(cut).mapInArrow(decode, out), "records")
     held = records.where("record_type = 'response' and payload_bytes >= 1000").dropDuplicates(["page_id", "payload_digest"]).select(
-        F.col("page_id").alias("refers_to"), *[F.col(c).alias(f"held_{c}") for c in names[1:4]])
+        F.col("page_id").alias("refers_to"), "payload", "payload_bytes", "payload_digest")
     stored = records.where("record_type = 'response'")
-    again = records.where("record_type <> 'response'").select("page_id", "record_type", "refers_to").join(held, "refers_to")
-    return stored.unionByName(again.select("page_id", *[F.col(f"held_{c}").alias(c) for c in names[1:4]], "record_type", "refers_to"))
+    again = records.where("record_type <> 'response'").select("page_id", "record_type", "refers_to", "payload_digest").join(
+        held, ["refers_to", "payload_digest"])  # a page id may hold several payloads
+    return stored.unionByName(again.select(*names))
 
 
 def op9_warc(spark, sf_dir) -> DataFrame:

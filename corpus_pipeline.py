@@ -1,8 +1,8 @@
 """Corpus pipeline: toxicity, near duplicates, personal data, source mixing, packing.
 
 Each stage works on all rows that the stage before kept, written as Parquet and
-read again; all but the last return the columns of ``documents``.  Rows without
-an id are kept by every stage; see the operators for nulls and empty texts.
+read again; all but the last return the columns of ``documents``.  Ids may be
+null or repeat: stages judge rows; see the operators for nulls and empty texts.
 """
 
 from __future__ import annotations
@@ -25,14 +25,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group, once.
+    """One row of each near-duplicate group: of the smallest id, and of the smallest hash among rows of that id.
 
-    Rows without an id name no group: one of each text stays.
+    Rows without an id are grouped like others and stay where their group has no id.
     """
-    found = near_duplicates(docs, shingle=3, max_bits=2)
-    kept = found.where(F.col("doc_id") == F.col("component")).select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"])).select(*docs.columns)
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.xxhash64(*docs.columns).alias("hash"))
+    rows = docs.withColumn("_row", row)
+    kept = near_duplicates(rows, shingle=3, max_bits=2, id_col="_row").select("component.*").distinct()
+    hashed = docs.withColumn("_hash", F.xxhash64(*docs.columns))
+    same = (hashed["_hash"] == kept["hash"]) & hashed["doc_id"].eqNullSafe(kept["id"])
+    return hashed.join(kept, same, "left_semi").dropDuplicates(["_hash", "doc_id"]).select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

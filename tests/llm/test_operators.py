@@ -488,6 +488,14 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read_warc(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_warc_revisits_of_a_repeated_page_id(spark, tmp_path):
+    one, two = "first " * 300, "second " * 300
+    rows = [(5, "http://a.org/1", one), (5, "http://a.org/2", two), (2, "http://a.org/3", one), (3, "http://a.org/4", two)]
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{tmp_path}/warc")
+    got = sorted((r.page_id, r.payload[:6], r.record_type, r.refers_to) for r in warc.read_warc(spark, f"{tmp_path}/warc").collect())
+    assert got == [(2, "first ", "revisit", 5), (3, "second", "revisit", 5), (5, "first ", "response", None), (5, "second", "response", None)]
+
+
 def test_warc_segments_are_verified():
     parts = [(2, None, b"b"), (1, None, b"a"), (3, 3, b"c")]
     assert warc.assemble(parts) == b"abc"

@@ -43,6 +43,15 @@ def test_stages_keep_what_they_should(spark):
     assert packed.select("doc_id").distinct().count() == mixed.select("doc_id").distinct().count()
 
 
+def test_near_duplicates_are_dropped_by_row(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in ("alpha", "beta", "gamma"))
+    rows = [(1, one, "a"), (7, one, "b"), (7, two, "c"), (None, two, "d"), (None, three, "e"), (None, three, "e"), (9, one, "f"), (1, one, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for parts in (1, 5):
+        got = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(parts), "").collect()
+        assert sorted((str(r.doc_id), r.text, r.source) for r in got) == [("1", one, "a"), ("7", two, "c"), ("None", three, "e")]
+
+
 def test_queries_are_registered():
     names = entry.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))

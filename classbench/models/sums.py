@@ -1,0 +1,43 @@
+"""Sums of vectors over a frame's partitions, for learners that add up gradients."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+_SELF = __import__(__name__, fromlist=["_"])
+
+
+def sum_vectors(df: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], np.ndarray | None], depth: int = 2) -> np.ndarray | None:
+    """Sum of ``partial(batches)`` over all partitions, combined on the executors in a tree of ``depth`` levels.
+
+    ``partial`` gives one vector of doubles for a partition's Arrow batches, or
+    None where it has no rows; the result is None if all do.  Only combined
+    vectors are sent on, so what reaches the driver does not grow with the rows.
+    """
+    def one(batches):
+        v = partial(batches)
+        if v is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(v, np.float64).tobytes()], pa.binary())], ["v"])
+
+    parts = df.mapInArrow(one, "v binary").rdd.map(lambda r: np.frombuffer(r["v"], np.float64))
+    return parts.treeAggregate(None, _add, _add, depth)
+
+
+def _add(a, b):
+    return b if a is None else a if b is None else a + b
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """Rows of a list column of equal lengths as a matrix, without Python objects."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+
+
+# executor code of this module travels by value (see session.ship_by_value)
+from classbench.session import ship_by_value as _ship  # noqa: E402
+
+_ship(_SELF)

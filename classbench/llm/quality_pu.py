@@ -16,9 +16,9 @@ functions of the features' first and second moments, so the risk over every row
 of the corpus is minimised exactly from one pass.
 
 The class prior is estimated first: a model of good against all texts is fitted
-on one half of the rows, and on the other half the prior is the share of all
-texts over the share of good texts above the score where an upper bound of that
-ratio is least (where good texts alone are left).
+on each half of the rows (by a hash) and scores the other half, and the prior is
+the share of all texts over the share of good texts above the score where an
+upper bound of that ratio is least (where good texts alone are left).
 
 The statistics of every row are one narrow table, moments and score counts are
 added up over its partitions, and the driver gets sums whose size depends on the
@@ -212,20 +212,22 @@ def prior_of(good: np.ndarray, all_: np.ndarray, delta: float = 0.1) -> float:
     return float(np.clip(q_all[k] / q_good[k], 0.01, 0.99))
 
 
-def score_counts(rows: DataFrame, scorer: Scorer) -> np.ndarray:
-    """Good (row 0) and all (row 1) texts of rows (x, good) by bin of their score."""
+def score_counts(rows: DataFrame, scorers: list[Scorer]) -> np.ndarray:
+    """Good (row 0) and all (row 1) texts of rows (x, good, half) by bin of their score; a half has its own scorer."""
     ship_by_value(sys.modules[__name__])
 
     def partial(batches):
         total = np.zeros((2, SCORE_BINS))
         for batch in batches:
             if batch.num_rows:
-                place = np.minimum((scorer.score(matrix(batch.column(0))) * SCORE_BINS).astype(int), SCORE_BINS - 1)
-                good = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-                total += [np.bincount(place[good], minlength=SCORE_BINS), np.bincount(place, minlength=SCORE_BINS)]
+                x = matrix(batch.column(0))
+                good, half = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
+                score = np.where(half == 0, scorers[0].score(x), scorers[1].score(x))
+                place = np.minimum((score * SCORE_BINS).astype(int), SCORE_BINS - 1)
+                total += [np.bincount(place[good.astype(bool)], minlength=SCORE_BINS), np.bincount(place, minlength=SCORE_BINS)]
         return total.ravel()
 
-    counts = sum_vectors(rows.select("x", "good"), partial)
+    counts = sum_vectors(rows.select("x", "good", "half"), partial)
     return np.zeros((2, SCORE_BINS)) if counts is None else counts.reshape(2, SCORE_BINS)
 
 
@@ -234,17 +236,17 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def fit_quality(stats: DataFrame, positives: DataFrame, l2: float = 1e-3) -> tuple[Scorer, float]:
+def fit_quality(stats: DataFrame, positives: DataFrame, l2: float = 1e-3, prior_l2: float = 1e-2) -> tuple[Scorer, float]:
     """(scorer, class prior) from statistics (id, x) of all texts and the ids (column id) of trusted positives."""
     chosen = positives.where("id is not null").select("id").distinct().withColumn("good", F.lit(True))
     half = F.pmod(F.xxhash64("id", "x"), F.lit(2)).cast("int").alias("half")
-    rows = materialize(stats.join(chosen, "id", "left").select("x", F.coalesce("good", F.lit(False)).alias("good"), half), "risk")
+    rows = materialize(stats.select("id", "x").join(chosen, "id", "left").select("x", F.coalesce("good", F.lit(False)).alias("good"), half), "risk")
     blank = Scorer.blank(statistic_cuts(rows))
-    one, other = moments(rows, blank)
-    if not (one + other).n[0]:
+    zero, one = moments(rows, blank)
+    if not (zero + one).n[0]:
         return blank, 0.5
-    prior = prior_of(*score_counts(rows.where("half = 1"), Scorer(blank.cuts, against_all(one, l2))))
-    return Scorer(blank.cuts, minimise_risk(one + other, prior, l2)), prior
+    prior = prior_of(*score_counts(rows, [Scorer(blank.cuts, against_all(m, prior_l2)) for m in (one, zero)]))
+    return Scorer(blank.cuts, minimise_risk(zero + one, prior, l2)), prior
 
 
 def quality_score(scorer: Scorer, x: Column) -> Column:

@@ -65,16 +65,17 @@ def re_pair(ids: list[int], first_new: int) -> tuple[list[int], list[int], list[
     while heap:
         count, age, pair = heapq.heappop(heap)
         left, right = pair
+        alive = [i for i in sorted(set(places[pair])) if symbol[i] == left and after[i] < n and symbol[after[i]] == right]
         held, last = [], -1
-        for i in sorted(set(places[pair])):  # where the pair still stands, without overlaps
-            if symbol[i] == left and i != last and after[i] < n and symbol[after[i]] == right:
+        for i in alive:  # without overlaps
+            if i != last:
                 held.append(i)
                 last = after[i]
         if len(held) < 2:
             del places[pair]
             continue
-        places[pair] = held
         if len(held) < -count:  # fewer than when it was queued: back to its place in the order
+            places[pair] = alive
             heapq.heappush(heap, (-len(held), age, pair))
             continue
         new = first_new + len(rules)

@@ -11,8 +11,9 @@ to the right the pivot keeps its place and the head up to it is equal, with the
 edit to the left it keeps its distance from the end (its place moves by the
 difference in length, at most one) and the tail from it is equal.  Pivots are
 therefore looked up by that head or tail and the other word's length, which no
-pair outside the limit meets, and every candidate is verified by its edit
-distance.
+pair outside the limit meets; words that meet and differ in more than four of 64
+bits that stand for their bigrams cannot be near, and the others are verified by
+their edit distance.
 
 The frequency table has a fixed number of hashed bigrams, whatever the alphabet
 and the corpus; it is the only thing sent to all tasks.  A word has no more near
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from classbench.llm.common import let, materialize, read_table
+from classbench.llm.common import materialize, read_table
 from classbench.session import ship_by_value
 
 #: Letters of a run: A to Z, a to z and the second half of Latin-1's upper block.
@@ -80,8 +81,16 @@ def signature(word: str, order: np.ndarray, frequency: np.ndarray) -> tuple[int,
     return last, prefix, pivots(prefix, [int(frequency[slots[i]]) for i in prefix])
 
 
+def gram_bits(word: str) -> int:
+    """The word's bigrams as bits of a signed long; one edit takes away and adds at most two bigrams each."""
+    bits = 0
+    for i in range(len(word) - 1):
+        bits |= 1 << (gram_slot(word[i:i + 2]) & 63)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def _index(frequency: np.ndarray, of_pivots: bool, schema: pa.Schema):
-    """Arrow function: rows (key, size, word, n, last) of all words' pivots, or of their prefixes."""
+    """Arrow function: rows (key, size, word, n, last, grams) of all words' pivots, or of their prefixes."""
     order = np.empty(GRAM_SLOTS, np.int64)
     order[np.argsort(frequency, kind="stable")] = np.arange(GRAM_SLOTS)
 
@@ -90,10 +99,11 @@ def _index(frequency: np.ndarray, of_pivots: bool, schema: pa.Schema):
             rows = []
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 last, prefix, pivot = signature(word, order, frequency)
+                grams = gram_bits(word)
                 sizes = range(len(word) - EDITS, len(word) + EDITS + 1) if of_pivots else (len(word),)
                 for i in pivot if of_pivots else prefix:
                     for key in (f"<{word[:i + 2]}", f">{word[i:]}"):
-                        rows += [(key, size, word, n, last) for size in sizes]
+                        rows += [(key, size, word, n, last, grams) for size in sizes]
             columns = list(zip(*rows)) if rows else [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -116,12 +126,12 @@ def near_words(words: DataFrame) -> DataFrame:
     distinct and of at least four code points."""
     ship_by_value(sys.modules[__name__])
     frequency = gram_frequency(words)
-    schema = pa.schema([("key", pa.string()), ("size", pa.int32()), ("word", pa.string()), ("n", pa.int64()), ("last", pa.int64())])
-    ddl = "key string, size int, word string, n long, last long"
+    schema = pa.schema([("key", pa.string()), ("size", pa.int32()), ("word", pa.string()), ("n", pa.int64()), ("last", pa.int64()), ("grams", pa.int64())])
+    ddl = "key string, size int, word string, n long, last long, grams long"
     table = words.select("word", "n")
     own = table.mapInArrow(_index(frequency, True, schema), ddl)
-    other = table.mapInArrow(_index(frequency, False, schema), ddl).withColumnsRenamed({"word": "near", "n": "near_n", "last": "near_last"})
-    met = own.join(other, ["key", "size"]).where("last <= near_last and word <> near")
+    other = table.mapInArrow(_index(frequency, False, schema), ddl).withColumnsRenamed({"word": "near", "n": "near_n", "last": "near_last", "grams": "near_grams"})
+    met = own.join(other, ["key", "size"]).where(f"last <= near_last and bit_count(grams ^ near_grams) <= {4 * EDITS} and word <> near")
     links = met.where(F.levenshtein("word", "near", EDITS) == EDITS).select("word", "n", "near", "near_n")
     both = links.union(links.select("near", "near_n", "word", "n"))
     return both.distinct()
@@ -169,10 +179,9 @@ def lower_ascii(text: Column) -> Column:
 
 def letter_runs(docs: DataFrame, least: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, run): every maximal run of letters of at least ``least`` code points, A to Z lower-cased."""
-    runs = F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(RUN), F.lit(0))
-    long_enough = F.filter(runs, lambda run: F.length(run) >= least)
+    runs = F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(f"{RUN[:-1]}{{{least},}}"), F.lit(0))
     return docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
-                       F.explode(F.transform(long_enough, lower_ascii)).alias("run"))
+                       F.explode(F.transform(runs, lower_ascii)).alias("run"))
 
 
 def count_words(words: DataFrame, least_n: int) -> DataFrame:
@@ -187,9 +196,10 @@ NOISE, LEAST_LENGTH, LEAST_COUNT, TIMES = 199, 6, 5, 5
 def op11_variants(spark, sf_dir) -> DataFrame:
     """Variant groups of the words of all documents, one run in 199 (by hash) having lost a letter."""
     runs = letter_runs(read_table(spark, sf_dir, "documents"), LEAST_LENGTH)  # losing a letter only shortens
-    kept = lambda at: F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
     h = F.crc32(F.encode(F.concat_ws(":", "id", "run"), "utf-8"))
-    word = let(h, lambda x: F.when(x % NOISE == 0, kept((x % F.length("run")).cast("int"))).otherwise(F.col("run")))
-    # a filter inside the generator: as a filter of its own it would have each word made twice
-    words = runs.select(F.explode(F.filter(F.array(word), lambda w: F.length(w) >= LEAST_LENGTH)).alias("word"))
+    at = (h % F.length("run")).cast("int")
+    shorter = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    word = F.when(h % NOISE == 0, shorter).otherwise(F.col("run"))
+    # through a generator, so that the filter and the counts read one column instead of making each word again
+    words = runs.select(F.explode(F.array(word)).alias("word")).where(F.length("word") >= LEAST_LENGTH)
     return group_variants(count_words(words, LEAST_COUNT), TIMES)

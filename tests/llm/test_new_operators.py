@@ -262,7 +262,7 @@ def test_re_pair_grammar():
 
 def test_long_repetitive_texts():
     assert runs.find_runs([7] * 300_000) == [(0, 300_000, 1)]
-    passage = [random.Random(1).randrange(10 ** 6) for _ in range(40_000)]
+    passage = random.Random(1).choices(range(10 ** 6), k=40_000)
     assert runs.find_runs(passage * 3) == [(0, 120_000, 40_000)]
     assert runs.find_runs([*range(400)] * 250) == [(0, 100_000, 400)]
     assert runs.find_runs([w for k in range(2000) for w in (-k - 1, *range(30))]) == []

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from classbench.llm.common import long_array, materialize, read_table, word_count
+from classbench.llm.common import fresh, long_array, materialize, read_table, word_count
 
 #: Documents of a block; a block is rounded by one fold over its array.
 BLOCK = 256
@@ -104,9 +104,10 @@ def round_fractions(rows: DataFrame, seed: int) -> DataFrame:
     """(unit, one): whether each unit's fraction ``p`` became 1; rows are (src, words, key, p, unit)."""
     settled, waiting, level = [], rows, 0
     while True:
-        parts = waiting.groupBy("src").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+        # written first: its size is then known, and a short list of sources does not deal the rows by source
+        parts = materialize(waiting.groupBy("src").agg(F.ceil(F.count("*") / BLOCK).alias("parts")), "parts")
         block = F.pmod(F.xxhash64(F.lit(seed + level), "key"), F.col("parts"))
-        # dealt by block: a source alone, as the join leaves the rows, may hold a third of them
+        # dealt by block: a source alone may hold a third of the rows
         dealt = waiting.join(parts, "src").withColumn("block", block).repartition("src", "block")
         done = materialize(_round_blocks(dealt, level, seed), "rounded")
         open_ = (F.col("p") > EPSILON) & (F.col("p") < 1 - EPSILON)
@@ -165,12 +166,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.
 
 def take(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as ``mixed`` takes it."""
-    copies = mixed.where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-    own = docs.withColumn("_words", word_count(F.col("text")))
-    same = own["doc_id"].eqNullSafe(copies["_id"]) & own["source"].eqNullSafe(copies["_source"]) & (own["_words"] == copies["_size"])
-    return own.join(copies, same).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    id_, source, size, copies, words, copy = (fresh(docs, c) for c in ("_id", "_source", "_size", "_copies", "_words", "_copy"))
+    taken = mixed.where("copies > 0").select(
+        F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("size").alias(size), F.col("copies").alias(copies))
+    own = docs.withColumn(words, word_count(F.col("text")))
+    same = own["doc_id"].eqNullSafe(taken[id_]) & own["source"].eqNullSafe(taken[source]) & (own[words] == taken[size])
+    return own.join(taken, same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def op6_mixing(spark, sf_dir) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from classbench.llm.pii import AFTER, BEFORE, KINDS, OCTET
 
 #: The same languages as :data:`classbench.llm.pii.KINDS`, without Java's possessive loops and look-behind.
-PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "card": r"[0-9](?:[\x20-]?[0-9])+"}
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "card": r"[0-9](?:[\x20-]?[0-9])+",
+         "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"}
 VALID = {
     "email": "true",
     "ip": rf"regexp_full_match(m, '{OCTET}(?:\.{OCTET}){{3}}')",

@@ -40,11 +40,12 @@ class Kind:
 
 #: Patterns, order of kinds and context words.  Possessive loops
 #: (``++``) match what the plain ones do, without Java's recursion on long runs;
-#: an e-mail's first part cannot start inside a run that has just failed.
+#: an e-mail's first part cannot start inside a run that has just failed, nor an
+#: address inside a run of digits (a match always ends at the end of one).
 KINDS = (
     Kind("email", "@", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
          "(?i)mail|contact|write|correo|kontakt|courriel", prior=0.9),
-    Kind("ip", r"[0-9]\.[0-9]", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "(?i)\\bip\\b|address|host|server|login", prior=0.7),
+    Kind("ip", r"[0-9]\.[0-9]", r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", "(?i)\\bip\\b|address|host|server|login", prior=0.7),
     Kind("card", r"[0-9](?:[\x20-]?[0-9]){13}", r"[0-9](?:[\x20-]?[0-9])++", "(?i)card|visa|credit|karte|tarjeta|carte", prior=0.8),
     Kind("phone", r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]", "(?i)phone|call|tel|mobile|fax", prior=0.7),
     Kind("iban", r"[A-Z]{2}[0-9]{2}[\x20]?[A-Z0-9]{4}", r"[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]{4}){2,7}(?:[\x20]?[A-Z0-9]{1,3})?",

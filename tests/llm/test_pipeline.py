@@ -52,7 +52,36 @@ def test_near_duplicates_are_dropped_by_row(spark):
         assert sorted((str(r.doc_id), r.text, r.source) for r in got) == [("1", one, "a"), ("7", two, "c"), ("None", three, "e")]
 
 
+CLASHING = ("doc_id long, text string, lang string, source string, n_chars int, _hash string, _named int, _id string, _ID_ string, "
+            "_row int, _spans string, _words long, _copies int, _copy int, _source string, _size int, score double, fp long")
+
+
+def test_stages_with_clashing_columns_nulls_ties_and_empty_tables(spark):
+    text = " ".join(f"plain{i} word" for i in range(40))
+    rest = ("h", 1, "i", "I", 2, "s", 3, 4, 5, "o", 6, 0.5, 7)
+    rows = [(1, text, "en", "a", len(text), *rest), (1, text, "en", "a", len(text), *rest), (2, text, "en", "b", len(text), *rest),
+            (None, None, None, None, None, *rest), (3, "", "en", None, 0, *rest), (4, "mail a@b.cc now " + "w " * 50_000, "en", "a", 100_016, *rest)]
+    docs = spark.createDataFrame(rows, CLASHING)
+    stages = dict(corpus_pipeline.STAGES)
+    labels = "/root/testdata/sf0.001"
+    for name in ("toxicity", "simhash", "pii", "mixing"):
+        before = {str(r.doc_id): r.asDict() for r in docs.collect()}
+        docs = materialize(stages[name](spark, docs, labels), name)
+        assert docs.columns == [f.split()[0] for f in CLASHING.split(", ")]
+        left = docs.collect()
+        assert {str(r.doc_id) for r in left} >= ({"4"} if name == "mixing" else {"1", "4"})
+        for r in left:  # other columns as they were
+            assert all(v == before[str(r.doc_id)][k] for k, v in r.asDict().items() if k not in ("text", "n_chars"))
+        if name == "simhash":
+            assert sorted(str(r.doc_id) for r in left) == ["1", "3", "4"]
+        if name == "pii":
+            assert all("a@b.cc" not in (r.text or "") for r in left)
+    assert stages["packing"](spark, docs, labels).count() > 0
+    for name in stages:
+        assert stages[name](spark, spark.createDataFrame([], CLASHING), labels).count() == 0
+
+
 def test_queries_are_registered():
     names = entry.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
-    assert {"op1_pii", "op9_warc"} <= entry.oracle_sql().keys()
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
+    assert {"op1_pii", "op9_warc", "op11_variants"} <= entry.oracle_sql().keys()

@@ -22,11 +22,12 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from classbench.operators.split import hash_rank
+from classbench.operators.rank import class_counts, hash_key
 from classbench.session import tasks_for
 
 KERNELS = ("linear", "rbf", "poly", "sigmoid")
@@ -124,27 +125,48 @@ def fit_nystroem(df: DataFrame, kind: str = "rbf", gamma="scale", degree: int =
                  label: str = "label", id_col: str = "id", seed: int = 42) -> NystroemMap:
     """M4-M6: pick landmarks by stratified hash order and build the map.
 
-    Landmarks per class are proportional to class size (at least one per
-    class); only m rows (bounded by ``n_landmarks``) reach the driver.
     Eigenvalues below 1e-10 of the largest are dropped (the sigmoid kernel
     is not positive semi-definite; negative directions are discarded).
     """
-    ranked, counts = hash_rank(df.select(id_col, label, features), id_col, label, seed, "landmark|")
-    n = sum(c for _, c in counts)
-    quota = {k[0]: max(1, int(round(n_landmarks * c / n))) for k, c in counts}
-    cond = None
-    for k, q in quota.items():
-        cc = (F.col(label) == F.lit(k)) & (F.col("_rank") <= q)
-        cond = cc if cond is None else cond | cc
-    rows = ranked.where(cond).select(vector_to_array(F.col(features)).alias("x")).collect()
-    lm = np.array([r["x"] for r in rows], dtype=np.float64)
+    lm = pick_landmarks(df, n_landmarks, features, label, id_col, seed)
     d = lm.shape[1]
-    if gamma == "scale":
-        v = df.select(vector_to_array(F.col(features)).alias("x")).select(
-            F.explode("x").alias("v")).agg(F.var_pop("v")).first()[0]
-        g = resolve_gamma("scale", d, v)
-    else:
-        g = resolve_gamma(gamma, d)
+    g = resolve_gamma(gamma, d, pooled_variance(df, features) if gamma == "scale" else None)
+    return nystroem_map(lm, kind, g, degree, coef0)
+
+
+def pooled_variance(df: DataFrame, features: str = "features") -> float | None:
+    """Population variance of all entries of a vector column, from one pass of per-column moments."""
+    row = df.select(Summarizer.metrics("mean", "variance", "count").summary(F.col(features)).alias("s")).first()["s"]
+    n = row["count"]
+    if not n:
+        return None
+    mean, var = row["mean"].toArray(), row["variance"].toArray() * ((n - 1) / n)
+    return float((var + mean ** 2).mean() - mean.mean() ** 2)
+
+
+def pick_landmarks(df: DataFrame, n_landmarks: int = 256, features: str = "features", label: str = "label",
+                   id_col: str = "id", seed: int = 42) -> np.ndarray:
+    """Feature rows of the smallest hashes of each class (ties by id), in class order.
+
+    A class gets its share of ``n_landmarks`` (at least one).  Every task keeps
+    its own smallest rows of a class and these are merged, so no row is
+    shuffled; only the chosen rows, bounded by ``n_landmarks`` and one a class,
+    reach the driver.
+    """
+    counts = sorted(class_counts(df, [label]))
+    n = sum(c for _, c in counts)
+    key = hash_key(id_col, seed, "landmark|")
+    rows = []
+    for (k,), c in counts:
+        quota = max(1, int(round(n_landmarks * c / n)))
+        least = df.where(F.col(label) == F.lit(k)).select(key.alias("_key"), F.col(id_col).alias("_id"),
+                                                          vector_to_array(F.col(features)).alias("x"))
+        rows += least.orderBy("_key", F.asc_nulls_last("_id")).limit(quota).collect()
+    return np.array([r["x"] for r in rows], dtype=np.float64)
+
+
+def nystroem_map(lm: np.ndarray, kind: str, g: float, degree: int, coef0: float) -> NystroemMap:
+    """The map of one kernel over given landmarks."""
     kmm = _kernel(lm, lm, kind, g, degree, coef0)
     kmm = (kmm + kmm.T) / 2.0
     w, u = np.linalg.eigh(kmm)

@@ -851,6 +851,46 @@ def q_svm_comparison(spark, sf):
     return run_svm_analysis(spark, sf, kernels=KERNELS).tables["comparison"]
 
 
+def _register_svm_grid(kernel: str):
+    @query(f"svm_grid_{kernel}")
+    def q(spark, sf):
+        from classbench.plans.svm_run import svm_grid
+        return svm_grid(spark, sf, kernel)
+    q.__doc__ = f"T1-T3: the {kernel} kernel's whole grid over five folds, F1 of class 1, the best point marked."
+
+
+for _k in ("linear", "rbf", "poly", "sigmoid"):
+    _register_svm_grid(_k)
+
+
+@query("svm_tuned_comparison")
+def q_svm_tuned_comparison(spark, sf):
+    """T1-T3 + T8: all four kernels tuned on their grids, refitted, compared on the test part with training seconds."""
+    from classbench.plans.svm_run import run_tuned_svm
+    return run_tuned_svm(spark, sf).tables["comparison"]
+
+
+@query("svm_best_params")
+def q_svm_best_params(spark, sf):
+    """Best (parameter, value) of every kernel's grid with its mean F1."""
+    from classbench.plans.svm_run import prepare_scaled, tuned_svms
+    return tuned_svms(prepare_scaled(spark, sf)[0])[1]
+
+
+@query("svm_cv_scores")
+def q_svm_cv_scores(spark, sf):
+    """T4: ten folds, five metrics, four kernels at their defaults."""
+    from classbench.plans.svm_run import svm_cv_scores
+    return svm_cv_scores(spark, sf)
+
+
+@query("svm_support_vectors")
+def q_svm_support_vectors(spark, sf):
+    """M8: support vectors per class, total and intercept of fitted models of all kernels."""
+    from classbench.plans.svm_run import svm_support_vectors
+    return svm_support_vectors(spark, sf)
+
+
 @query("svm_ring")
 def q_svm_ring(spark, sf):
     """M3 vs M4 on the ring (F3): the kernel map must separate what a line cannot."""
@@ -876,10 +916,9 @@ def q_pca_projection(spark, sf):
 @query("network_history")
 def q_network_history(spark, sf):
     """M9 + M11-M15: 'simple' preset on scaled churn features; per-epoch history."""
-    from classbench.plans.network_run import train_network
-    from classbench.plans.svm_run import prepare_scaled
-    train, test, _ = prepare_scaled(spark, sf)
-    model = train_network(train, test, 2, "simple")
+    from classbench.plans.network_run import prepare_network, train_network
+    train, validation, _ = prepare_network(spark, sf)
+    model = train_network(train, validation, 2, "simple")
     return model.history_frame(spark)
 
 
@@ -887,8 +926,8 @@ def q_network_history(spark, sf):
 def q_network_image_metrics(spark, sf):
     """M10 + V10 + V4: configurable network on the 8x8 image table (10 classes)."""
     from classbench.plans.network_run import evaluate_network, prepare_images, train_network
-    train, test = prepare_images(spark, sf)
-    model = train_network(train, test, 10, preset=None, hidden=[64, 32], batch_size=32)
+    train, validation, test = prepare_images(spark, sf)
+    model = train_network(train, validation, 10, preset=None, hidden=[64, 32], batch_size=32)
     return evaluate_network(model, test)
 
 
@@ -949,8 +988,7 @@ def q_svm_decision_surface(spark, sf):
 @query("network_complex_history")
 def q_network_complex_history(spark, sf):
     """M9 'complex' preset (batch normalisation, dropout 0.4-0.2) trained on Spark; history."""
-    from classbench.plans.network_run import train_network
-    from classbench.plans.svm_run import prepare_scaled
-    train, test, _ = prepare_scaled(spark, sf)
-    model = train_network(train, test, 2, "complex")
+    from classbench.plans.network_run import prepare_network, train_network
+    train, validation, _ = prepare_network(spark, sf)
+    model = train_network(train, validation, 2, "complex")
     return model.history_frame(spark)

@@ -76,7 +76,88 @@ def run_svm_analysis(spark: SparkSession, sf_dir: str, kernels=("linear", "rbf",
         longs.append(evaluate(models[k], test, k))
         scored.append(models[k].transform(test).select(F.lit(k).alias("model"), "label", "score"))
     long = compare.union_all(*longs)
-    table = compare.comparison_table(long)
+    seconds = spark.createDataFrame(list(timings.items()), "model string, train_seconds double")
+    table = compare.comparison_table(long).join(seconds, "model")
     tables = {"comparison": table, "best": compare.best_row(table, "f1", "model"),
               "roc": curves.roc_curve(compare.union_all(*scored), groups=["model"])}
     return SvmRun(models, tables, timings)
+
+
+def _model_points(table, kernels) -> list:
+    return [table.point(k, {}) for k in kernels]
+
+
+def tuned_svms(train: DataFrame, kernels=KERNELS, folds: int = 5, n_landmarks: int = 128, max_iter: int = 100):
+    """T1-T3 for every kernel: (fold scores, best parameters, {kernel: fitted model}); one landmark table for all.
+
+    A model is its kernel's best point refitted on all rows, calibrated on the
+    decisions of that point's folds.
+    """
+    from classbench.models.kernel_svc import KernelSVCModel, LandmarkTable, fit_all, grid_search, held_out_decisions
+    from classbench.models.svm import _platt
+    from classbench.plans.tuning import SVM_GRIDS, grid_points
+
+    table, scores, best, models = LandmarkTable(train, folds, n_landmarks), [], [], {}
+    for k in kernels:
+        t0 = time.time()
+        own, top, refit = grid_search(table, k, grid_points(SVM_GRIDS[k]), max_iter)
+        platt = _platt(held_out_decisions(table, fit_all(table, [refit.point], list(range(folds)), max_iter)), "label")
+        models[k] = KernelSVCModel.of(refit.point, table.map_of(refit.point), refit.weights, platt, time.time() - t0)
+        scores.append(own)
+        best.append(top)
+    table.close()
+    return compare.union_all(*scores), compare.union_all(*best), models
+
+
+def run_tuned_svm(spark: SparkSession, sf_dir: str, kernels=KERNELS, folds: int = 5, n_landmarks: int = 128) -> SvmRun:
+    """E2 as it is run with tuning: grid search per kernel, best models compared on the test part, with seconds."""
+    train, test, _ = prepare_scaled(spark, sf_dir)
+    scores, best, models = tuned_svms(train, kernels, folds, n_landmarks)
+    table = compare.comparison_table(compare.union_all(*[evaluate(m, test, k) for k, m in models.items()]))
+    timings = {k: m.spec["train_seconds"] for k, m in models.items()}
+    seconds = spark.createDataFrame(list(timings.items()), "model string, train_seconds double")
+    table = table.join(seconds, "model")
+    return SvmRun(models, {"grid": scores, "best_params": best, "comparison": table, "best": compare.best_row(table, "f1", "model")}, timings)
+
+
+def svm_grid(spark: SparkSession, sf_dir: str, kernel: str, folds: int = 5, n_landmarks: int = 128) -> DataFrame:
+    """T1-T3 of one kernel: (kernel, point, params, fold, f1, best), ``best`` marking the point of highest mean F1."""
+    from classbench.models.kernel_svc import LandmarkTable, grid_search
+    from classbench.plans.tuning import SVM_GRIDS, grid_points
+
+    table = LandmarkTable(prepare_scaled(spark, sf_dir)[0], folds, n_landmarks)
+    scores, best, _ = grid_search(table, kernel, grid_points(SVM_GRIDS[kernel]))
+    table.close()
+    chosen = ", ".join(f"{r['param']}={r['value']}" for r in sorted(best.collect(), key=lambda r: r["param"]))
+    return scores.withColumn("best", F.col("params") == chosen)
+
+
+def svm_cv_scores(spark: SparkSession, sf_dir: str, kernels=KERNELS, folds: int = 10, n_landmarks: int = 128) -> DataFrame:
+    """T4 for SVMs: (model, fold, metric, value) of every kernel at its defaults; all fits run side by side."""
+    from classbench.models.kernel_svc import LandmarkTable, fit_all, held_out_decisions
+    from classbench.session import new_scratch_path
+
+    table = LandmarkTable(prepare_scaled(spark, sf_dir)[0], folds, n_landmarks)
+    points = _model_points(table, kernels)
+    path = new_scratch_path(spark, "decisions")
+    held_out_decisions(table, fit_all(table, points, list(range(folds)))).write.parquet(path)
+    table.close()
+    named = F.element_at(F.array(*[F.lit(k) for k in kernels]), F.col("point") + 1)
+    scored = spark.read.parquet(path).select(named.alias("model"), "fold", "label", (F.col("decision") > 0).cast("int").alias("prediction"),
+                                             F.col("decision").alias("score"))
+    return metrics.grouped_binary_metrics(scored, ["model", "fold"], "label", "prediction", "score")
+
+
+def svm_support_vectors(spark: SparkSession, sf_dir: str, kernels=KERNELS, n_landmarks: int = 128) -> DataFrame:
+    """M8 of fitted models: (kernel, label, n_support, total, intercept) for every kernel at its defaults."""
+    from classbench.models.kernel_svc import KernelSVCModel, LandmarkTable, fit_all
+
+    train = prepare_scaled(spark, sf_dir)[0]
+    table = LandmarkTable(train, 0, n_landmarks)
+    fitted = fit_all(table, _model_points(table, kernels), [-1])
+    table.close()
+    out = []
+    for k, f in zip(kernels, fitted):
+        model = KernelSVCModel.of(f.point, table.map_of(f.point), f.weights, (1.0, 0.0))
+        out.append(model.support_vectors(train).select(F.lit(k).alias("kernel"), "label", "n_support", "total", "intercept"))
+    return compare.union_all(*out)

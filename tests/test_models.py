@@ -145,13 +145,42 @@ def test_network_learns_and_round_trips(spark):
     assert a == pytest.approx(b)
 
 
-def test_network_parameter_averaging_over_partitions(spark):
-    from classbench.plans.network_run import train_network
-    from classbench.plans.svm_run import prepare_scaled
-    train, test, _ = prepare_scaled(spark, SF_MID)
-    model = train_network(train, test, 2, preset=None, hidden=[32], epochs=4, num_partitions=3)
-    hist = model.history_frame(spark).orderBy("epoch").collect()
-    assert len(hist) == 4 and hist[-1]["val_loss"] < hist[0]["val_loss"]
+@pytest.mark.parametrize("with_id", [True, False])
+def test_network_steps_do_not_depend_on_partitions(spark, with_id):
+    """Dropout and batch normalisation included; summed gradients, so equal weights for 1, 4 and 16 partitions."""
+    from pyspark.sql import functions as F
+    layers = [("dense", 8, "relu"), ("batchnorm",), ("dropout", 0.3), ("dense", 6, "tanh")]
+    rows = spark.range(700).select("id", F.array(*[F.sin(F.col("id") * k) for k in (1, 2, 5)]).alias("features"),
+                                   (F.sin(F.col("id")) > 0.2).cast("int").alias("label"))
+    rows = rows.union(rows.where("id < 60").withColumn("id", F.col("id") + (1000 if with_id else 0)))
+    rows = rows if with_id else rows.drop("id")
+    nets = [NN.FeedForwardClassifier(layers, 2, epochs=3, batch_size=32, max_steps=5).fit(rows.repartition(parts), rows) for parts in (1, 4, 16)]
+    for net in nets[1:]:
+        assert all(np.allclose(a, b, rtol=0, atol=1e-9) for a, b in zip(nets[0].params, net.params))
+        assert np.allclose(nets[0].history, net.history, rtol=0, atol=1e-9)
+
+
+def test_network_step_is_the_gradient_of_all_its_rows(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(300).select("id", F.array(F.sin("id"), F.cos("id")).alias("features"), (F.col("id") % 3).cast("int").alias("label"))
+    clf = NN.FeedForwardClassifier([("dense", 5, "tanh")], 3, epochs=1, batch_size=16, max_steps=1, optimizer="sgd", learning_rate=0.1)
+    net = clf.fit(rows.repartition(3))
+    layers = net.layers
+    params = NN.init_params(layers, 2, 42)
+    x = np.array([r.features for r in rows.collect()])
+    y = np.arange(300) % 3
+    out, cache = NN.forward(layers, params, x, train=True)
+    rate = 0.1 * (300 / 16) ** 0.5
+    want = [p - rate * g for p, g in zip(params, NN.backward(layers, params, cache, out, y))]
+    assert all(np.allclose(a, b, atol=1e-12) for a, b in zip(net.params, want))
+
+
+def test_image_network_learns(spark):
+    """Weighted F1 well above that of one class given to all rows (0.02 for ten even classes)."""
+    from classbench.plans.registry import QUERIES
+    got = {r["metric"]: r["value"] for r in QUERIES["network_image_metrics"](spark, "/root/testdata/sf0.1").collect()}
+    print(got)
+    assert got["weighted_f1"] > 0.08
 
 
 @pytest.mark.parametrize("kind", ["poly", "sigmoid"])

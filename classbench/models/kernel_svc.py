@@ -73,7 +73,7 @@ class LandmarkTable:
         narrow = df.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("label"), vector_to_array(F.col(features)).alias("x"),
                            *([F.col(fold_col).cast("int").alias("fold")] if fold_col else []))
         if not fold_col:
-            narrow = stratified_kfold(narrow, "id", "label", folds, seed) if folds else narrow.withColumn("fold", F.lit(-1))
+            narrow = stratified_kfold(narrow, "id", "label", folds, seed) if folds else narrow.withColumn("fold", F.lit(0))
         narrow = narrow.select("id", "label", "fold", "x")
         lm = self.landmarks
 

@@ -805,21 +805,24 @@ def q_forest_cv_scores(spark, sf):
 
 @query("forest_grid_search")
 def q_forest_grid_search(spark, sf):
-    """T1 + T3: CrossValidator over precomputed folds, F1 of class 1, all points kept.
-
-    Four points and three folds: the app's 16 points and 5 folds
-    (``FOREST_APP_DEFAULT``, ``forest_param_maps``) took over three minutes here.
-    """
-    from classbench.models.forest import forest
-    from classbench.plans.tuning import forest_param_maps, grid_search
-    folded = _folded_train(spark, sf, 3)
-    est = forest()
-    grid = {"n_estimators": [5, 10], "max_depth": [4, 8]}
-    _, table = grid_search(est, forest_param_maps(est, grid), folded, 3, parallelism=PARALLEL_FITS)
+    """The app's whole default grid (16 points) over five folds, F1 of class 1, the best point marked."""
+    from classbench.plans.tuning import forest_grid
+    folded = _folded_train(spark, sf, 5)
+    table = forest_grid(folded, 5, parallelism=PARALLEL_FITS)
     folded.unpersist()
     return table
 
 
+@query("forest_tree_count_curve")
+def q_forest_tree_count_curve(spark, sf):
+    """F1 on train and validation parts of five folds for 50 to 300 trees, prefixes of one forest a fold."""
+    from classbench.plans.tuning import tree_count_curve
+    folded = _folded_train(spark, sf, 5)
+    out = tree_count_curve(folded, 5, parallelism=PARALLEL_FITS)
+    folded.unpersist()
+    return out
+
+
 @query("forest_learning_curve")
 def q_forest_learning_curve(spark, sf):
     """Ten nested exact prefixes per fold of five; train and validation accuracy."""

@@ -217,3 +217,59 @@ def validation_curve(make_estimator, param: str, values: list, df: DataFrame, k:
                          StructField("fold", IntegerType()), StructField("train_score", DoubleType()),
                          StructField("val_score", DoubleType())])
     return spark.createDataFrame(rows, schema)
+
+
+def tree_count_curve(df: DataFrame, k: int, sizes: list[int] = tuple(VALIDATION_RANGES["n_estimators"]), label: str = "label",
+                     fold_col: str = "fold", parallelism: int = 2, **forest_args) -> DataFrame:
+    """T7 over tree counts: F1 of class 1 of the first ``size`` trees of one forest a fold, for every size.
+
+    ``k`` fits of the largest size instead of one for each size and fold.
+    Output (param, value, fold, train_score, val_score).
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from classbench.models.forest import forest
+    from classbench.models.forest_nodes import f1_of, prefix_counts, trees_of
+
+    def one(f):
+        train, held = df.where(F.col(fold_col) != f), df.where(F.col(fold_col) == f)
+        trees = trees_of(forest(max(sizes), label=label, **forest_args).fit(train), df)
+        on_train, on_held = (prefix_counts(trees, part, list(sizes), label=label) for part in (train, held))
+        return [("n_estimators", float(s), f, f1_of(on_train[s, 2]), f1_of(on_held[s, 2])) for s in sizes]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = [r for part in pool.map(one, range(k)) for r in part]
+    return df.sparkSession.createDataFrame(rows, "param string, value double, fold int, train_score double, val_score double")
+
+
+def forest_grid(df: DataFrame, k: int, grid: dict | None = None, label: str = "label", fold_col: str = "fold",
+                parallelism: int = 2) -> DataFrame:
+    """T1-T3 of a forest grid in the reference's names: (point, params, fold, f1, best).
+
+    Points that differ only in tree count or ``min_samples_split`` are prefixes
+    and prunings of one forest, which is fitted once a fold; ``best`` marks the
+    point of highest mean F1 of class 1 (ties: the first).
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from classbench.models.forest import forest
+    from classbench.models.forest_nodes import f1_of, prefix_counts, trees_of
+
+    points = grid_points(grid or FOREST_APP_DEFAULT)
+    own = lambda p: (p.get("max_depth"), p.get("min_samples_leaf", 1), p.get("max_features", "sqrt"))
+    sizes = sorted({p.get("n_estimators", 100) for p in points})
+    limits = sorted({p.get("min_samples_split", 2) for p in points})
+
+    def one(job):
+        (depth, leaf, features), f = job
+        model = forest(max(sizes), depth, min_samples_leaf=leaf, max_features=features, label=label).fit(df.where(F.col(fold_col) != f))
+        return job, prefix_counts(trees_of(model, df), df.where(F.col(fold_col) == f), sizes, limits, label=label)
+
+    jobs = [(o, f) for o in dict.fromkeys(map(own, points)) for f in range(k)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        found = dict(pool.map(one, jobs))
+    f1 = [[f1_of(found[own(p), f][p.get("n_estimators", 100), p.get("min_samples_split", 2)]) for f in range(k)] for p in points]
+    mean = [sum(row) / k for row in f1]
+    best = mean.index(max(mean))
+    rows = [(i, ", ".join(f"{n}={v}" for n, v in p.items()), f, f1[i][f], i == best) for i, p in enumerate(points) for f in range(k)]
+    return df.sparkSession.createDataFrame(rows, "point int, params string, fold int, f1 double, best boolean")

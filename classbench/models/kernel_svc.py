@@ -68,6 +68,7 @@ class LandmarkTable:
 
     def __init__(self, df: DataFrame, folds: int, n_landmarks: int = 256, features: str = "features", label: str = "label",
                  id_col: str = "id", seed: int = 42, fold_col: str | None = None):
+        df = df.select(id_col, label, features, *([fold_col] if fold_col else [])).persist()  # read by the passes below
         self.folds, self.landmarks = folds, pick_landmarks(df, n_landmarks, features, label, id_col, seed)
         self.variance = pooled_variance(df, features)
         narrow = df.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("label"), vector_to_array(F.col(features)).alias("x"),
@@ -87,6 +88,7 @@ class LandmarkTable:
         schema = StructType([*narrow.schema.fields, StructField("products", ArrayType(DoubleType())), StructField("norm", DoubleType())])
         path = new_scratch_path(df.sparkSession, "landmarks")
         narrow.mapInArrow(multiply, schema).write.parquet(path)
+        df.unpersist()
         self.rows = df.sparkSession.read.schema(schema).parquet(path).persist()
         sizes = {(r["fold"], r["label"]): r["n"] for r in self.rows.groupBy("fold", "label").agg(F.count("*").alias("n")).collect()}
         self.n = sum(sizes.values())
@@ -336,10 +338,11 @@ class KernelSVCModel(Model, _KernelParams, MLWritable, MLReadable):
         """M8 over the training rows: (label, n_support, total, intercept); a support vector lies on or inside the margin."""
         label = self.getOrDefault("labelCol")
         y = F.when(F.col(label) == 1, 1.0).otherwise(-1.0)
-        held = self.transform(train).groupBy(F.col(label).cast("int").alias("label")).agg(
-            F.count_if(y * F.col("decision") <= 1.0 + tol).alias("n_support"))
-        total = held.agg(F.sum("n_support").alias("total"))
-        return held.crossJoin(total).withColumn("intercept", F.lit(self.intercept))  # two rows and one
+        held = self.transform(train.select(label, self.getOrDefault("featuresCol"))).groupBy(F.col(label).cast("int").alias("label")).agg(
+            F.count_if(y * F.col("decision") <= 1.0 + tol).alias("n")).collect()  # a row for each of two classes
+        total = sum(r["n"] for r in held)
+        return train.sparkSession.createDataFrame([(r["label"], r["n"], total, self.intercept) for r in held],
+                                                  "label int, n_support long, total long, intercept double")
 
     def write(self) -> MLWriter:
         return _ModelWriter(self)

@@ -152,7 +152,7 @@ def svm_support_vectors(spark: SparkSession, sf_dir: str, kernels=KERNELS, n_lan
     """M8 of fitted models: (kernel, label, n_support, total, intercept) for every kernel at its defaults."""
     from classbench.models.kernel_svc import KernelSVCModel, LandmarkTable, fit_all
 
-    train = prepare_scaled(spark, sf_dir)[0]
+    train = prepare_scaled(spark, sf_dir)[0].persist()
     table = LandmarkTable(train, 0, n_landmarks)
     fitted = fit_all(table, _model_points(table, kernels), [-1])
     table.close()
@@ -160,4 +160,5 @@ def svm_support_vectors(spark: SparkSession, sf_dir: str, kernels=KERNELS, n_lan
     for k, f in zip(kernels, fitted):
         model = KernelSVCModel.of(f.point, table.map_of(f.point), f.weights, (1.0, 0.0))
         out.append(model.support_vectors(train).select(F.lit(k).alias("kernel"), "label", "n_support", "total", "intercept"))
+    train.unpersist()
     return compare.union_all(*out)

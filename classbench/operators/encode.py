@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from classbench.operators.rank import id_bucket, rank_with_totals
+from classbench.operators.rank import value_rank
 from classbench.session import scratch_dir
 
 NULL_TOKEN = "nan"
@@ -84,8 +84,7 @@ def fit_label_encoding(df: DataFrame, cols: list[str], suffix: str = "__code",
     scratch_dir(df.sparkSession)
     long = as_category(df.select(*cols), cols).unpivot([], cols, "name", "value")
     values = long.distinct().checkpoint()
-    keyed, bucket = id_bucket(values, "value")
-    ranked = rank_with_totals(keyed, [F.asc("value")], bucket, ["name"])
+    ranked = value_rank(values, "value", ["name"])
     vocabulary = ranked.select("name", "value", (F.col("_rank") - 1).alias("code")).checkpoint()
     unseen = None
     if handle_invalid == "keep":  # one number for each column

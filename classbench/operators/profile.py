@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, FloatType, LongType, NumericType, StringType,
                                StructField, StructType)
 
-from classbench.operators.quantile import exact_quantiles_many
+from classbench.operators.quantile import exact_quantiles_many, grouped_quantiles
 from classbench.spec import numeric_columns
 
 
@@ -164,18 +164,16 @@ def width_gate(df: DataFrame, target: str, stats_max: int = 20, sample_over: int
 
 
 def _edges(df: DataFrame, col: str, group: str | None = None, max_groups: int = 10_000):
-    """(lo, hi, groups) in one pass; groups are collected only when bounded."""
-    aggs = [F.min(known(df, col).cast("double")).alias("lo"), F.max(known(df, col).cast("double")).alias("hi")]
-    if group:
-        aggs.append(F.collect_set(F.col(group)).alias("g"))
-        aggs.append(F.max(F.col(group).isNull().cast("int")).alias("gnull"))
-    r = df.agg(*aggs).first()
+    """(lo, hi, groups); at most ``max_groups`` groups reach the driver."""
+    x = known(df, col).cast("double")
+    r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     groups = None
     if group:
-        groups = sorted(r["g"])
+        found = [g[0] for g in df.select(group).distinct().limit(max_groups + 2).collect()]
+        groups = sorted(g for g in found if g is not None)
         if len(groups) > max_groups:
             raise ValueError("too many groups for a grouped histogram")
-        if r["gnull"]:
+        if len(found) > len(groups):
             groups.append(None)
     if r["lo"] is None:
         return None, None, groups
@@ -192,7 +190,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30, group: str | None = None,
     Output (``group``,) bin (1-based), lo, hi, count.  With ``group`` every
     group shares the same edges (A13).  Edges come from one min/max pass
     unless given.  The full (group, bin) grid is generated per group with
-    ``explode(sequence)`` from the groups collected in the edge pass (bounded),
+    ``explode(sequence)`` from the groups, collected with a bound,
     then left-joined to the counts; both sides are bounded by groups x bins.
     """
     groups = None
@@ -207,7 +205,6 @@ def histogram(df: DataFrame, col: str, bins: int = 30, group: str | None = None,
     inside = df.where(x.isNotNull() & (x >= F.lit(lo)) & (x <= F.lit(hi)))
     counts = inside.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     if group:
-        # the (bounded) group list came with the edge pass: no second scan for it
         gtype = df.schema[group].dataType
         glits = F.array(*[F.lit(g).cast(gtype) for g in groups]) if groups else F.array().cast(
             f"array<{gtype.simpleString()}>")
@@ -226,52 +223,10 @@ def histogram(df: DataFrame, col: str, bins: int = 30, group: str | None = None,
                       F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
-PERCENTILE_MAX_ROWS = 1_000_000
-
-
 def _group_quartiles(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
-    """(groups..., n, q1, median, q3), exact (linear interpolation).
-
-    Group sizes come first (one aggregate, bounded by the group count).  Groups
-    up to PERCENTILE_MAX_ROWS rows use Spark's exact ``percentile`` (its buffer
-    holds at most that many values); larger groups use the three-pass
-    bracketing quantiles one group at a time, never a one-task buffer.
-    """
-    sizes = df.groupBy(*groups).agg(F.count(F.col(value)).alias("n"))
-    big = sizes.where(F.col("n") > PERCENTILE_MAX_ROWS).collect()
-    if not big:
-        return (df.groupBy(*groups).agg(
-            F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-            F.count(F.col(value)).alias("n"))
-            .select(*groups, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                    F.col("q")[2].alias("q3")))
-    if len(big) > 1000:
-        raise ValueError("more than 1000 groups above the exact-percentile size")
-    rows = []
-    for r in big:
-        cond = None
-        for g in groups:
-            c = F.col(g).isNull() if r[g] is None else (F.col(g) == F.lit(r[g]))
-            cond = c if cond is None else cond & c
-        q = exact_quantiles_many(df.where(cond), [value], [0.25, 0.5, 0.75], n_max=r["n"])[value]
-        rows.append(tuple(r[g] for g in groups) + (r["n"], q[0], q[1], q[2]))
-    schema = ", ".join([f"`{g}` {df.schema[g].dataType.simpleString()}" for g in groups]
-                       + ["n bigint", "q1 double", "median double", "q3 double"])
-    large = df.sparkSession.createDataFrame(rows, schema)
-    keys = [tuple(r[g] for g in groups) for r in big]
-    small_df = df
-    for k in keys:
-        cond = None
-        for g, v in zip(groups, k):
-            c = F.col(g).isNull() if v is None else (F.col(g) == F.lit(v))
-            cond = c if cond is None else cond & c
-        small_df = small_df.where(~cond)
-    small = (small_df.groupBy(*groups).agg(
-        F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-        F.count(F.col(value)).alias("n"))
-        .select(*groups, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                F.col("q")[2].alias("q3")))
-    return small.unionByName(large)
+    """(groups..., n, q1, median, q3), exact (linear interpolation)."""
+    q = grouped_quantiles(df, value, groups, [0.25, 0.5, 0.75])
+    return q.select(*groups, "n", *[F.col("q")[i].alias(name) for i, name in enumerate(("q1", "median", "q3"))])
 
 
 def _join_groups(df: DataFrame, per_group: DataFrame, groups: list[str]) -> DataFrame:

@@ -7,17 +7,23 @@ into buckets, one aggregate counts rows per bucket, and only the bucket that
 holds a wanted rank is kept.  Once a range holds at most ``direct_rows`` rows
 it is sorted with a bounded top-k.  A range holding a single value (a hot
 value, e.g. a third of all rows) resolves at once, and a range that does not
-shrink is split at its minimum, so the loop always ends.
+shrink is split at its minimum, so the loop always ends.  Quantiles of groups
+come from running sums of counts instead (:func:`grouped_quantiles`).
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from classbench.operators.rank import ranges_for
+from classbench.session import written
+
 
 def _in_range(v: Column, lo, lo_incl: bool, hi, hi_incl: bool) -> Column:
     cond = v.isNotNull() & ~F.isnan(v)
@@ -186,7 +192,6 @@ def exact_quantiles_many(df: DataFrame, cols: list[str], probs: list[float], n_m
                 direct.append((t, i, r - below, lo, hi, r))
     if direct:
         # pass 3: one scan emits (bracket, value) pairs; a window per bracket ranks them
-        from pyspark.sql import Window
         used = {}
         for t, i, _, lo, hi, _ in direct:
             used[t] = (i, lo, hi)
@@ -219,3 +224,43 @@ def exact_quantiles_many(df: DataFrame, cols: list[str], probs: list[float], n_m
             res.append(a + (b - a) * frac)
         out[c] = res
     return (out, first) if return_row else out
+
+
+def grouped_quantiles(df: DataFrame, value: str, groups: list[str], probs: list[float],
+                      rows_per_range: int = 1 << 20) -> DataFrame:
+    """(groups..., n, q): exact linear-interpolated quantiles of every group, for any number and size of groups.
+
+    Equal values of a group are counted before they are shuffled.  The
+    (group, value) table is cut into ranges; sums per (group, range) say which
+    ranges hold a wanted rank, and only in those are counts summed row by
+    row.  ``n`` counts values other than null and NaN; a group without any has null quantiles.
+    """
+    v = F.col(value).cast("double")
+    counts = written(df.groupBy(*groups, F.when(~F.isnan(v), v).alias("_v")).agg(F.count(F.lit(1)).alias("_c")), "values")
+    ranges = ranges_for(counts, rows_per_range)
+    dealt = counts.withColumn("_range", F.lit(0))
+    if ranges > 1:
+        order = [*groups, F.asc_nulls_last("_v")]
+        dealt = written(counts.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = counts.groupBy(*groups).agg(F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))), F.lit(0)).alias("n"))
+    known = dealt.where(F.col("_v").isNotNull())
+    whole = Window.partitionBy(*groups)
+    held = known.groupBy(*groups, "_range").agg(F.sum("_c").alias("_s")).select(
+        *groups, "_range", "_s", (F.sum("_s").over(whole.orderBy("_range")) - F.col("_s")).alias("_off"),
+        F.sum("_s").over(whole).alias("_n"))
+    at = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+    ranks = [r.cast("long") + 1 for h in at for r in (F.floor(h), F.ceil(h))]
+    inside = F.exists(F.array(*ranks), lambda r: (r > F.col("_off")) & (r <= F.col("_off") + F.col("_s")))
+    named = lambda t: t.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
+                               *[c for c in t.columns if c not in groups])
+    same = lambda a, b: reduce(and_, [a[g].eqNullSafe(b[f"_g{i}"]) for i, g in enumerate(groups)])
+    wanted = named(held.where(inside)).withColumnRenamed("_range", "_r")
+    hit = known.join(wanted, same(known, wanted) & (known["_range"] == wanted["_r"]))
+    upto = F.col("_off") + F.sum("_c").over(Window.partitionBy(*groups, "_range").orderBy("_v"))
+    found = hit.withColumn("_upto", upto).groupBy(*groups, "_n").agg(*[
+        F.max(F.when((F.col("_upto") - F.col("_c") < r) & (r <= F.col("_upto")), F.col("_v"))).alias(f"_q{i}")
+        for i, r in enumerate(ranks)])
+    low = lambda j: F.col(f"_q{2 * j}")
+    q = F.array(*[low(j) + (F.col(f"_q{2 * j + 1}") - low(j)) * (h - F.floor(h)) for j, h in enumerate(at)])
+    values = named(found.select(*groups, q.alias("q")))
+    return sizes.join(values, same(sizes, values), "left").select(*groups, "n", "q")

@@ -11,7 +11,8 @@ The first term comes from a small table of counts per (class, bucket) whose
 prefix sums are joined back (Spark picks the join by its size).  The bucket count grows with the data, so every
 (class, bucket) window holds about ``rows_per_bucket`` rows.  Buckets are
 functions of the row, not of partition ids, so a recomputed task after an
-executor loss yields the same ranks.
+executor loss yields the same ranks; ranges of ids, which Spark samples, are
+written with the row's place before they are counted.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+
+from classbench.session import written
 
 DEFAULT_ROWS_PER_BUCKET = 1 << 20
 
@@ -68,8 +70,6 @@ def value_bucket(df: DataFrame, col: str, n_buckets: int) -> tuple[DataFrame, Co
 
 
 FIXED_HASH_BITS = 20
-#: Cut points of an id that is not a number (text, date): compared one by one, so kept few.
-MOST_VALUE_CUTS = 1 << 10
 
 
 def _null_safe_key(col: str) -> list[Column]:
@@ -103,33 +103,66 @@ def rank_with_totals(df: DataFrame, order_cols: list[Column], bucket: Column,
     return j.withColumn(rank_col, (F.col("_off") + rn).cast("long")).drop(*names, "_bk", "_off")
 
 
-def ordered_bucket(df: DataFrame, col: str, n_buckets: int) -> Column:
-    """Monotone bucket of a key of any ordered type, from a sample of its values by their hash."""
-    n = min(n_buckets, MOST_VALUE_CUTS)
-    some = df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(F.xxhash64(col)).limit(16 * n)
-    values = sorted(r[0] for r in some.collect())
-    cuts = sorted({values[i * len(values) // n] for i in range(1, n)}) if values else []
-    if not cuts:
-        return F.lit(0).cast("long")
-    kind = df.schema[col].dataType
-    at = F.array(*[F.lit(c).cast(kind) for c in cuts])
-    return F.when(F.col(col).isNotNull(), F.size(F.filter(at, lambda c: c <= F.col(col))).cast("long"))
+def ranges_for(df: DataFrame, rows_per_range: int = DEFAULT_ROWS_PER_BUCKET) -> int:
+    """Ranges of about ``rows_per_range`` rows that a table needs (a row count reads no column)."""
+    return max(1, math.ceil(df.count() / rows_per_range))
 
 
-def id_bucket(df: DataFrame, col: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-              max_buckets: int = 1 << 16) -> tuple[DataFrame, Column]:
-    """Monotone bucket of a key, about ``rows_per_bucket`` rows each; null for a null key.
+def ranged_rank(df: DataFrame, order_cols: list[str], ranges: int, partition_cols: list[str] = (),
+                rank_col: str = "_rank", total_col: str = "_total") -> DataFrame:
+    """:func:`rank_with_totals` for keys of any ordered type and any number of ranges.
 
-    A row count (cheap: no column is read) fixes the bucket count; only when
-    more than one bucket is needed does a second pass fetch that many
-    approximate cut points, in the key's own order (numbers as numbers, text as
-    text, dates as dates).
+    Rows are dealt by ranges of (class, key, hash of the row) that Spark samples,
+    sorted inside each and written with their place in it, so that ranks stay
+    the same whichever executor is lost later.  A class's rows in a range are
+    contiguous: its rank is the place there plus the rows in lower ranges, one
+    row for each (class, range).  Nulls come last; equal keys, nulls among
+    them, are ordered by the hash, so a key that many rows share is cut too.
     """
-    n = df.count()
-    nb = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
-    if nb <= 1:
-        return df, F.lit(0).cast("long")
-    if not isinstance(df.schema[col].dataType, NumericType):
-        return df, ordered_bucket(df, col, nb)
-    d, bucket = value_bucket(df, col, nb)
-    return d, F.when(F.col(col).isNotNull(), bucket)
+    part = list(partition_cols)
+    keys = [k for c in part for k in _null_safe_key(c)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    hashed = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    keyed = df.select("*", *[k.alias(n) for k, n in zip(keys, names)], F.xxhash64(*hashed).alias("_tie"))
+    order = [*names, *[F.asc_nulls_last(c) for c in order_cols], "_tie"]
+    place = F.monotonically_increasing_id()  # partition number above 33 bits, place in the partition below
+    dealt = keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_place", place)
+    rows = written(dealt.drop("_tie"), "ranges").withColumn("_range", F.shiftright("_place", 33))
+    held = rows.groupBy(*names, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    whole = Window.partitionBy(*names)
+    before = whole.orderBy("_range")
+    offsets = written(held.select(*names, "_range", (F.sum("_n").over(before) - F.col("_n") - F.col("_first") + 1).alias("_off"),
+                                  F.sum("_n").over(whole).alias(total_col)), "offsets")
+    out = rows.join(offsets, names + ["_range"])
+    return out.withColumn(rank_col, F.col("_off") + F.col("_place")).drop(*names, "_range", "_place", "_off")
+
+
+def value_rank(df: DataFrame, col: str, partition_cols: list[str] = (),
+               rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """Adds ``_rank`` by a key of any ordered type (nulls last) inside the class, and ``_total``, the class size.
+
+    A table of one bucket is numbered in a window, a larger one by ranges.
+    """
+    ranges = ranges_for(df, rows_per_bucket)
+    if ranges == 1:
+        return rank_with_totals(df, [F.asc_nulls_last(col)], F.lit(0).cast("long"), partition_cols)
+    return ranged_rank(df, [col], ranges, partition_cols)
+
+
+def fold_ranks(df: DataFrame, key: Column, ties: Column, bucket: Column, fold_col: str, k: int,
+               out_col: str = "_ranks") -> DataFrame:
+    """Adds an array of the row's rank, by ``key``, among the rows outside each fold: one ranking for all folds.
+
+    The rank outside fold f is the rank in the whole table less the rows of f
+    before it; both are sums over earlier buckets, from one small table of
+    counts per bucket, plus running counts in the row's own bucket.
+    """
+    d = df.select("*", key.alias("_key"), bucket.alias("_bk"))
+    counts = [F.count_if(~F.col(fold_col).eqNullSafe(F.lit(f))).alias(f"_o{f}") for f in range(k)]
+    earlier = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = d.groupBy("_bk").agg(*counts).select(
+        "_bk", F.array(*[F.coalesce(F.sum(f"_o{f}").over(earlier), F.lit(0)) for f in range(k)]).alias("_off"))
+    inside = Window.partitionBy("_bk").orderBy("_key", ties).rowsBetween(Window.unboundedPreceding, 0)
+    ranks = [F.when(~F.col(fold_col).eqNullSafe(F.lit(f)),
+                    F.col("_off")[f] + F.count_if(~F.col(fold_col).eqNullSafe(F.lit(f))).over(inside)) for f in range(k)]
+    return d.join(sums, "_bk").withColumn(out_col, F.array(*ranks)).drop("_key", "_bk", "_off")

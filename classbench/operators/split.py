@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from classbench.operators.rank import (DEFAULT_ROWS_PER_BUCKET, FIXED_HASH_BITS, class_counts,
-                                       hash_bucket, hash_key, id_bucket, rank_with_totals)
+                                       fold_ranks, hash_bucket, hash_key, rank_with_totals, value_rank)
 
 
 def hash_rank(df: DataFrame, id_col: str, label: str | None, seed: int = 42, salt: str = "", counts=None):
@@ -36,14 +36,17 @@ def hash_rank_totals(df: DataFrame, id_col: str, label: str | None, seed: int =
     return out.drop("_key")
 
 
+def hash_fold_ranks(df: DataFrame, id_col: str, fold_col: str, k: int, seed: int = 42, salt: str = "") -> DataFrame:
+    """Adds ``_ranks``: for each fold the rank of :func:`hash_rank` among the rows outside it (null inside it)."""
+    key = hash_key(id_col, seed, salt)
+    bucket = F.coalesce(hash_bucket(key, FIXED_HASH_BITS), F.lit(1 << 62))
+    return fold_ranks(df, F.coalesce(key, F.lit("~")), F.asc_nulls_last(id_col), bucket, fold_col, k)
+
+
 def id_rank_totals(df: DataFrame, id_col: str, label: str | None,
                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """Adds ``_rank`` by id inside the class and ``_total`` (class size): three
-    passes (count with cut points, bucket counts, ranking), nothing collected
-    but the cut points."""
-    d, b = id_bucket(df, id_col, rows_per_bucket)
-    out = rank_with_totals(d, [F.asc_nulls_last(id_col)], b, [label] if label else [])
-    return out.drop("_vb") if "_vb" in out.columns else out
+    """Adds ``_rank`` by id inside the class and ``_total`` (class size); nothing is collected."""
+    return value_rank(df, id_col, [label] if label else [], rows_per_bucket)
 
 
 def stratified_split(df: DataFrame, id_col: str, label: str, test_size: float = 0.2,

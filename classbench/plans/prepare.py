@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
 from classbench.operators import encode, split
+from classbench.session import written
 from classbench.spec import TableSpec, table_spec
 
 
@@ -32,14 +33,32 @@ class Prepared:
     unlabelled: int = 0  # rows without a target, which neither part holds
 
 
+#: Equal rows that one task numbers.
+COPIES_PER_TASK = 1 << 16
+
+
 def with_row_id(df: DataFrame, id_col: str = "id") -> DataFrame:
-    """A row key for tables without one (CSV files).
+    """A row key for tables without one (CSV files): md5 of all columns and an ordinal among equal rows.
 
-    ``monotonically_increasing_id`` is stable for the same files and split
-    settings, which is what a file source gives; tables with a key should
-    pass it instead.
+    The key comes from what a row holds, so it does not depend on how files are
+    cut or read.  Equal rows are counted, partially before they are shuffled,
+    and made again with ordinals from 0; the copies of a row that has many
+    are made in blocks by several tasks.
     """
-    return df if id_col in df.columns else df.withColumn(id_col, F.monotonically_increasing_id())
+    if id_col in df.columns:
+        return df
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_md5", F.md5(text))
+    block = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / COPIES_PER_TASK))
+    few, many = F.col("_copies") <= COPIES_PER_TASK, F.col("_copies") > COPIES_PER_TASK
+    counted = written(counted, "rows")
+    blocks = counted.where(few).withColumn("_block", F.lit(0).cast("long")).unionByName(
+        counted.where(many).withColumn("_block", F.explode(block)).repartition("_md5", "_block"))
+    first = F.col("_block") * COPIES_PER_TASK
+    ordinals = F.sequence(first, F.least(first + COPIES_PER_TASK, F.col("_copies")) - 1)
+    rows = blocks.withColumn("_ordinal", F.explode(ordinals))
+    return rows.select(*columns, F.concat_ws("-", "_md5", "_ordinal").alias(id_col))
 
 
 def label_column(df: DataFrame, target: str) -> tuple[DataFrame, list | None]:

@@ -908,12 +908,13 @@ def q_svm_ring(spark, sf):
 
 @query("pca_projection")
 def q_pca_projection(spark, sf):
-    """Centred 2-component PCA of the scaled churn features."""
+    """Centred 2-component PCA of the scaled churn features, with the share of variance each explains and their sum."""
     from classbench.operators.projection import pca_2d
     from classbench.plans.svm_run import prepare_scaled
     train, _, _ = prepare_scaled(spark, sf)
-    projected, _, _ = pca_2d(train)
-    return projected.select("id", "label", "pc_1", "pc_2")
+    projected, ratio, total = pca_2d(train)
+    return projected.select("id", "label", "pc_1", "pc_2", F.lit(ratio[0]).alias("explained_1"),
+                            F.lit(ratio[1]).alias("explained_2"), F.lit(total).alias("explained"))
 
 
 @query("network_history")

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from classbench.operators.metrics import grouped_binary_metrics
-from classbench.operators.split import hash_rank
+from classbench.operators.split import hash_fold_ranks
+from classbench.session import written
 
 # The named grids of the reference workflows.
 FOREST_GRID = {
@@ -155,7 +156,8 @@ def learning_curve(make_estimator, df: DataFrame, k: int, id_col: str = "id", la
                    score_fn=None, seed: int = 42, parallelism: int = 2) -> DataFrame:
     """For each fold, nested training prefixes of exact size floor(f * n_train)
     in md5 order (L6), one fit per (fraction, fold); train and validation score.
-    The fits of a fold run ``parallelism`` at a time from driver threads.
+    One ranking of the table serves all folds; fits run ``parallelism`` at a
+    time from driver threads.
 
     ``metric`` defaults to accuracy (the reference passes no scoring, Q3).
     Output (fraction, n_train, fold, train_score, val_score).
@@ -164,25 +166,23 @@ def learning_curve(make_estimator, df: DataFrame, k: int, id_col: str = "id", la
 
     spark = df.sparkSession
     ev = _metric_fn(metric, label)
-    rows = []
-    for f in range(k):
-        train = df.where(F.col(fold_col) != f)
-        held = df.where(F.col(fold_col) == f)
-        ranked, counts = hash_rank(train, id_col, None, seed, "curve|")
-        ranked = ranked.persist()
-        n_train = counts[0][1]
-
-        def one(frac, ranked=ranked, held=held, n_train=n_train, f=f):
-            size = int(frac * n_train)
-            part = ranked.where(F.col("_rank") <= size).drop("_rank")
-            model = make_estimator().fit(part)
-            tr = score_fn(model, part) if score_fn else model.transform(part)
-            va = score_fn(model, held) if score_fn else model.transform(held)
-            return (float(frac), size, f, ev(tr), ev(va))
-
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows += list(pool.map(one, fractions))
-        ranked.unpersist()
+    ranked = written(hash_fold_ranks(df, id_col, fold_col, k, seed, "curve|"), "curve")
+    sizes = ranked.agg(*[F.count(F.col("_ranks")[f]) for f in range(k)]).first()
+
+    def one(point):
+        f, frac = point
+        size = int(frac * sizes[f])
+        part = ranked.where(F.col("_ranks")[f] <= size).drop("_ranks").persist()
+        held = ranked.where(F.col("_ranks")[f].isNull()).drop("_ranks")
+        model = make_estimator().fit(part)
+        tr = score_fn(model, part) if score_fn else model.transform(part)
+        va = score_fn(model, held) if score_fn else model.transform(held)
+        found = (float(frac), size, f, ev(tr), ev(va))
+        part.unpersist()
+        return found
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(one, [(f, frac) for f in range(k) for frac in fractions]))
     schema = StructType([StructField("fraction", DoubleType()), StructField("n_train", LongType()),
                          StructField("fold", IntegerType()), StructField("train_score", DoubleType()),
                          StructField("val_score", DoubleType())])

@@ -59,6 +59,13 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df, name: str):
+    """``df`` as a parquet table in the scratch folder: its size is known when a plan is made, and a lost executor costs a re-read."""
+    path = new_scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_by_value(module) -> None:
     """Pickle a module's functions by value into Python tasks.
 

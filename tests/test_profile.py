@@ -107,14 +107,28 @@ def test_many_column_quantiles_match_numpy(spark):
             assert got[name] == pytest.approx(list(np.quantile(arr, probs)))
 
 
-def test_box_summary_large_group_path(spark, monkeypatch):
+def test_box_summary_groups(spark):
     rng = np.random.default_rng(5)
     vals = rng.normal(size=300)
     df = spark.createDataFrame([("a" if i % 3 else "b", float(v)) for i, v in enumerate(vals)],
                                "g string, v double")
-    monkeypatch.setattr(profile, "PERCENTILE_MAX_ROWS", 150)  # group 'a' (200 rows) takes the large path
     got = {r["g"]: r for r in profile.box_summary(df, "v", ["g"]).collect()}
     for g, arr in (("a", vals[[i for i in range(300) if i % 3]]), ("b", vals[::3])):
         assert got[g]["n"] == len(arr)
         assert got[g]["q1"] == pytest.approx(np.quantile(arr, 0.25))
         assert got[g]["median"] == pytest.approx(np.quantile(arr, 0.5))
+
+
+def test_grouped_quantiles_by_any_number_of_ranges(spark):
+    from classbench.operators.quantile import grouped_quantiles
+    rng = np.random.default_rng(8)
+    groups = {"a": rng.normal(size=400), None: np.concatenate([np.full(300, 2.0), rng.integers(0, 5, 100)]), "c": np.array([7.0])}
+    rows = [(g, float(v)) for g, arr in groups.items() for v in arr] + [("a", None), ("a", float("nan")), ("e", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
+    for per_range in (1 << 20, 50, 3):
+        got = {r.g: r for r in grouped_quantiles(df, "v", ["g"], probs, per_range).collect()}
+        assert got["e"].n == 0 and got["e"].q is None and len(got) == 4
+        for g, arr in groups.items():
+            assert got[g].n == len(arr) and got[g].q == pytest.approx(list(np.quantile(arr, probs)))
+    assert grouped_quantiles(df.limit(0), "v", ["g"], probs).count() == 0

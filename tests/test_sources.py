@@ -66,3 +66,18 @@ def test_prepare_csv_end_to_end(spark):
     assert p.train.count() + p.test.count() == 400
     m = forest(20, 6).fit(p.train)
     assert curves.roc_auc(score(m, p.test)).first()[0] > 0.9
+
+
+def test_row_key_comes_from_what_rows_hold(spark, monkeypatch):
+    """The same keys however the rows are cut; copies differ in their ordinal alone, also when made in blocks."""
+    from classbench.plans import prepare
+    rows = [(1, "a"), (None, "a"), (1, None), (1, "")] * 3 + [(5, "hot")] * 50
+    want = None
+    for parts, per_task in ((1, 1 << 16), (8, 7)):
+        monkeypatch.setattr(prepare, "COPIES_PER_TASK", per_task)
+        got = sorted(map(str, prepare.with_row_id(spark.createDataFrame(rows, "x int, y string").repartition(parts)).collect()))
+        assert len(set(got)) == len(rows) and (want is None or got == want)
+        want = got
+    keyed = spark.createDataFrame(rows, "x int, id string")
+    assert prepare.with_row_id(keyed) is keyed
+    assert prepare.with_row_id(spark.createDataFrame([], "x int, y string")).count() == 0

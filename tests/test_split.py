@@ -75,3 +75,28 @@ def test_tail_holdout_and_head(f1):
     assert min(val) > max(r["id"] for r in t if r["split"] == "train")
     h = [r["id"] for r in split.head(f1, 3).collect()]
     assert h == sorted(r["id"] for r in f1.collect())[:3]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "date"])
+def test_ranks_for_any_number_of_ranges(spark, kind):
+    """Ids of any ordered type, some null: the same ranks for one and for many ranges."""
+    from classbench.operators.rank import ranged_rank, value_rank
+    key = {"bigint": "id * 7919 % 1009", "string": "concat('k', id * 7919 % 1009)", "date": "date_add(date'2020-01-01', int(id * 7919 % 1009))"}[kind]
+    df = spark.range(1009).selectExpr("id as row", f"if(id % 50 = 3, null, {key}) as k", "if(id % 3 = 0, null, id % 3) as c").repartition(4)
+    read = lambda d: {r.row: (r._rank, r._total) for r in d.where("k is not null").collect()}
+    for part in ([], ["c"]):
+        base = read(value_rank(df, "k", part))
+        for ranges in (1, 7, 200):
+            out = ranged_rank(df, ["k"], ranges, part)
+            assert read(out) == base
+            whole = sorted((str(r.c) if part else "", r._rank) for r in out.collect())
+            assert len(set(whole)) == 1009 and all(out.where("k is null").select(F.col("_rank") > 0).toPandas().iloc[:, 0])
+
+
+def test_ranks_outside_each_fold(f1):
+    """One ranking for all folds gives what ranking each training part gives, and its plan shuffles the rows once."""
+    folded = f1.withColumn("fold", (F.xxhash64("id") % 3 + 3) % 3)
+    one = {r["id"]: r["_ranks"] for r in split.hash_fold_ranks(folded, "id", "fold", 3, 42, "curve|").collect()}
+    for f in range(3):
+        ranked, _ = split.hash_rank(folded.where(F.col("fold") != f), "id", None, 42, "curve|")
+        assert {r["id"]: r["_rank"] for r in ranked.collect()} == {i: r[f] for i, r in one.items() if r[f] is not None}

@@ -459,7 +459,7 @@ def test_html_tree_cuts_inside_articles(spark):
     ("<aside><article>Aside</article></aside><article>Own<span class=ad> Ad </span>text</article>", "Own text"),
 ])
 def test_html_names_never_cut_the_article(page, want):
-    assert html_text.main_text(html_text.page_blocks(page), set()) == want
+    assert html_text.main_text(html_text.page_blocks(page)) == want
 
 
 @pytest.mark.parametrize("page, want", [
@@ -470,7 +470,7 @@ def test_html_names_never_cut_the_article(page, want):
     ("<p><span class='ad'>Ad</span></p><p>Body text</p>", "Body text"),
 ])
 def test_html_text_after_leading_inline_furniture(page, want):
-    assert html_text.main_text(html_text.page_blocks(page), set()) == want
+    assert html_text.main_text(html_text.page_blocks(page)) == want
 
 
 def test_warc_round_trip(spark, tmp_path):
@@ -512,3 +512,65 @@ def test_warc_segments_are_verified():
     with pytest.raises(ValueError):
         warc.assemble(parts[:2] + [(3, 9, b"c")])
     assert warc.unchunk(b"3\r\nabc\r\n1;x=y\r\nd\r\n0\r\n\r\n") == b"abcd"
+
+
+def test_style_tree_importance_by_brute_force(spark):
+    """Content and composite importance recomputed from the parsed pages of two hosts, repeats counted once."""
+    import math
+    import random
+
+    from classbench.llm import html_text as H
+    rnd = random.Random(4)
+    word = lambda: "w%d" % rnd.randrange(400)
+    def page(i):  # noqa: E306
+        menu = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in ("home", "news", "about")[:2 + i % 2])
+        box = "" if i % 3 else "<table><tr><td>sign up now for our letter</td></tr></table>"
+        return f"<body><div><ul>{menu}</ul></div><section><p>{' '.join(word() for _ in range(60))}</p>{box}</section></body>"
+    pages = {h: [page(i) for i in range(8)] for h in ("a", "b")}
+    rows = [(h, p) for h, some in pages.items() for p in [*some, some[0], some[0]]] + [("c", "x"), (None, None)]
+    tree = H.style_tree(spark.createDataFrame(rows, "host string, html string"))
+    got = {(r.host, r.node): (r.importance, r.cut) for r in tree.collect()}
+    for host, some in pages.items():
+        n, parent, feats, styles = {}, {}, {}, {}
+        for p in some:
+            for node, value, up in H.page_features(p):
+                if up is None:
+                    feats.setdefault(node, {}).setdefault(value, []).append(1)
+                else:
+                    parent[node] = up
+                    n[node] = n.get(node, 0) + 1
+                    styles.setdefault(node, {}).setdefault(value, []).append(1)
+        entropy = lambda counts, m: -sum(c / m * math.log(c / m, m) for c in counts)
+        judged = {k for k in n if n[k] >= 3}
+        def mass(k):  # noqa: E306
+            return sum(map(len, feats.get(k, {}).values())) + sum(mass(c) for c in judged if parent[c] == k)
+        def own(k):  # noqa: E306
+            c = [len(v) for v in feats[k].values()]
+            return 1 - sum(x * math.log(x, n[k]) for x in c) / sum(c)
+        def value(k):  # noqa: E306
+            below = [c for c in judged if parent[c] == k and mass(c)]
+            held = (own(k) * sum(map(len, feats[k].values())) if k in feats else 0) + sum(value(c) * mass(c) for c in below)
+            held = held / mass(k) if mass(k) else 0
+            keep = 0.9 ** len(styles[k])
+            return (1 - keep) * entropy([len(v) for v in styles[k].values()], n[k]) + keep * held if below else held
+        assert {k for h, k in got if h == host} == judged
+        for k in judged:
+            assert got[host, k][0] == pytest.approx(value(k), abs=1e-9)
+        least = 0.9 * own(max((k for k in judged if k in feats), key=lambda k: sum(map(len, feats[k].values()))))
+        def low(k):  # noqa: E306
+            return value(k) < least and all(low(c) for c in judged if parent[c] == k and mass(c))
+        assert {k for k in judged if got[host, k][1]} == {k for k in judged if mass(k) and low(k) and not (parent[k] in judged and low(parent[k]))}
+        assert sum(got[host, k][1] for k in judged) == 2  # the menu as one branch, the box inside the text
+
+
+@pytest.mark.parametrize("page", [
+    "<x>a" * 50_000, "<div>a" * 50_000 + "</div>" * 50_000, "<a " * 200_000, "<article>a" * 20_000, "<p><b class='ad'>x" * 20_000,
+    '<a "b>c" ' * 40_000, "<div class='share'>" * 20_000 + "t", "<b><td>" + "<x>" * 30_000 + "</b>" * 30_000, "<" * 300_000, "<!" * 200_000,
+    "<ul><li>" * 20_000 + "x" + "</q>" * 20_000])
+def test_html_of_any_form_takes_linear_time(page):
+    import time
+    start = time.time()
+    blocks = html_text.page_blocks(page)
+    html_text.main_text(blocks)
+    assert time.time() - start < 8
+    assert len(html_text.page_features(page)) <= 2 * len(page)

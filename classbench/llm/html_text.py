@@ -9,7 +9,8 @@ content importance is one less the mean entropy of its features over the pages
 that have the node.  An inner node's importance mixes the entropy of its styles
 (the sets of child labels that pages give it) with the importance of what it
 holds, ``decay ** styles`` to the latter.  A node is unimportant below a share
-of the content importance of the node with most of the host's text; the topmost
+of the content importance of the node with most of the host's text, with an
+allowance for the chance that few features leave; the topmost
 nodes that are unimportant with all below them are cut as branches from each
 page.
 
@@ -41,6 +42,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -346,15 +348,15 @@ def page_blocks(page: str | None, cut: frozenset[int] = frozenset(), tree: dict[
     return [b for b in map(_joined, lines) if not b.text() == ""]
 
 
-def phrases(text: str) -> Iterator[str]:
+def phrases(text: str) -> Iterator[bytes]:
     """The text's lower-cased words in phrases, each cut after a word whose hash is a multiple of four."""
-    words, start = text.lower().split(), 0
-    for i, w in enumerate(words):
-        if not zlib.crc32(w.encode("utf-8", "replace")) & 3:
-            yield " ".join(words[start:i + 1])
-            start = i + 1
+    words, start = text.lower().encode("utf-8", "replace").split(b" "), 0
+    for i, checksum in enumerate(map(zlib.crc32, words), 1):
+        if not checksum & 3:
+            yield b" ".join(words[start:i])
+            start = i
     if start < len(words):
-        yield " ".join(words[start:])
+        yield b" ".join(words[start:])
 
 
 def page_features(page: str | None) -> list[tuple[int, int, int | None]]:
@@ -364,8 +366,9 @@ def page_features(page: str | None) -> list[tuple[int, int, int | None]]:
 
     tree: dict[int, int] = {}
     blocks = page_blocks(page, tree=tree)
-    seen = {(b.node, xxhash.xxh64_intdigest(f.encode("utf-8", "replace")) >> 1)
-            for b in blocks for f in [*phrases(b.text()), *(f"\n{link}" for link in b.links)]}
+    digest = xxhash.xxh64_intdigest
+    seen = {(b.node, digest(f) >> 1) for b in blocks for f in phrases(b.text())}
+    seen |= {(b.node, digest(f"\n{link}".encode("utf-8", "replace")) >> 1) for b in blocks for link in b.links}
     styles = dict.fromkeys(tree, 0)
     for node, above in tree.items():
         if above:
@@ -377,7 +380,8 @@ def node_importance(nodes: pd.DataFrame, share: float, decay: float) -> pd.DataF
     """The judged nodes of one host (node, parent, content, uses, presentation, styles) with their ``importance`` and ``cut``.
 
     ``content`` is null where a node holds no text of its own.  What a node holds
-    is its own text and its judged children, weighed by their features.
+    is its own text and its judged children, weighed by their features.  Half the
+    inverse root of their number is the allowance that a node has for chance.
     """
     rows = {r.node: r for r in nodes.itertuples()}
     children: dict[int, list[int]] = {}
@@ -397,7 +401,7 @@ def node_importance(nodes: pd.DataFrame, share: float, decay: float) -> pd.DataF
         if below:
             kept = decay ** r.styles
             value[n] = (1 - kept) * r.presentation + kept * value[n]
-        low[n] = value[n] < least and all(low[c] for c in below)
+        low[n] = value[n] + 0.5 * max(mass[n], 1) ** -0.5 < least and all(low[c] for c in below)
     out = nodes[["node", "parent"]].copy()
     out["importance"] = [value[n] for n in out["node"]]
     out["cut"] = [bool(mass[n] > 0 and low[n] and not low.get(up, False)) for n, up in zip(out["node"], out["parent"])]
@@ -412,16 +416,22 @@ def style_tree(pages: DataFrame, page_col: str = "html", host_col: str = "host",
     """
     ship_by_value(sys.modules[__name__])
 
-    @F.pandas_udf("array<struct<node:long,value:long,parent:long>>")
-    def features(page: pd.Series) -> pd.Series:
-        return pd.Series([[{"node": n, "value": v, "parent": p} for n, v, p in page_features(x)] for x in page])
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):  # few pages' features at once
+                some = batch.slice(at, 64)
+                found = [page_features(x.as_py()) for x in some.column(2)]
+                row = pa.array([i for i, f in enumerate(found) for _ in f], pa.int32())
+                node, value, parent = (pa.array([f[k] for one in found for f in one], pa.int64()) for k in range(3))
+                yield pa.record_batch([some.column(0).take(row), some.column(1).take(row), node, value, parent],
+                                      ["host", "w", "node", "value", "parent"])
 
     keyed = pages.select(F.coalesce(F.col(host_col), F.lit("")).alias("host"), F.col(page_col).alias("html")).withColumn(
         "key", F.xxhash64("html"))
     repeated = materialize(keyed.groupBy("host", "key").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
     # a page that a host repeats counts once: each of its n rows adds 1 / n
     once = keyed.join(repeated, ["host", "key"], "left").withColumn("w", 1 / F.coalesce("n", F.lit(1)))
-    rows = once.select("host", "w", F.explode(features("html")).alias("f")).select("host", "w", "f.node", "f.value", "f.parent")
+    rows = once.select("host", "w", "html").mapInArrow(features, "host string, w double, node long, value long, parent long")
     uses = rows.groupBy("host", "node", "value", "parent").agg(F.round(F.sum("w")).alias("c"))
     style = F.col("parent").isNotNull()
     spread = F.col("c") * F.log("c")

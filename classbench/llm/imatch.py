@@ -1,12 +1,15 @@
 """I-Match document fingerprints (native).
 
-Document frequencies are counted over all documents in a fixed number of hash
-buckets; terms whose bucket lies in an inverse-document-frequency band make up
-the lexicon, a bit map of fixed size (128 KB) whatever the corpus.  A text's
-distinct lexicon terms are sorted and hashed once for each of several randomised
-subsets of the lexicon, large ones (three quarters, as the method has it) and
-smaller ones, which stay equal under larger edits.  Likeness is the share of
-subsets that hash alike among those that hold a term of either text.
+Document frequencies are counted over all documents for each term's 64-bit hash;
+terms in an inverse-document-frequency band make up the lexicon.  As its rarest
+term is in a fixed share of the documents, its size is bounded by the texts'
+mean number of terms over that share, whatever the corpus.  It is kept as a bit
+map of fixed size (128 KB) with two bits a term; other terms pass at a rate that
+depends on the lexicon's size alone.  A text's distinct lexicon terms are sorted
+and hashed once for each of several randomised subsets of the lexicon: large
+ones (three quarters, as the method has it) down to 1/512, of which some hold
+none of the terms that an edit of half the text touches.  Likeness is the share
+of subsets that hash alike among those that hold a term of either text.
 
 Defined results: a null text is empty; a text without lexicon terms is hashed by
 all its terms, and one without terms by its characters, so equal texts always
@@ -22,8 +25,9 @@ from pyspark.sql import functions as F
 
 from classbench.llm.common import long_array, range_bucket, range_cuts, read_table
 
-#: Hash buckets of the document frequencies, 64 to a word of the bit map.
+#: Bits of the lexicon's map, 64 to a word, and the shifts of a term's hash that give its bits there.
 BUCKET_BITS = 20
+PROBES = (0, 20)
 #: Band of document frequency over documents: rarer terms are noise, more frequent ones carry nothing.
 BAND = (5e-4, 0.2)
 #: Randomised subsets: a term belongs to one if its hash, shifted and masked, has (or has not) the value.
@@ -32,6 +36,9 @@ SUBSETS = tuple(
     + [(10 + 2 * i, 3, i % 4, True) for i in range(4)]
     + [(20 + 3 * i, 15, 5 * i % 16, True) for i in range(4)]
     + [(32 + 4 * i, 63, 11 * i % 64, True) for i in range(4)])
+#: Small subsets: for each quarter of the lexicon, ``GROUP`` disjoint subsets of one part in so many of the quarter.
+PARTS = (16, 32, 64, 128)
+GROUP = 16
 #: Rows of a range of ids that one task sorts.
 RANGE_ROWS = 1000
 
@@ -43,29 +50,35 @@ def term_hashes(text: str) -> str:
 
 
 def lexicon(texts: DataFrame, column: str, band: tuple[float, float] = BAND) -> list[int]:
-    """Bit map of the hash buckets whose document frequency lies in ``band``: 2^20 bits in longs."""
+    """Bit map of the terms whose document frequency lies in ``band``: 2^20 bits in longs."""
     n = texts.count()
-    bucket = F.col("h").bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))
-    counts = texts.select(F.explode(F.expr(term_hashes(column))).alias("h")).groupBy(bucket.alias("b")).agg(
-        F.count("*").alias("df")).where(F.col("df").between(max(2, band[0] * n), band[1] * n))
-    word = counts.groupBy(F.shiftright("b", 6).alias("word")).agg(
+    terms = texts.select(F.explode(F.expr(term_hashes(column))).alias("h")).groupBy("h").agg(F.count("*").alias("df")).where(
+        F.col("df").between(max(2, band[0] * n), band[1] * n))
+    bit = F.explode(F.array(*[F.shiftright("h", s).bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)) for s in PROBES])).alias("b")
+    words = terms.select(bit).groupBy(F.shiftright("b", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, int(b & 63))")).alias("bits"))
     bits = [0] * (1 << (BUCKET_BITS - 6))
-    for r in word.collect():  # at most 2^14 rows of two numbers
+    for r in words.collect():  # at most 2^14 rows of two numbers
         bits[r["word"]] = r["bits"]
     return bits
 
 
 def signatures(text: str, bits: list[int]) -> Column:
-    """One hash for each subset of the lexicon: 64 bits, 0 where the subset holds no term of the text."""
+    """One 32-bit hash for each subset of the lexicon, 0 where the subset holds no term of the text."""
     hold = {True: "=", False: "!="}
-    subsets = [f"filter(t, h -> (shiftright(h, {s}) & {m}L) {hold[inside]} {v}L)" for s, m, v, inside in SUBSETS]
-    hashed = ", ".join(f"transform(array({x}), y -> if(size(y) = 0, 0L, xxhash64(y)))[0]" for x in subsets)
-    alone = f"array_repeat(if(size(a) = 0, xxhash64({text}), xxhash64(array_sort(a))), {len(SUBSETS)})"
+    hashed = lambda terms: f"transform(array({terms}), y -> if(size(y) = 0, 0, hash(y)))[0]"
+    large = ", ".join(hashed(f"filter(t, h -> (shiftright(h, {s}) & {m}L) {hold[inside]} {v}L)") for s, m, v, inside in SUBSETS)
+    small = ", ".join(
+        f"transform(array(filter(t, h -> (shiftright(h, 40) & 3L) = {q}L)), u -> transform(sequence(0L, {GROUP - 1}L), "
+        f"v -> {hashed(f'filter(u, h -> (shiftright(h, 44) & {parts - 1}L) = v)')}))[0]" for q, parts in enumerate(PARTS))
+    size = len(SUBSETS) + GROUP * len(PARTS)
+    alone = f"array_repeat(if(size(a) = 0, hash({text}), hash(array_sort(a))), {size})"
     lexicon_bits = f"cast(split('{','.join(map(str, bits))}', ',') as array<bigint>)"  # folded to one constant
-    known = f"shiftright({lexicon_bits}[int(shiftright(h & {(1 << BUCKET_BITS) - 1}L, 6))], int(h & 63)) & 1L"
-    return F.expr(f"transform(array({term_hashes(text)}), a -> transform(array(array_sort(filter(a, h -> {known} = 1L))), "
-                  f"t -> if(size(t) = 0, {alone}, array({hashed})))[0])[0]")
+    mask = (1 << BUCKET_BITS) - 1
+    known = " and ".join(f"(shiftright({lexicon_bits}[int(shiftright(shiftright(h, {s}) & {mask}L, 6))], "
+                         f"int(shiftright(h, {s}) & 63L)) & 1L) = 1L" for s in PROBES)
+    return F.expr(f"transform(array({term_hashes(text)}), a -> transform(array(array_sort(filter(a, h -> {known}))), "
+                  f"t -> if(size(t) = 0, {alone}, concat(array({large}), {small})))[0])[0]")
 
 
 def likeness(a: str, b: str) -> Column:

@@ -339,6 +339,35 @@ def test_imatch_edits_and_likeness(spark):
     assert len(odd) == 4
 
 
+def test_imatch_signatures_by_brute_force(spark):
+    """Signatures are equal just where the texts' lexicon terms in a subset are, 0 where there are none."""
+    import re
+
+    import xxhash
+    rng = random.Random(12)
+    vocab = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choices(vocab[:3000 if i % 2 else 300], k=rng.randrange(5, 300))) for i in range(40)]
+    texts += [" ".join(t.split()[:len(t.split()) // 2] + texts[0].split()[:20]) for t in texts[:10]]
+    terms = [{w for w in re.split(r"[^a-z0-9]+", t) if w} for t in texts]
+    df = {}
+    for some in terms:
+        for w in some:
+            df[w] = df.get(w, 0) + 1
+    h64 = lambda w: (lambda x: x - (1 << 64) if x >> 63 else x)(xxhash.xxh64_intdigest(w, seed=42))
+    known = {w for w, c in df.items() if max(2, 5e-4 * len(texts)) <= c <= 0.2 * len(texts)}
+    bits = {h64(w) >> s & 0xFFFFF for w in known for s in imatch.PROBES}
+    kept = [{h64(w) for w in some if all(h64(w) >> s & 0xFFFFF in bits for s in imatch.PROBES)} for some in terms]
+    rules = [lambda h, s=s, m=m, v=v, inside=inside: ((h >> s & m) == v) == inside for s, m, v, inside in imatch.SUBSETS]
+    rules += [lambda h, q=q, n=n, v=v: h >> 40 & 3 == q and (h >> 44 & n - 1) == v for q, n in enumerate(imatch.PARTS) for v in range(imatch.GROUP)]
+    rows = {r.doc_id: r for r in imatch.fingerprint_pairs(docs_of(spark, texts)).collect()}
+    for k, rule in enumerate(rules):
+        sets = [frozenset(filter(rule, some)) for some in kept]
+        for i in range(len(texts)):
+            if kept[i]:
+                assert (rows[i].signs[k] == 0) == (not sets[i])
+                assert all((rows[i].signs[k] == rows[j].signs[k]) == (sets[i] == sets[j]) for j in range(i) if kept[j])
+
+
 def test_ranges_follow_each_other(spark, monkeypatch):
     monkeypatch.setattr(imatch, "RANGE_ROWS", 7)
     ids = sorted(random.Random(4).sample(range(10 ** 12), 300))

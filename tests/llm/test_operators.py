@@ -603,3 +603,18 @@ def test_html_of_any_form_takes_linear_time(page):
     html_text.main_text(blocks)
     assert time.time() - start < 8
     assert len(html_text.page_features(page)) <= 2 * len(page)
+
+
+def test_components_of_ordered_chains(spark, monkeypatch):
+    """Chains whose ids ascend or descend take rounds in the logarithm of their length; stars and loops besides."""
+    from classbench.llm import components
+    made = []
+    write = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, name: made.append(name) or write(df, name))
+    n = 5000
+    links = [(i, i + 1) for i in range(n)] + [(20_000 - i, 19_999 - i) for i in range(300)] + [(30_000 + i, 30_000) for i in range(200)]
+    links += [(30_500, 30_500), (None, 7), (40_001, 40_000), (40_000, 40_001)]
+    got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {i: 0 for i in range(n + 1)} | {19_700 + i: 19_700 for i in range(301)} | {30_000 + i: 30_000 for i in range(200)}
+    assert got == want | {40_000: 40_000, 40_001: 40_000}
+    assert made.count("labels") <= 24
